@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -35,23 +36,37 @@ def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
     The lineage ends there, and a lost executor costs nothing that was written. The files go when the
-    driver exits, or earlier by ``release``.
+    driver exits, or earlier by ``drop`` or ``release``. The driver collects garbage at once, so that Spark
+    also deletes the shuffle files that nothing needs any more.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/ledgerloom-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    out = spark.read.schema(df.schema).parquet(path)
+    out._ledgerloom_path = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete what ``materialize`` wrote for these tables; nothing may read them any more."""
+    for df in tables:
+        _delete(df.sparkSession, df._ledgerloom_path)
+        _written.remove((df.sparkSession, df._ledgerloom_path))
 
 
 def release() -> None:
     """Delete everything that ``materialize`` wrote."""
     while _written:
-        spark, path = _written.pop()
         try:
-            jvm = spark.sparkContext._jvm
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+            _delete(*_written.pop())
         except Exception:  # noqa: BLE001 - the session may have ended; its folder goes with the cluster
             return
 

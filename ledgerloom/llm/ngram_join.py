@@ -13,10 +13,13 @@ meet in pairs.
    class goes to the unit of its leader with every leader met there, so each candidate pair of classes meets in
    exactly one unit (their two leaders'), however many shingles it shares, and is verified once. A group of
    near copies has few leaders, so units grow with the group, not with its square.
-4. Large units are dealt out as pairs of blocks. A task holds two blocks of sets, drops pairs by length,
-   position in the prefix and suffix (per-range bounds), counts the overlaps of the rest exactly, and returns
-   each class with its number of links and the root of its tree in that task, never the pairs.
-5. Components of those trees are the components of all links.
+4. Large units are dealt out as pairs of blocks. A task first sees two blocks of sizes and *outlines* (counts
+   over 64 ranges of hashes), and keeps the classes that have a partner by length and by the suffix filter's
+   bound: an overlap is at most the sum of the smaller counts. Chance meetings end here, unread.
+5. For the classes that remain, a task holds two blocks of sets, drops pairs by length, outline and position in
+   the prefix, counts the overlaps of the rest exactly, and returns each class with its number of links and the
+   root of its tree in that task, never the pairs.
+6. Components of those trees are the components of all links.
 
 Defined results: null and empty texts have n_shingles 0 and are their own component; repeated rows (equal ids
 too) are rows of one class; an empty table gives no rows; extra columns are ignored. Ids must not be null.
@@ -32,14 +35,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import materialize, runs
+from .base import drop, materialize, runs
 from .components import components
 
 SKETCH_BITS = 22
 CHUNK_BITS = 16
 #: Classes of one block; two blocks meet in a task. Larger units have more of them, up to BLOCK_MOST.
 BLOCK, BLOCK_MOST = 64, 2048
-SUFFIX_RANGES = 16
+SUFFIX_RANGES = 64
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
@@ -68,6 +71,11 @@ def set_hash(s: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
 
 
+def outline(s: np.ndarray) -> np.ndarray:
+    """How many hashes of a set fall in each of the ranges of the suffix filter."""
+    return np.bincount((s & np.uint64(SUFFIX_RANGES - 1)).astype(np.int64), minlength=SUFFIX_RANGES).astype(np.int32)
+
+
 def prefix_length(n: int, percent: int) -> int:
     """Sets of size n that reach the threshold share one of their first so many shingles in a common order."""
     return n - -(-percent * n // 100) + 1 if n else 0
@@ -82,20 +90,20 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _sketch_and_classes(docs: DataFrame, n: int, bits: int) -> DataFrame:
-    """Rows of ids (id, n, class) and of sketch chunks (chunk, counts); a task's counters fit in its memory."""
+    """Rows of ids (id, n, class, outline as ``counts``) and of sketch chunks (chunk, counts)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << bits, np.uint32)
         for batch in batches:
-            ids, sizes, names = batch.column(0), [], []
+            ids, sizes, names, outlines = batch.column(0), [], [], []
             for text in batch.column(1):
                 s = shingles(text.as_py(), n)
                 np.add.at(counts, _bucket(s, bits), 1)
                 sizes.append(len(s))
                 names.append(set_hash(s))
-            empty = pa.nulls(len(sizes))
+                outlines.append(outline(s).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), empty.cast(pa.int32()), empty.cast(pa.binary())],
+                [ids, pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), pa.nulls(len(sizes), pa.int32()), pa.array(outlines, pa.binary())],
                 names=["id", "n", "class", "chunk", "counts"],
             )
         size = 1 << CHUNK_BITS
@@ -179,16 +187,23 @@ def _sets(docs: DataFrame, n: int, shared, bits: int) -> DataFrame:
     return docs.select("class", "copies", "text").mapInArrow(run, "class long, copies long, set binary")
 
 
-def verify(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int, sketch_order=None) -> np.ndarray:
+def possible(sizes: np.ndarray, outlines: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that the length and the suffix filter leave, and the overlap that each pair needs for a link."""
+    a, b = sizes[left][:, None], sizes[right][None, :]
+    needed = -(-percent * (a + b) // (100 + percent))  # 100 * o >= percent * (a + b - o)
+    alive = 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
+    for row in np.flatnonzero(alive.any(1)):
+        cols = np.flatnonzero(alive[row])
+        alive[row, cols] = np.minimum(outlines[left[row]], outlines[right[cols]]).sum(1) >= needed[row, cols]
+    return alive, needed
+
+
+def verify(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
     """Boolean matrix of links between sets ``left`` and ``right`` (indices), each given rare-first."""
     sizes = np.array([len(s) for s in sets], np.int64)
-    a, b = sizes[left][:, None], sizes[right][None, :]
-    low, high = np.minimum(a, b), np.maximum(a, b)
-    alive = 100 * low >= percent * high  # length filter
+    alive, needed = possible(sizes, np.array([outline(s) for s in sets]), left, right, percent)
     if not alive.any():
         return alive
-    # overlap that a link needs: 100 * o >= percent * (a + b - o)
-    needed = -(-percent * (a + b) // (100 + percent))
     every, codes = np.unique(np.concatenate([s for s in sets if len(s)] or [np.empty(0, np.uint64)]), return_inverse=True)
     starts = np.concatenate([[0], np.cumsum(sizes)])
     coded = [codes[starts[i] : starts[i + 1]] for i in range(len(sets))]
@@ -210,15 +225,6 @@ def verify(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent:
             if 1 + min(sizes[i] - u - 1, sizes[j] - v - 1) < needed[row, col]:
                 alive[row, col] = False
         place[p] = -1
-    # suffix filter: over ranges of hashes, an overlap is at most the sum of the smaller counts
-    if alive.any():
-        hist = np.zeros((len(sets), SUFFIX_RANGES), np.int32)
-        for i in np.unique(np.concatenate([left, right])):
-            hist[i] = np.bincount((sets[i] & np.uint64(SUFFIX_RANGES - 1)).astype(np.int64), minlength=SUFFIX_RANGES)
-        for row in np.flatnonzero(alive.any(1)):
-            cols = np.flatnonzero(alive[row])
-            most = np.minimum(hist[left[row]][None, :], hist[right[cols]]).sum(1)
-            alive[row, cols] = most >= needed[row, cols]
     mark = np.zeros(len(every), bool)
     for row in np.flatnonzero(alive.any(1)):
         mark[coded[left[row]]] = True
@@ -228,6 +234,27 @@ def verify(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent:
     return alive
 
 
+def _hopeful(dealt: DataFrame, percent: int) -> DataFrame:
+    """(task, side, class) of those that may have a link in their task, from (task, side, class, n, outline)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in runs(batches, "task"):
+            side, sizes = (np.array(rows.column(c).to_pylist(), np.int64) for c in ("side", "n"))
+            outlines = np.array([np.frombuffer(x, np.int32) for x in rows.column("outline").to_pylist()])
+            both = (side == 2).any()
+            left, right = (np.arange(len(side)),) * 2 if both else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
+            if not len(left) or not len(right):
+                continue
+            alive, _ = possible(sizes, outlines, left, right, percent)
+            if both:
+                np.fill_diagonal(alive, False)
+            kept = np.unique(np.concatenate([left[alive.any(1)], right[alive.any(0)]]))
+            if len(kept):
+                yield from rows.select(["task", "side", "class"]).take(pa.array(kept)).combine_chunks().to_batches()
+
+    return dealt.mapInArrow(run, "task long, side int, class long")
+
+
 def _verified(dealt: DataFrame, percent: int) -> DataFrame:
     """(class, root, links) from rows (task, side, class, copies, set), one task's rows together."""
 
@@ -279,18 +306,21 @@ def jaccard_components(
     texts = _texts(docs, id_col, text_col)
     first = materialize(_sketch_and_classes(texts, n, sketch_bits))
     shared = spark.sparkContext.broadcast(_summed(first, sketch_bits))  # 4 * 2**sketch_bits bytes
-    members = first.filter("chunk is null").select("id", "n", "class")
+    members = first.filter("chunk is null").select("id", "n", "class", F.col("counts").alias("outline"))
     classes = members.filter("n > 0").groupBy("class").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
 
     prefixes = materialize(_prefixes(texts, n, percent, shared, sketch_bits))
     met = prefixes.groupBy("shingle").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high")
     posted = materialize(prefixes.join(met, "shingle").select("shingle", "class", "low").distinct())
+    drop(prefixes)
     leaders = posted.groupBy("class").agg(F.min("low").alias("leader"))
     led = materialize(posted.join(leaders, "class").select("shingle", "class", "leader"))
+    drop(posted)
     around = led.select("shingle", F.col("leader").alias("other")).distinct()
     units = materialize(
         led.join(around, "shingle").select(F.least("leader", "other").alias("p"), F.greatest("leader", "other").alias("q"), "class", "leader").distinct()
     )
+    drop(led)
     # a unit of two leaders needs classes of both; a unit of one leader at least two
     sizes = units.groupBy("p", "q").agg(
         F.count(F.when(F.col("leader") == F.col("p"), 1)).alias("np"), F.count(F.when(F.col("leader") == F.col("q"), 1)).alias("nq")
@@ -311,7 +341,11 @@ def jaccard_components(
     left = F.transform(F.sequence(F.lit(0), F.col("bq") - 1), lambda o: F.struct(F.col("block").alias("i"), o.alias("j"), F.lit(0).alias("side")))
     right = F.transform(F.sequence(F.lit(0), F.col("bp") - 1), lambda o: F.struct(o.alias("i"), F.col("block").alias("j"), F.lit(1).alias("side")))
     spots = F.when(F.col("p") == F.col("q"), same).when(F.col("leader") == F.col("p"), left).otherwise(right)
-    tasks = materialize(sided.select("class", "p", "q", F.explode(spots).alias("s")).select("class", F.xxhash64("p", "q", "s.i", "s.j").alias("task"), "s.side"))
+    spread = sided.select("class", "p", "q", F.explode(spots).alias("s")).select("class", F.xxhash64("p", "q", "s.i", "s.j").alias("task"), "s.side")
+    outlines = members.filter("n > 0").groupBy("class").agg(F.min("n").alias("n"), F.min("outline").alias("outline"))
+    judged = spread.join(outlines, "class").select("task", "side", "class", "n", "outline").repartition("task").sortWithinPartitions("task")
+    tasks = materialize(_hopeful(judged, percent))
+    drop(units)
 
     wanted = classes.join(tasks.select("class").distinct(), "class")
     chosen = texts.join(wanted, "id").groupBy("class", "copies").agg(F.first("text").alias("text")) if _repeats(members) else texts.join(wanted, "id")
