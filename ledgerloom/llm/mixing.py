@@ -24,7 +24,11 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .base import materialize
+
 BLOCK_ROWS = 1024
+#: The table of sources is broadcast up to so many rows, and joined by shuffle beyond.
+BROADCAST_SOURCES = 50_000
 STEPS = 6
 
 
@@ -92,11 +96,12 @@ def mix(
     the source's blocks) and row_place (in the block's permutation); one row each time that a row is taken."""
     rows = with_tokens(docs, text_col)
     keyed = rows.withColumn("_source", F.coalesce(F.col(source_col).cast("string"), F.lit("")))
-    sizes = source_sizes(keyed.select(F.col("_source").alias("source"), "tokens"))
+    sizes = materialize(source_sizes(keyed.select(F.col("_source").alias("source"), "tokens")))
     exponent, spent = choose_exponent(sizes, target_entropy, most_repeats, budget)
 
     total = float(sizes.agg(F.sum("tokens")).first()[0] or 1)
     norm = float(sizes.agg(F.sum(F.pow(F.col("tokens") / F.lit(total), F.lit(exponent)))).first()[0] or 1)
+    few = sizes.count() <= BROADCAST_SOURCES
     # the small excess keeps a source that the budget holds exactly whole in spite of rounding
     planned = sizes.select(
         F.col("source").alias("_source"),
@@ -104,7 +109,7 @@ def mix(
         F.col("tokens").alias("_own"),
         (F.pow(F.col("tokens") / F.lit(total), F.lit(exponent)) / F.lit(norm) * F.lit(spent) * (1 + 1e-9)).alias("_budget"),
     )
-    cut = lambda df: df.join(planned, "_source").withColumn("block", F.pmod(F.xxhash64(id_col, F.lit(seed)), F.col("_blocks")))
+    cut = lambda df: df.join(F.broadcast(planned) if few else planned, "_source").withColumn("block", F.pmod(F.xxhash64(id_col, F.lit(seed)), F.col("_blocks")))
     blocks = cut(keyed.select(id_col, "_source", "tokens")).groupBy("_source", "block", "_own", "_budget").agg(F.sum("tokens").alias("_sum"))
     taken = blocks.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.floor(F.col("_budget") / F.col("_own")).cast("int"))))
     order = Window.partitionBy("_source", "epoch").orderBy(F.xxhash64("block", "epoch", F.lit(seed)), "block")
