@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Sequence
 
 import numpy as np
@@ -20,16 +21,28 @@ def labelled_sample(
 ) -> tuple[list[str], list[str]]:
     """Texts labelled 0 and 1 for training, at most ``per_class`` each, of at most ``longest`` bytes, none held out.
 
-    The choice is by a hash of the id, so it is the same for the same rows. At most
-    ``2 * per_class * longest`` bytes reach the driver, however large the tables are.
+    The choice is by a hash of the id, so it is the same for the same rows. Ids are chosen from the labels alone;
+    the texts follow by a join with these few ids (at most ``3 * per_class`` rows, hence broadcast), so no text is
+    shuffled. At most ``3 * per_class * longest`` bytes reach the driver, however large the tables are.
     """
-    known = labels.filter(F.col(label).isin(0, 1) & ~held_out).select(id_col, F.col(label).alias("_y")).dropDuplicates([id_col])
-    chosen = docs.select(F.col(id_col), F.col(text_col).alias("_text")).filter(F.octet_length("_text").between(1, longest)).join(known, id_col)
-    out = []
-    for y in (0, 1):
-        rows = chosen.filter(F.col("_y") == y).orderBy(F.xxhash64(id_col), "_text").limit(per_class).select("_text").collect()
-        out.append([r[0] for r in rows])
-    return out[0], out[1]
+    known = labels.filter(F.col(label).isin(0, 1) & ~held_out).select(id_col, F.col(label).cast("int").alias("_y")).dropDuplicates([id_col])
+    numbers = {r["_y"]: r["n"] for r in known.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
+    ids = []
+    for y, n in sorted(numbers.items()):
+        wanted = per_class * 3 // 2  # some have no text, or a long one
+        part = (1 << 20) if n <= wanted else min(1 << 20, (wanted * (1 << 20)) // n + 1)
+        cut = F.pmod(F.xxhash64(id_col, F.lit(label)), F.lit(1 << 20))
+        ids.append(known.filter((F.col("_y") == y) & (cut < part)).orderBy(cut, id_col).limit(wanted))
+    if not ids:
+        return [], []
+    few = ids[0] if len(ids) == 1 else ids[0].union(ids[1])
+    chosen = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text")).join(F.broadcast(few), id_col)
+    rows = chosen.filter(F.octet_length("_text").between(1, longest)).groupBy(id_col, "_y").agg(F.min("_text").alias("_text")).collect()
+    out: tuple[list[str], list[str]] = ([], [])
+    for r in sorted(rows, key=lambda r: zlib.crc32(str(r[id_col]).encode())):
+        if len(out[r["_y"]]) < per_class:
+            out[r["_y"]].append(r["_text"])
+    return out
 
 
 def dictionary(samples: Sequence[bytes], size: int) -> bytes:
