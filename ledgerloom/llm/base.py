@@ -50,6 +50,12 @@ def materialize(df: DataFrame) -> DataFrame:
     return out
 
 
+def small(df: DataFrame, rows: int = 500_000) -> DataFrame:
+    """``df`` (a written table of ids and numbers) marked for broadcast if it has at most ``rows`` rows; else as it is,
+    and the join is by shuffle."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

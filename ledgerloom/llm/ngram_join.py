@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import drop, materialize, runs
+from .base import drop, materialize, runs, small
 from .components import components
 
 SKETCH_BITS = 22
@@ -347,7 +347,7 @@ def jaccard_components(
     tasks = materialize(_hopeful(judged, percent))
     drop(units)
 
-    wanted = classes.join(tasks.select("class").distinct(), "class")
+    wanted = small(materialize(classes.join(tasks.select("class").distinct(), "class")))
     chosen = texts.join(wanted, "id").groupBy("class", "copies").agg(F.first("text").alias("text")) if _repeats(members) else texts.join(wanted, "id")
     sets = materialize(_sets(chosen, n, shared, sketch_bits))
     dealt = tasks.join(sets, "class").select("task", "side", "class", "copies", "set").repartition("task").sortWithinPartitions("task")
@@ -376,6 +376,6 @@ def _repeats(members: DataFrame) -> bool:
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """The row with the smallest id of every component, with all columns. Of rows that repeat an id, one stays."""
     found = materialize(jaccard_components(docs, n, percent).select("doc_id", "component_id"))
-    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
+    gone = materialize(found.filter("doc_id <> component_id").select("doc_id").distinct())
+    kept = docs.join(small(gone), "doc_id", "left_anti")
     return kept.dropDuplicates(["doc_id"]) if _repeats(found.select(F.col("doc_id").alias("id"))) else kept
