@@ -48,32 +48,36 @@ def code_lengths(counts: list[int], most: int = MOST_BITS) -> list[int]:
         return lengths
     floor = 1
     while True:
-        heap = [(max(counts[s], floor), n, (s,)) for n, s in enumerate(used)]
+        heap = [(max(counts[s], floor), n) for n, s in enumerate(used)]
         heapq.heapify(heap)
-        depth = dict.fromkeys(used, 0)
-        order = len(used)
-        while len(heap) > 1:
-            a, b = heapq.heappop(heap), heapq.heappop(heap)
-            members = a[2] + b[2]
-            for s in members:
-                depth[s] += 1
-            heapq.heappush(heap, (a[0] + b[0], order, members))
-            order += 1
-        if max(depth.values()) <= most:
+        parent = [0] * (2 * len(used) - 1)
+        for node in range(len(used), 2 * len(used) - 1):
+            a = heapq.heappop(heap)
+            b = heap[0]
+            parent[a[1]] = parent[b[1]] = node
+            heapq.heapreplace(heap, (a[0] + b[0], node))
+        depth = [0] * len(parent)
+        for node in range(len(parent) - 2, -1, -1):
+            depth[node] = depth[parent[node]] + 1
+        if max(depth) <= most:
             break
         floor = max(floor * 2, max(counts) >> most)
-    for s, d in depth.items():
+    for s, d in zip(used, depth, strict=False):
         lengths[s] = d
     return lengths
 
 
+#: Numbers with their bits reversed, by the number of bits.
+REVERSED = [[int(f"{v:0{n}b}"[::-1], 2) if n else 0 for v in range(1 << n)] for n in range(MOST_BITS + 1)]
+
+
 def canonical(lengths: list[int]) -> dict[int, tuple[int, int]]:
     """Symbol to (bits as stored, first bit lowest, length)."""
     code, out, last = 0, {}, 0
     for length, symbol in sorted((n, s) for s, n in enumerate(lengths) if n):
         code <<= length - last
         last = length
-        out[symbol] = (int(f"{code:0{length}b}"[::-1], 2), length)
+        out[symbol] = (REVERSED[length][code] if length <= MOST_BITS else int(f"{code:0{length}b}"[::-1], 2), length)
         code += 1
     return out
 
@@ -94,9 +98,12 @@ class Reader:
 
 
 class Code:
-    """A prefix code as a table over its longest length."""
+    """A prefix code as a table over its longest length, or a single symbol that takes no bits."""
 
-    def __init__(self, lengths: list[int]):
+    def __init__(self, lengths: list[int] | None = None, single: int | None = None):
+        if lengths is None:
+            self.single, self.symbols = single, [single]
+            return
         used = [s for s, n in enumerate(lengths) if n]
         self.single = used[0] if len(used) == 1 else None
         self.symbols = used
@@ -110,11 +117,13 @@ class Code:
         self.table = np.zeros(1 << self.most, np.int32)
         for symbol, (bits, n) in canonical(lengths).items():
             self.table[bits :: 1 << n] = symbol | n << 16
-        self.rows = self.table.tolist()
+        self.rows: list[int] | None = None
 
     def read(self, r: Reader) -> int:
         if self.single is not None:
             return self.single
+        if self.rows is None:
+            self.rows = self.table.tolist()
         a = r.at >> 3
         found = self.rows[int.from_bytes(r.data[a : a + 3], "little") >> (r.at & 7) & ((1 << self.most) - 1)]
         r.at += found >> 16
@@ -124,13 +133,16 @@ class Code:
 
 
 def read_code(r: Reader, size: int) -> Code:
-    lengths = [0] * size
     if r.bits(1):
         two = r.bits(1)
-        lengths[r.bits(8 if r.bits(1) else 1)] = 1
-        if two:
-            lengths[r.bits(8)] = 1
+        first = r.bits(8 if r.bits(1) else 1)
+        second = r.bits(8) if two else first
+        if first == second:
+            return Code(single=first)
+        lengths = [0] * size
+        lengths[first] = lengths[second] = 1
         return Code(lengths)
+    lengths = [0] * size
     own = [0] * 19
     for i in range(4 + r.bits(4)):
         own[LENGTH_ORDER[i]] = r.bits(3)
@@ -168,18 +180,30 @@ def _plain_green(r: Reader, code: Code, n: int) -> np.ndarray:
     first = r.at >> 3
     raw = np.frombuffer(r.data[first : first + (n * code.most + 7 >> 3) + 4] + b"\0\0\0", np.uint8).astype(np.int32)
     three = raw[:-2] | raw[1:-1] << 8 | raw[2:] << 16
-    table = (code.table & 0xFF | code.table >> 16 << 8).astype(np.int16)
-    found = table[(three[:, None] >> np.arange(8, dtype=np.int32)) & ((1 << code.most) - 1)].ravel().tolist()
-    at = start = r.at & 7
-    out = bytearray(n)
-    for i in range(n):
-        v = found[at]
-        out[i] = v & 255
-        at += v >> 8
-    r.at += at - start
-    if r.at > r.end:
+    windows = ((three[:, None] >> np.arange(8, dtype=np.int32)) & ((1 << code.most) - 1)).ravel()
+    step = (code.table >> 16).astype(np.uint8)[windows]
+    at = r.at & 7
+    # leaps of 16 symbols by doubling; the walk takes the leaps, then all of them are filled in side by side
+    limit = len(step) - 1
+    leap = np.minimum(np.arange(len(step), dtype=np.int32) + step, limit)
+    one = leap
+    for _ in range(4):
+        leap = leap[leap]
+    starts = np.empty((n + 15) // 16, np.int32)
+    item = leap.item
+    for i in range(len(starts)):
+        starts[i] = at
+        at = item(at)
+    places = np.empty((len(starts), 16), np.int32)
+    for k in range(16):
+        places[:, k] = starts
+        starts = one[starts]
+    places = places.ravel()[:n]
+    last = int(places[-1])
+    r.at += last + int(step[last]) - (r.at & 7)
+    if r.at > r.end or last >= limit:
         raise ValueError("the picture ends early")
-    return np.frombuffer(bytes(out), np.uint8)
+    return code.table.astype(np.uint8)[windows[places]]
 
 
 def _image(r: Reader, width: int, height: int, top: bool) -> np.ndarray:
@@ -425,18 +449,19 @@ class Writer:
         return np.unpackbits(raw, bitorder="little")[: self.at]
 
 
+def write_single(w: Writer, symbol: int) -> None:
+    """Store a code of one symbol below 256; the symbol takes no bits."""
+    w.bits(1, 2)
+    w.bits(int(symbol > 1), 1)
+    w.bits(symbol, 8 if symbol > 1 else 1)
+
+
 def write_code(w: Writer, lengths: list[int]) -> dict[int, tuple[int, int]]:
     """Store a code; the bits of each symbol."""
     used = [s for s, n in enumerate(lengths) if n]
     if len(used) < 2 and (used or [0])[0] < 256:
-        s = (used or [0])[0]
-        w.bits(1, 1)
-        w.bits(0, 1)
-        w.bits(int(s > 1), 1)
-        w.bits(s, 8 if s > 1 else 1)
-        return {s: (0, 0)}
-    if len(used) == 1:  # a lone symbol above 255 needs the normal form
-        lengths = list(lengths)
+        write_single(w, (used or [0])[0])
+        return {(used or [0])[0]: (0, 0)}
     steps, at = [], 0
     while at < len(lengths):
         n = lengths[at]
@@ -632,7 +657,7 @@ def encode_grey(samples: np.ndarray) -> bytes:
     lengths = code_lengths(np.bincount(flat, minlength=ALPHABETS[0]).tolist())
     codes = write_code(w, lengths)
     for s in (0, 0, 255, 0):
-        write_code(w, [int(i == s) for i in range(256)])
+        write_single(w, s)
     value, size = np.zeros(256, np.uint16), np.zeros(256, np.int64)
     for s, (bits, n) in codes.items():
         value[s], size[s] = bits, n
