@@ -14,14 +14,14 @@ A row's tokens are its stretches without ASCII white space and one closing token
 smallest at which every source is taken whole at least once: nothing is dropped, small sources repeat.
 
 Defined results: null texts have one token; a null source counts as the empty name; repeated rows are rows of
-their own; an empty table gives no rows; extra columns are kept unless they have the names added here.
+their own; an empty table gives no rows; extra columns of any name are kept by ``mixed``.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .base import materialize
@@ -32,10 +32,9 @@ BROADCAST_SOURCES = 50_000
 STEPS = 6
 
 
-def with_tokens(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Add ``tokens``."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.withColumn("tokens", (F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")) + 1).cast("long"))
+def token_count(text: Column) -> Column:
+    """Stretches without ASCII white space, and one for the end."""
+    return (F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")) + 1).cast("long")
 
 
 def source_sizes(rows: DataFrame) -> DataFrame:
@@ -92,10 +91,14 @@ def mix(
     docs: DataFrame, target_entropy: float | None = 0.95, most_repeats: float | None = 2.0, budget: float | None = None, seed: int = 17,
     id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
 ) -> DataFrame:
-    """The mixture: the columns of ``docs`` with tokens, epoch, block, block_place (in the epoch's permutation of
-    the source's blocks) and row_place (in the block's permutation); one row each time that a row is taken."""
-    rows = with_tokens(docs, text_col)
-    keyed = rows.withColumn("_source", F.coalesce(F.col(source_col).cast("string"), F.lit("")))
+    """The mixture, one row each time that a row is taken: _row (a struct of the columns of ``docs``), _id, tokens,
+    epoch, block, block_place (in the epoch's permutation of the source's blocks) and row_place (in the block's)."""
+    # the given columns travel as one struct, so their names can't clash with those added here
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    keyed = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.col(id_col).alias("_id"),
+        F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("_source"), token_count(text).alias("tokens"),
+    )
     sizes = materialize(source_sizes(keyed.select(F.col("_source").alias("source"), "tokens")))
     exponent, spent = choose_exponent(sizes, target_entropy, most_repeats, budget)
 
@@ -109,8 +112,8 @@ def mix(
         F.col("tokens").alias("_own"),
         (F.pow(F.col("tokens") / F.lit(total), F.lit(exponent)) / F.lit(norm) * F.lit(spent) * (1 + 1e-9)).alias("_budget"),
     )
-    cut = lambda df: df.join(F.broadcast(planned) if few else planned, "_source").withColumn("block", F.pmod(F.xxhash64(id_col, F.lit(seed)), F.col("_blocks")))
-    blocks = cut(keyed.select(id_col, "_source", "tokens")).groupBy("_source", "block", "_own", "_budget").agg(F.sum("tokens").alias("_sum"))
+    cut = lambda df: df.join(F.broadcast(planned) if few else planned, "_source").withColumn("block", F.pmod(F.xxhash64("_id", F.lit(seed)), F.col("_blocks")))
+    blocks = cut(keyed.select("_id", "_source", "tokens")).groupBy("_source", "block", "_own", "_budget").agg(F.sum("tokens").alias("_sum"))
     taken = blocks.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.floor(F.col("_budget") / F.col("_own")).cast("int"))))
     order = Window.partitionBy("_source", "epoch").orderBy(F.xxhash64("block", "epoch", F.lit(seed)), "block")
     placed = taken.select(
@@ -119,20 +122,21 @@ def mix(
         (F.sum("_sum").over(order) - F.col("_sum")).alias("_before"),
         F.least(F.col("_budget") - F.col("epoch") * F.col("_own"), F.col("_own").cast("double")).alias("_left"),
     ).filter("_before < _left")
-    inside = Window.partitionBy("_source", "block", "epoch").orderBy(F.xxhash64(id_col, "epoch", F.lit(seed)), id_col, "tokens")
+    inside = Window.partitionBy("_source", "block", "epoch").orderBy(F.xxhash64("_id", "epoch", F.lit(seed)), "_id", "tokens")
     chosen = cut(keyed).drop("_blocks", "_own", "_budget").join(placed, ["_source", "block"])
     numbered = chosen.withColumns({
         "row_place": F.row_number().over(inside) - 1,
         "_after": F.col("_before") + F.sum("tokens").over(inside.rowsBetween(Window.unboundedPreceding, 0)),
     })
-    return numbered.filter("_after <= _left").select(*docs.columns, "tokens", "epoch", "block", "block_place", "row_place")
+    return numbered.filter("_after <= _left").select("_row", "_id", "tokens", "epoch", "block", "block_place", "row_place")
 
 
 def mix_rows(docs: DataFrame, **options) -> DataFrame:
     """doc_id, source, tokens, epoch, block, block_place, row_place: the mixture without the texts."""
-    return mix(docs, **options).select("doc_id", "source", "tokens", "epoch", "block", "block_place", "row_place")
+    slim = docs.select("doc_id", "text", "source")
+    return mix(slim, **options).select("_row.doc_id", "_row.source", "tokens", "epoch", "block", "block_place", "row_place")
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The mixture as rows of ``docs``, each as often as it is taken."""
-    return mix(docs, **options).select(*docs.columns)
+    return mix(docs, **options).select("_row.*")

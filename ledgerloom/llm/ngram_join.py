@@ -22,7 +22,8 @@ meet in pairs.
 6. Components of those trees are the components of all links.
 
 Defined results: null and empty texts have n_shingles 0 and are their own component; repeated rows (equal ids
-too) are rows of one class; an empty table gives no rows; extra columns are ignored. Ids must not be null.
+too) are rows of one class; an empty table gives no rows; extra columns are ignored (kept by ``keep_one``). Rows with a null id are linked through
+equal sets only, and are never taken out by ``keep_one``.
 """
 
 from __future__ import annotations
