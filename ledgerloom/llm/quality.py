@@ -75,8 +75,8 @@ def quality_rows(docs: DataFrame, labels: DataFrame, modulus: int = 5, remainder
     )
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """The rows of ``docs`` that the classifier does not reject, with all their columns."""
-    model = fit_quality(docs, labels, F.lit(False))
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, modulus: int = 5, remainder_out: int = 0) -> DataFrame:
+    """The rows of ``docs`` that the classifier does not reject, with all their columns. Held-out labels are not read."""
+    model = fit_quality(docs, labels, remainder("doc_id", modulus) == remainder_out)
     score = F.pandas_udf(lambda texts: texts.map(lambda t: model.score(t or "")).astype("float64"), "double")
     return docs.filter(score(F.col("text").cast("string")) >= threshold)
