@@ -2,7 +2,7 @@
 
 A text is cut into blocks of 1 KiB (whole, nothing is left out) and each is compressed with either dictionary.
 The normalised difference of the summed sizes, with the compression ratio (text that repeats itself shrinks
-under both), is calibrated to a probability by a logistic fit on labelled rows that the dictionaries don't have.
+under both) and their products, is calibrated to a probability by a logistic fit on labelled rows that the dictionaries don't have.
 
 Training reads at most ``per_class`` labelled texts of each class, of at most ``longest`` bytes: a fixed bound.
 
@@ -41,14 +41,15 @@ class QualityModel:
             self._sizers = Sizer(self.good, self.level), Sizer(self.bad, self.level)
         data = text.encode()
         good, bad = (s.sizes(_blocks(data)).sum() for s in self._sizers)
-        return np.array([(good - bad) / (good + bad + 1), (good + bad) / 2 / max(1, len(data))])
+        difference, ratio = (good - bad) / (good + bad + 1), (good + bad) / 2 / max(1, len(data))
+        return np.array([difference, ratio, difference * ratio, ratio * ratio])
 
     def score(self, text: str) -> float:
         return 1.0 if self.fit is None else probability(self.fit, self.features(text))
 
 
 def fit_quality(
-    docs: DataFrame, labels: DataFrame, held_out: Column, per_class: int = 1500, longest: int = 65536, size: int = 65536, level: int = 3
+    docs: DataFrame, labels: DataFrame, held_out: Column, per_class: int = 3000, longest: int = 65536, size: int = 65536, level: int = 3
 ) -> QualityModel:
     """Train on the rows of ``labels`` that ``held_out`` (on doc_id) does not exclude."""
     bad, good = labelled_sample(docs, labels, "quality", held_out, per_class, longest)

@@ -60,7 +60,8 @@ def train_dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, by
                 words.update(own)
     least = max(3, ceil(0.008 * len(toxic)))
     scale = len(toxic) / max(1, len(ordinary))
-    grams = {g for g, n in rate["t"].items() if n >= least and log((n + 0.5) / (rate["o"][g] * scale + 0.5)) > min(CONTRAST, log(2 * least))}
+    contrast = min(CONTRAST, log(2 * max(least, 0.03 * len(toxic))))  # few texts can show no larger one
+    grams = {g for g, n in rate["t"].items() if n >= least and log((n + 0.5) / (rate["o"][g] * scale + 0.5)) > contrast}
     found: Counter = Counter()
     for own in sets["t"]:
         found.update({s for w in own for s in _stretches(w, grams)})
