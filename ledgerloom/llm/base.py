@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 #: Rows of text that one Arrow batch may hold in a Python worker; long texts make a batch large.
 BATCH_ROWS = 256
+ARROW_ROWS = 512
 
 _written: list[tuple[SparkSession, str]] = []
 
@@ -80,6 +81,14 @@ def release() -> None:
 atexit.register(release)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Cut Arrow batches to ``ARROW_ROWS`` rows in this session, unless it has its own setting: whole texts are long,
+    and a batch is held by the JVM and by the Python worker at once."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(ARROW_ROWS))
+
+
 def map_text(
     df: DataFrame, key: str, text: str, row: Callable[[str], tuple], schema: str, setup: Callable[[], object] | None = None
 ) -> DataFrame:
@@ -87,6 +96,7 @@ def map_text(
 
     Only two columns reach Python, in Arrow batches; each row stands alone, so nothing is shuffled.
     """
+    bounded_batches(df.sparkSession)
     names = [part.split()[0] for part in schema.split(", ")]
     kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "double": pa.float64(), "boolean": pa.bool_(), "binary": pa.binary()}
     fields = [kinds[part.split()[1]] for part in schema.split(", ")]

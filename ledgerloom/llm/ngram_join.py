@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import drop, materialize, runs, small
+from .base import bounded_batches, drop, materialize, runs, small
 from .components import components
 
 SKETCH_BITS = 22
@@ -304,6 +304,7 @@ def jaccard_components(
     ``class_id`` is the smallest id with an equal set; ``n_links`` counts the other rows that link with the row.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     texts = _texts(docs, id_col, text_col)
     first = materialize(_sketch_and_classes(texts, n, sketch_bits))
     shared = spark.sparkContext.broadcast(_summed(first, sketch_bits))  # 4 * 2**sketch_bits bytes

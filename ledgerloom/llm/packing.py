@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import materialize, ranked
+from .base import bounded_batches, materialize, ranked
 
 PROBES = ("", "Hello world, it's 12 o'clock.\n\n  x", "Épreuve ñandú größer 中文 🙂 a_b<|endoftext|>", "\t\r\n \u00a0--==!! don't WE'LL", "0123 4567.89")
 
@@ -57,6 +57,7 @@ def encoder(path: str):
 
 def pieces(docs: DataFrame, tokenizer: str, limit: int, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, piece, start, length, ids_crc32: each document's ids and ``end_id``, cut from the end into pieces of ``limit``."""
+    bounded_batches(docs.sparkSession)
     key_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -18,7 +18,7 @@ import ahocorasick
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import map_text
+from .base import bounded_batches, map_text
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "url", "account")
@@ -146,6 +146,7 @@ def redacted(text: str) -> str:
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with redacted texts (null stays null); a column ``n_chars`` follows the new length."""
+    bounded_batches(docs.sparkSession)
     change = F.pandas_udf(lambda texts: texts.map(lambda t: None if t is None else redacted(t)), "string")
     out = docs.withColumn(text_col, change(F.col(text_col).cast("string")))
     if "n_chars" in docs.columns:

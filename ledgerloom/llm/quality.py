@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import map_text
+from .base import bounded_batches, map_text
 from .compression import Sizer, dictionary, labelled_sample, logistic, probability, remainder
 
 BLOCK = 1024
@@ -79,5 +79,6 @@ def quality_rows(docs: DataFrame, labels: DataFrame, modulus: int = 5, remainder
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, modulus: int = 5, remainder_out: int = 0) -> DataFrame:
     """The rows of ``docs`` that the classifier does not reject, with all their columns. Held-out labels are not read."""
     model = fit_quality(docs, labels, remainder("doc_id", modulus) == remainder_out)
+    bounded_batches(docs.sparkSession)
     score = F.pandas_udf(lambda texts: texts.map(lambda t: model.score(t or "")).astype("float64"), "double")
     return docs.filter(score(F.col("text").cast("string")) >= threshold)
