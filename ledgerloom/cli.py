@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import logging
 import sys
+from datetime import datetime
 from pathlib import Path
 
 from .operators import quality
@@ -50,21 +51,26 @@ def ask() -> bool:
             return False
 
 
-def configure_logging(folder: str, name: str, verbose: bool = False) -> None:
-    """Console and a file; an unwritable folder only costs the file."""
+def configure_logging(folder: str, name: str, verbose: bool = False, tag: str | None = None) -> Path | None:
+    """Console and a new file for each run, the file always with debug records; ``tag`` marks its name. An unwritable
+    folder only costs the file."""
+    path = Path(folder) / f"{name}_{datetime.now():%Y%m%d_%H%M%S_%f}{f'_{tag}' if tag else ''}.log"
     handlers: list[logging.Handler] = [logging.StreamHandler()]
     handlers[0].setLevel(logging.DEBUG if verbose else logging.INFO)
     try:
-        Path(folder).mkdir(parents=True, exist_ok=True)
-        handlers.append(logging.FileHandler(Path(folder) / f"{name}.log"))
+        path.parent.mkdir(parents=True, exist_ok=True)
+        handlers.append(logging.FileHandler(path, encoding="utf-8"))
     except OSError as e:
         print(f"no log file: {e}", file=sys.stderr)
-    logging.basicConfig(level=logging.INFO, handlers=handlers, force=True, format="%(asctime)s %(levelname)s %(message)s")
+        path = None
+    logging.getLogger("py4j").setLevel(logging.WARNING)
+    logging.basicConfig(level=logging.DEBUG, handlers=handlers, force=True, format="%(asctime)s %(levelname)s %(message)s")
+    return path
 
 
 def main(arguments: list[str] | None = None) -> int:
     args = parser().parse_args(arguments)
-    configure_logging(args.log_dir, args.command, getattr(args, "verbose", False))
+    configure_logging(args.log_dir, args.command, getattr(args, "verbose", False), "dryrun" if getattr(args, "dry_run", False) else None)
     logging.info("arguments: %s", vars(args))
     spark = session(f"ledgerloom {args.command}")
     if args.command == "update":

@@ -19,22 +19,29 @@ def stocks(matrix: DataFrame) -> DataFrame:
     return matrix.select("stock").distinct()
 
 
+def _is_text(matrix: DataFrame) -> bool:
+    return dict(matrix.dtypes)["value"] == "string"
+
+
 def overlap_cells(local: DataFrame, incoming: DataFrame, rtol: float, atol: float) -> DataFrame:
-    """Unequal-marked cells (date, stock, local, incoming, unequal) of common dates x common stocks that either has."""
+    """Unequal-marked cells (date, stock, local, incoming, unequal) of common dates x common stocks that either has.
+    Numbers are compared within tolerance, texts exactly."""
     common_dates, common_stocks = dates(local).intersect(dates(incoming)), stocks(local).intersect(stocks(incoming))
     inside = lambda df, name: df.join(common_dates, "date", "left_semi").join(common_stocks, "stock", "left_semi").select(
         "date", "stock", F.col("value").alias(name)
     )
     both = inside(local, "local").join(inside(incoming, "incoming"), ["date", "stock"], "full")
-    return both.withColumn("unequal", unequal(F.col("local"), F.col("incoming"), rtol, atol))
+    exact = ~F.col("local").eqNullSafe(F.col("incoming"))
+    return both.withColumn("unequal", exact if _is_text(local) else unequal(F.col("local"), F.col("incoming"), rtol, atol))
 
 
 def overlap_report(local: DataFrame, incoming: DataFrame, rtol: float = 1e-7, atol: float = 1e-7) -> DataFrame:
     """One row: dates, stocks, mismatches, max_deviation, share of mismatches in the common rectangle."""
     cells = overlap_cells(local, incoming, rtol, atol)
+    distance = F.lit(0.0) if _is_text(local) else deviation(F.col("local"), F.col("incoming"))
     found = cells.agg(
         F.count_if("unequal").alias("mismatches"),
-        F.coalesce(F.max(F.when(F.col("unequal"), deviation(F.col("local"), F.col("incoming")))), F.lit(0.0)).alias("max_deviation"),
+        F.coalesce(F.max(F.when(F.col("unequal"), distance)), F.lit(0.0)).alias("max_deviation"),
     )
     common = dates(local).intersect(dates(incoming)).agg(F.count(F.lit(1)).alias("dates"))
     both = stocks(local).intersect(stocks(incoming)).agg(F.count(F.lit(1)).alias("stocks"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import shutil
 from dataclasses import dataclass, field
 from pathlib import Path
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import symbol_code
 from ..operators import minute
 from ..sources import layout
-from ..sources.pickled import has_dates, load, to_long
+from ..sources.pickled import load, split_kinds, to_long
 from ..sources.staging import Manifest, file_digest, group_digest
 
 
@@ -50,23 +51,31 @@ def _write(df, target: Path) -> None:
     part.rename(target)
 
 
+def int_code(symbol: str) -> int | None:
+    return int(symbol[:6]) if re.fullmatch(r"[0-9]{6}\.[A-Za-z]{2}", symbol) else None
+
+
 def regular(spark: SparkSession, source: Path, target: Path) -> str:
-    """One pickle: a date x symbol matrix as (datetime, one column a code), a series or a plain table as it is."""
+    """One pickle: a date x symbol matrix as (datetime, one column a code; cells that are no numbers as text), a series or a plain table as it is."""
     value = load(source)
     target.parent.mkdir(parents=True, exist_ok=True)
     if isinstance(value, pd.Series):
         _write(spark.createDataFrame(value.to_frame(value.name or "value").reset_index(drop=True)), target)
         return "series"
     symbols = [c for c in value.columns if isinstance(c, str)] if isinstance(value, pd.DataFrame) else []
-    if isinstance(value, pd.DataFrame) and symbols and (has_dates(value.index) or value.index.astype(str).str.fullmatch(r"\d{8}").all()):
-        long = to_long(spark, value[symbols]).withColumn("code", symbol_code(F.col("stock"))).filter("code is not null")
-        codes = sorted(int(c[:6]) for c in symbols if pd.Series([c]).str.fullmatch(r"\d{6}\.[A-Za-z]{2}")[0])
+    if isinstance(value, pd.DataFrame) and symbols and len(value) and value.index.astype(str).str.fullmatch(r"\d{8}").all():
+        codes = sorted(c for c in map(int_code, symbols) if c is not None)
         if len(set(codes)) != len(codes):
             raise ValueError(f"{source}: a code is under two suffixes")
         if codes:
             day = F.to_date(F.col("date").cast("string"), "yyyyMMdd")
-            wide = long.groupBy(day.alias("datetime")).pivot("code", codes).agg(F.max("value")).orderBy("datetime")
-            _write(wide, target)
+            wide = None
+            for kind, (part,) in split_kinds(value[[c for c in symbols if int_code(c) is not None]]):
+                cell = F.max("value") if kind == "double" else F.substr(F.max("value"), F.lit(2))
+                long = to_long(spark, part, kind).withColumn("code", symbol_code(F.col("stock")))
+                own = long.groupBy(day.alias("datetime")).pivot("code", [int_code(c) for c in part.columns]).agg(cell)
+                wide = own if wide is None else wide.join(own, "datetime")
+            _write(wide.select("datetime", *(f"`{c}`" for c in codes)).orderBy("datetime"), target)
             return "matrix"
     if not isinstance(value, pd.DataFrame):
         raise ValueError(f"{source} is neither a table nor a series")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..operators import matrix, minute, reference
 from ..sources import layout
 from ..sources.archives import UpdateError, check_limits, daily_packages, minute_members, pickles
-from ..sources.pickled import catalog, days_of, has_dates, load, to_long, to_wide
+from ..sources.pickled import catalog, days_of, decoded, has_dates, load, split_kinds, to_long, to_wide
 from ..sources.staging import Staging
 
 
@@ -75,19 +75,25 @@ class _Run:
         return value
 
     def compare(self, local: pd.DataFrame, incoming: pd.DataFrame, label: str, level: str) -> None:
-        a, b = to_long(self.spark, local).cache(), to_long(self.spark, incoming).cache()
+        """Numeric columns within tolerance, others exactly."""
         t = self.config.tolerance
-        row = matrix.overlap_report(a, b, t.rtol, t.atol).first()
-        if not row["dates"]:
+        stocks, mismatches, most, shown = 0, 0, 0.0, []
+        for kind, frames in split_kinds(local, incoming):
+            a, b = (to_long(self.spark, x, kind).cache() for x in frames)
+            row = matrix.overlap_report(a, b, t.rtol, t.atol).first()
+            stocks, mismatches, most = stocks + row["stocks"], mismatches + row["mismatches"], max(most, row["max_deviation"])
+            if row["mismatches"]:
+                plain = decoded if kind == "string" else lambda v: v
+                shown += [(r["date"], r["stock"], plain(r["local"]), plain(r["incoming"])) for r in matrix.overlap_examples(a, b, t.rtol, t.atol).collect()]
+            a.unpersist()
+            b.unpersist()
+        if not set(days_of(local.index)) & set(days_of(incoming.index)):
             self.result.add("warning", f"{label}: no date in common")
-        elif not row["stocks"]:
+        elif not stocks:
             raise UpdateError(f"{label}: no stock in common")
-        elif row["mismatches"]:
-            shown = matrix.overlap_examples(a, b, t.rtol, t.atol).collect()
-            text = "; ".join(f"{r['date']} {r['stock']}: {r['local']} and {r['incoming']}" for r in shown)
-            self.result.add(level, f"{label}: {row['mismatches']} cells differ, by {row['max_deviation']:.3g} at most ({text})")
-        a.unpersist()
-        b.unpersist()
+        elif mismatches:
+            text = "; ".join(f"{day} {stock}: {a} and {b}" for day, stock, a, b in sorted(shown, key=lambda r: r[:2])[:8])
+            self.result.add(level, f"{label}: {mismatches} cells differ, by {most:.3g} at most ({text})")
 
     # --- sources ---
 
@@ -166,9 +172,12 @@ class _Run:
             raise UpdateError(f"{label}: the history is no table")
         self.compare(local, new, label, "error")
         stocks = [*map(str, local.columns), *(c for c in map(str, new.columns) if c not in set(map(str, local.columns)))]
-        merged = matrix.overlay(to_long(self.spark, local), to_long(self.spark, new))
-        like = pd.concat([local.head(1), new.head(1)])
-        self.staging.stage(to_wide(merged, stocks, like), target)
+        parts = []
+        for kind, (a, b) in split_kinds(local, new):
+            own = {*map(str, a.columns), *map(str, b.columns)}
+            merged = matrix.overlay(to_long(self.spark, a, kind), to_long(self.spark, b, kind))
+            parts.append(to_wide(merged, [s for s in stocks if s in own], pd.concat([a.head(1), b.head(1)])))
+        self.staging.stage(parts[0] if len(parts) == 1 else pd.concat(parts, axis=1)[stocks].sort_index(), target)
         self.result.count("matrices")
 
     def minutes(self, path: Path, folder: Path) -> None:

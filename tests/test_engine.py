@@ -16,7 +16,7 @@ from ledgerloom.plans.update import Tolerance, UpdateConfig, update_dataset
 from ledgerloom.sources import layout
 from ledgerloom.sources.archives import UpdateError, check_limits, daily_packages, minute_members
 from ledgerloom.sources.daily import load_day
-from ledgerloom.sources.pickled import catalog, dump
+from ledgerloom.sources.pickled import catalog, decoded, dump, encoded
 from ledgerloom.sources.staging import Manifest, Staging
 
 DAYS = [int(d.strftime("%Y%m%d")) for d in pd.bdate_range("2024-01-01", periods=30)]
@@ -101,6 +101,44 @@ def test_dry_run_and_refusal_write_nothing(spark, tmp_path):
     assert before == {p: p.read_bytes() for p in (tmp_path / "full").rglob("*.pkl")}
 
 
+def test_texts_are_compared_and_merged(spark, tmp_path):
+    root = history(tmp_path / "full")
+    folder = delivery(tmp_path / "new")
+    target = root / "reference/industries/ind_lv1.pkl"
+    columns = ["000001.SZ", "600000.SH", "000002.SZ"]
+    frame = lambda days, names: pd.DataFrame({columns[0]: names[0], columns[1]: names[1], columns[2]: 3.0}, index=days)
+    dump(frame(DAYS[:-2], ("bank", None)), target)
+    with_names = lambda names: packed({f"factorDatabase_incre_pkl_{day}.zip": packed({"ind_lv1.pkl": frame([DAYS[-3], day], names), "adjfactor.pkl": pd.DataFrame(2.0, index=[day], columns=columns[:2]),
+        **{f"{n}.pkl": pd.DataFrame(1.0, index=[day], columns=columns[:2]) for n in ("adj_open", "adj_high", "adj_low", "adj_close", "volume", "amount", "adj_vwap")}}) for day in DAYS[-2:]})
+    (folder / layout.FACTOR_ARCHIVE).write_bytes(with_names(("steel", None)))
+    refused = update_dataset(spark, config(tmp_path))
+    assert not refused.committed and any("bank and steel" in t for t in refused.errors)
+    (folder / layout.FACTOR_ARCHIVE).write_bytes(with_names(("bank", None)))
+    result = update_dataset(spark, config(tmp_path))
+    assert result.errors == [] and result.committed
+    merged = pd.read_pickle(target)
+    assert merged.index.tolist() == DAYS and merged.columns.tolist() == columns
+    assert set(merged[columns[0]]) == {"bank"} and merged[columns[1]].isna().all() and (merged[columns[2]] == 3.0).all()
+    convert_dataset(spark, ConversionConfig(tmp_path / "full", tmp_path / "out", part="regular"))
+    row = spark.read.parquet(str(tmp_path / "out/reference/industries/industry_l1.parquet")).orderBy("datetime").first()
+    assert (row["1"], row["2"], row["600000"]) == ("bank", 3.0, None)
+
+
+def test_encoded_cells_come_back():
+    for value in ("a", "", True, False, 3, -4, 0.25, float("inf"), pd.Timestamp("2024-01-02 09:30")):
+        assert decoded(encoded(value)) == value
+    assert encoded(None) is None and encoded(float("nan")) is None and encoded(2.0) == encoded(2)
+    with pytest.raises(UpdateError):
+        encoded([1])
+
+
+def test_log_of_a_run(tmp_path):
+    path = cli.configure_logging(str(tmp_path / "logs"), "convert", tag="dryrun")
+    assert path.name.startswith("convert_") and path.name.endswith("_dryrun.log") and path.exists()
+    (tmp_path / "file").write_text("")
+    assert cli.configure_logging(str(tmp_path / "file"), "convert") is None
+
+
 def test_trust_and_tolerance():
     with pytest.raises(ValueError):
         UpdateConfig("/tmp", "/tmp")
