@@ -74,6 +74,32 @@ WITH coded AS (
 SELECT query_id, rank, neighbour_id, distance FROM ranked WHERE rank <= 10
 """
 
+JACCARD_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_sort(list_distinct(list_transform(range(1, greatest(len(w) - 2, 1) + 1), lambda i: array_to_string(w[i:i + 2], ' ')))) END AS s FROM words
+), classes AS (
+  SELECT s, min(doc_id) AS class_id, count(*) AS copies, len(s) AS n FROM sets GROUP BY s
+), posted AS (
+  SELECT class_id, n, copies, unnest(s) AS shingle FROM classes WHERE n > 0
+), pairs AS (
+  SELECT a.class_id AS x, b.class_id AS y, any_value(a.copies) AS cx, any_value(b.copies) AS cy
+  FROM posted a JOIN posted b ON a.shingle = b.shingle AND a.class_id < b.class_id AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+  GROUP BY a.class_id, b.class_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), links AS (SELECT x, y, cy AS c FROM pairs UNION ALL SELECT y, x, cx FROM pairs
+), reach AS (
+  SELECT class_id AS node, class_id AS other FROM classes
+  UNION SELECT r.node, l.y FROM reach r JOIN links l ON l.x = r.other
+), lowest AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node
+), degree AS (SELECT x, sum(c) AS c FROM links GROUP BY x)
+SELECT d.doc_id, CAST(k.n AS BIGINT) AS n_shingles, CASE WHEN k.n = 0 THEN d.doc_id ELSE component_id END AS component_id,
+       CASE WHEN k.n = 0 THEN d.doc_id ELSE class_id END AS class_id,
+       CAST(CASE WHEN k.n = 0 THEN 0 ELSE coalesce(c, 0) + copies - 1 END AS BIGINT) AS n_links
+FROM sets d JOIN classes k ON d.s = k.s JOIN lowest ON node = class_id LEFT JOIN degree ON x = class_id
+"""
+
 _SPANS = """
   SELECT doc_id, {kind!r} AS kind, {place} AS place,
          unnest(list_zip(string_split_regex(text, {rx})[:len(regexp_extract_all(text, {rx}))], regexp_extract_all(text, {rx}), regexp_extract_all(text, {rx}, {group}), range(len(regexp_extract_all(text, {rx}))))) AS m,
@@ -108,4 +134,4 @@ FROM docs LEFT JOIN joined USING (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_hamming_topk": TOPK_SQL, "op8_secret_trigrams": secrets_sql()}
+    return {"op2_hamming_topk": TOPK_SQL, "op5_ngram_jaccard": JACCARD_SQL, "op8_secret_trigrams": secrets_sql()}

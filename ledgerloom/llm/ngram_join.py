@@ -376,8 +376,11 @@ def _repeats(members: DataFrame) -> bool:
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """The row with the smallest id of every component, with all columns. Of rows that repeat an id, one stays."""
+    """The row with the smallest id of every component, with all columns. Of rows that repeat an id, one stays; rows
+    without an id all stay."""
     found = materialize(jaccard_components(docs, n, percent).select("doc_id", "component_id"))
     gone = materialize(found.filter("doc_id <> component_id").select("doc_id").distinct())
     kept = docs.join(small(gone), "doc_id", "left_anti")
-    return kept.dropDuplicates(["doc_id"]) if _repeats(found.select(F.col("doc_id").alias("id"))) else kept
+    if not _repeats(found.filter("doc_id is not null").select(F.col("doc_id").alias("id"))):
+        return kept
+    return kept.filter("doc_id is not null").dropDuplicates(["doc_id"]).union(kept.filter("doc_id is null"))

@@ -214,6 +214,8 @@ def test_components(spark):
 def test_keep_one_keeps_the_smallest(spark):
     docs = spark.createDataFrame([(3, "a b c d e f"), (1, "A b c d e f"), (2, "other"), (2, "other"), (9, None)], "doc_id long, text string")
     assert sorted(r[0] for r in ngram_join.keep_one(docs).select("doc_id").collect()) == [1, 2, 9]
+    nameless = docs.union(spark.createDataFrame([(None, "a b c d e f"), (None, "a b c d e f"), (None, "x")], docs.schema))
+    assert sorted(r[0] or 0 for r in ngram_join.keep_one(nameless).select("doc_id").collect()) == [0, 0, 0, 1, 2, 9]
 
 
 # --- 6, 9 ---
