@@ -75,7 +75,7 @@ def find_pii(text: str) -> list[tuple[int, int, str]]:
         if anchor == "digit":
             if at >= done["ip"] and not (at and "0" <= text[at - 1] <= "9") and (m := _IP.match(text, at)):
                 done["ip"] = m.end()
-                if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+                if all(len(p := part.lstrip("0")) <= 3 and int(p or "0") <= 255 for part in m[0].split(".")):
                     spans.append((at, m.end(), "ip"))
             if at >= done["card"] and (m := _CARD.match(text, at)):
                 done["card"] = m.end()

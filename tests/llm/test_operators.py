@@ -149,6 +149,8 @@ def test_pii_further_kinds_and_redaction():
     assert ("url", "https://a.b/c?d=1") in kinds and ("account", "12AB-3456") in kinds and ("email", "me@x.org") in kinds
     assert pii.redacted(text) == "see [URL]. Account no: [ACCOUNT] or [EMAIL]!"
     assert len(pii.find_pii("1" * 300_000 + "@" * 100_000 + "+1" * 50_000)) >= 0  # linear time
+    zeros = "0" * 9_000  # longer than int() reads
+    assert (0, len(zeros) + 7, "ip") in pii.find_pii(f"{zeros}1.2.3.4") and not [s for s in pii.find_pii(f"{zeros}256.2.3.4") if s[2] == "ip"]
 
 
 # --- 5 ---
