@@ -240,6 +240,7 @@ def test_classifiers_on_held_out_rows(spark, rows, label, least):
 
 def test_packing(spark, odd_docs):
     docs = odd_docs.filter("doc_id <> 25").select("doc_id", "text")
+    docs = docs.union(spark.createDataFrame([(1000, "one<|endoftext|> two<|endoftext|>")], docs.schema))
     got = pandas(packing.pack(docs, entry.TOKENIZER)).sort_values(["sequence_id", "offset"])
     from tokenizers import Tokenizer
 
