@@ -26,7 +26,10 @@ from pyspark.sql import functions as F
 
 from .base import materialize, runs
 
-CODE_BLOCK, QUERY_BLOCK, LEAST_BLOCKS = 50_000, 2_000, 16
+#: Every code meets every block of queries, so blocks are as large as a task holds: a code takes about 200 bytes there.
+CODE_BLOCK, QUERY_BLOCK, LEAST_BLOCKS = 500_000, 100_000, 16
+#: Queries whose results a task holds before it passes them on.
+OUT_QUERIES = 2_000
 
 
 def binary_codes(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -114,16 +117,18 @@ def _search_blocks(dealt: DataFrame, k: int) -> DataFrame:
             by_length: dict[int, list[int]] = {}
             for i in base:
                 by_length.setdefault(len(codes[i]), []).append(int(i))
-            out: list[tuple[bytes, int, int]] = []
             index = {n: MultiIndex(np.array([np.frombuffer(codes[i], np.uint8) for i in own]), np.array([len(ids[i]) for i in own])) for n, own in by_length.items()}
-            for q in asked:
-                own = by_length.get(len(codes[q]))
-                if own is None:
+            for start in range(0, len(asked), OUT_QUERIES):
+                out: list[tuple[bytes, int, int]] = []
+                for q in asked[start : start + OUT_QUERIES]:
+                    own = by_length.get(len(codes[q]))
+                    if own is None:
+                        continue
+                    found, away = index[len(codes[q])].search(np.frombuffer(codes[q], np.uint8), k)
+                    best = sorted((int(d), x) for f, d in zip(found, away, strict=True) for x in ids[own[f]])[:k]
+                    out += [(codes[q], x, d) for d, x in best]
+                if not out:
                     continue
-                found, away = index[len(codes[q])].search(np.frombuffer(codes[q], np.uint8), k)
-                best = sorted((int(d), x) for f, d in zip(found, away, strict=True) for x in ids[own[f]])[:k]
-                out += [(codes[q], x, d) for d, x in best]
-            if out:
                 q, x, d = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(q, pa.binary()), pa.array(x, pa.int64()), pa.array(d, pa.int32())], names=["query", "id", "distance"])
 
