@@ -140,7 +140,7 @@ def _summed(rows: DataFrame, bits: int, fan: int = 16) -> np.ndarray:
     once = dealt.repartition(chunks, "chunk", "way").mapInArrow(lambda b: add(b, ("chunk", "way")), "chunk int, way int, counts binary")
     twice = once.select("chunk", "counts").repartition(chunks, "chunk").mapInArrow(lambda b: add(b, ("chunk",)), "chunk int, counts binary")
     out = np.zeros(1 << bits, np.uint32)
-    for row in twice.toLocalIterator():  # 2**bits counters in all, whatever the corpus
+    for row in twice.collect():  # 2**bits counters in all, whatever the corpus; one job
         size = 1 << CHUNK_BITS
         part = np.frombuffer(row["counts"], np.uint32)
         out[row["chunk"] * size : row["chunk"] * size + len(part)] += part
