@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 
 from .base import materialize
 
+#: Rows of a block; in sources of over 2**24 rows a quarter of the root of their number, so that neither the blocks of
+#: a source nor the rows of a block, which one task orders, become too many.
 BLOCK_ROWS = 1024
 #: The table of sources is broadcast up to so many rows, and joined by shuffle beyond.
 BROADCAST_SOURCES = 50_000
@@ -108,7 +110,7 @@ def mix(
     # the small excess keeps a source that the budget holds exactly whole in spite of rounding
     planned = sizes.select(
         F.col("source").alias("_source"),
-        F.ceil(F.col("rows") / BLOCK_ROWS).alias("_blocks"),
+        F.ceil(F.col("rows") / F.greatest(F.lit(float(BLOCK_ROWS)), F.sqrt("rows") / 4)).alias("_blocks"),
         F.col("tokens").alias("_own"),
         (F.pow(F.col("tokens") / F.lit(total), F.lit(exponent)) / F.lit(norm) * F.lit(spent) * (1 + 1e-9)).alias("_budget"),
     )
