@@ -87,3 +87,8 @@ def pivot_field(adjusted: DataFrame, field: str, universe: list[int]) -> DataFra
     codes = sorted(universe)
     wide = adjusted.groupBy("datetime").pivot("code", codes).agg(F.max(field))
     return wide.select("datetime", *(F.col(f"`{c}`").alias(f"c{c}") for c in codes))
+
+
+def cells(adjusted: DataFrame, fields: tuple[str, ...] = (*PRICES, "volume", "amount")) -> DataFrame:
+    """The wide frames of all ``fields`` in long form: a row a (datetime, code) over all codes, with no list of them."""
+    return adjusted.groupBy("datetime", "code").agg(*(F.max(f).alias(f) for f in fields))

@@ -104,6 +104,8 @@ SELECT file_date, count(*) AS rows, count(DISTINCT date) AS days, count(*) - cou
     "adjusted_prices": f"WITH {BARS} SELECT strptime(CAST(date AS VARCHAR) || lpad(CAST(time AS VARCHAR), 4, '0'), '%Y%m%d%H%M') + INTERVAL 1 MINUTE AS datetime, code, {', '.join(f'{p} * ({_FACTOR}) AS {p}' for p in _P)}, volume, amount, row_id FROM bars WHERE code BETWEEN 0 AND 999999",
     "minute_pivot": f"""WITH {BARS}, a AS (SELECT strptime(CAST(date AS VARCHAR) || lpad(CAST(time AS VARCHAR), 4, '0'), '%Y%m%d%H%M') + INTERVAL 1 MINUTE AS datetime, code, close * ({_FACTOR}) AS close FROM bars WHERE code BETWEEN 0 AND 999999)
 SELECT datetime, {', '.join(f'max(close) FILTER (code = {c}) AS c{c}' for c in range(1, 21))} FROM a GROUP BY datetime""",
+    "minute_pivot_all": f"""WITH {BARS}, a AS (SELECT strptime(CAST(date AS VARCHAR) || lpad(CAST(time AS VARCHAR), 4, '0'), '%Y%m%d%H%M') + INTERVAL 1 MINUTE AS datetime, code, {', '.join(f'{p} * ({_FACTOR}) AS {p}' for p in _P)}, volume, amount FROM bars WHERE code BETWEEN 0 AND 999999)
+SELECT datetime, code, {', '.join(f'max({c}) AS {c}' for c in (*_P, 'volume', 'amount'))} FROM a GROUP BY datetime, code""",
     "overlap_report": f"""WITH {CELLS}, r AS (SELECT count(*) FILTER (unequal) AS mismatches, coalesce(max(CASE WHEN unequal AND greatest(abs(lv), abs(iv)) > 0 AND lv IS NOT NULL AND iv IS NOT NULL THEN abs(lv - iv) / greatest(abs(lv), abs(iv)) END), 0) AS max_deviation FROM marked)
 SELECT (SELECT count(*) FROM cd) AS dates, (SELECT count(*) FROM cs) AS stocks, mismatches, round(max_deviation, 12) AS max_deviation, round(mismatches / greatest((SELECT count(*) FROM cd) * (SELECT count(*) FROM cs), 1)::DOUBLE, 12) AS share FROM r""",
     "overlap_examples": f"WITH {CELLS} SELECT date, stock, lv AS local, iv AS incoming FROM marked WHERE unequal ORDER BY date, stock LIMIT 8",

@@ -121,6 +121,12 @@ def minute_pivot(spark, d):
     return minute.pivot_field(_adjusted(spark, d), "close", list(range(1, 21)))
 
 
+@query
+def minute_pivot_all(spark, d):
+    """All six fields of every code, in long form; ``minute_pivot`` has one field of 20 codes."""
+    return minute.cells(_adjusted(spark, d))
+
+
 @query
 def overlap_report(spark, d):
     return _rounded(matrix.overlap_report(bridge.local(spark, d), bridge.incoming(spark, d)), 12)
