@@ -12,12 +12,14 @@ Token ids are those of the ``tokenizers`` file; its vocabulary is run by the fas
 
 Defined results: a null text counts as empty and has only the closing id; an empty table gives no rows;
 repeated rows are packed each; extra columns are ignored. A literal special token in a text gets its own id, as by
-``tokenizers``, which encodes such texts itself.
+``tokenizers``, which encodes such texts itself, and also texts with very long runs of blanks and those on which
+``tiktoken`` fails.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -31,6 +33,10 @@ from .base import bounded_batches, materialize, ranked
 
 PROBES = ("", "Hello world, it's 12 o'clock.\n\n  x", "Épreuve ñandú größer 中文 🙂 a_b", "\t\r\n \u00a0--==!! don't WE'LL", "0123 4567.89")
 
+#: ``tiktoken`` fails on runs of about a million blanks; texts with runs of this length are left to ``tokenizers``.
+BLANKS = 100_000
+_BLANK = re.compile(r"\s+")
+
 _encoders: dict[str, object] = {}
 
 
@@ -51,7 +57,17 @@ def encoder(path: str):
         pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
         fast = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         slow = lambda t: own.encode(t, add_special_tokens=False).ids
-        quick = lambda t: slow(t) if any(a in t for a in added) else fast.encode_ordinary(t)
+
+        def quick(text: str) -> list[int]:
+            if any(a in text for a in added) or (len(text) >= BLANKS and any(m.end() - m.start() >= BLANKS for m in _BLANK.finditer(text))):
+                return slow(text)
+            try:
+                return fast.encode_ordinary(text)
+            except BaseException as e:  # a panic of the encoder is no Exception
+                if not isinstance(e, Exception) and type(e).__name__ != "PanicException":
+                    raise
+                return slow(text)
+
         _encoders[path] = quick if all(quick(t) == slow(t) for t in PROBES) else slow
     return _encoders[path]
 
