@@ -136,6 +136,7 @@ SELECT coalesce(o.date, n.date) AS date, count(o.row_id) AS old_rows, count(n.ro
 FROM o1 o FULL JOIN n1 n ON o.date = n.date AND o.code = n.code AND o.k = n.k GROUP BY 1""",
     "daily_normalize": """SELECT CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS datetime, o_custkey AS stock_code, o_totalprice AS value FROM orders WHERE o_custkey % 6 <> 0""",
     "daily_bundle": f"WITH {DAILY} SELECT symbol, round(daily_adj_close, 6) AS adj_close, round(daily_adj_open, 6) AS adj_open, round(daily_volume, 6) AS volume FROM daily WHERE date = 20240115",
+    "daily_bundle_all": f"WITH {DAILY} SELECT date, symbol, " + ", ".join(f"round({c}, 6) AS {c}" for c in ("adjfactor", *(f"daily_adj_{p}" for p in _P), "daily_volume", "daily_amount", "daily_adj_vwap")) + " FROM daily",
     "archive_caps": """WITH m AS (SELECT page_id % 20 AS archive, CAST(length(html) AS BIGINT) AS f, CAST(length(html) AS BIGINT) // (1 + page_id % 7) AS c FROM pages),
 r AS (SELECT archive, count(*) AS members, max(f) AS largest, CAST(sum(f) AS BIGINT) AS total, round(max(CASE WHEN c > 0 THEN f / c::DOUBLE END), 6) AS ratio, max(CASE WHEN c > 0 THEN f / c::DOUBLE END) AS q, count(*) FILTER (c = 0 AND f > 0) AS impossible FROM m GROUP BY archive)
 SELECT archive, members, largest, total, ratio, impossible, CASE WHEN members > 20 THEN 'members' WHEN largest > 9000 THEN 'member size' WHEN total > 60000 THEN 'total size' WHEN impossible > 0 THEN 'no compressed bytes' WHEN q > 6 THEN 'ratio' ELSE 'ok' END AS verdict FROM r""",

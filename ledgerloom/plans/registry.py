@@ -231,6 +231,12 @@ def daily_bundle(spark, d):
     return _rounded(long.groupBy("symbol").pivot("field", ["adj_close", "adj_open", "volume"]).agg(F.max("value")))
 
 
+@query
+def daily_bundle_all(spark, d):
+    """All eight daily fields of every day; ``daily_bundle`` has three of them for one day."""
+    return _rounded(bridge.daily(spark, d).drop("code"))
+
+
 @query
 def archive_caps(spark, d):
     return _rounded(storage.archive_faults(bridge.members(spark, d), most=20, member_bytes=9000, total_bytes=60000, ratio=6))
