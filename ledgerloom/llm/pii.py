@@ -3,7 +3,7 @@
 One Aho-Corasick pass over a text finds anchors: at-signs, plus signs, digits, URL schemes and identifier cues.
 At each anchor a deterministic local parser expands to the match's bounds and validates it. The kinds email,
 ip, card and phone equal leftmost non-overlapping matches of their expressions; url and account are the
-method's own. Each parser moves on from where its last match (kept or dropped) ended, so the work is linear.
+method's own, with schemes and cues in any ASCII case and IBANs in groups, which must pass their check digits. Each parser moves on from where its last match (kept or dropped) ended, so the work is linear.
 
 Defined results: a null text counts as empty and has no spans; an empty table gives no rows; repeated rows are
 scanned each; extra columns are ignored (or kept, by ``redact``).
@@ -33,6 +33,9 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _URL = re.compile(r"[^\x00-\x20\x7f<>\"'`{}|\\^]+")
 _ACCOUNT = re.compile(r"(?i:\x20?(?:no\.?|number|num|id|#))?[\x20:=#.]{1,3}([A-Z0-9][A-Z0-9-]{4,32}[A-Z0-9])(?![A-Za-z0-9])")
 
+_IBAN_LEAD = re.compile(r"(?i:\x20?(?:no\.?|number|num|id|#))?[\x20:=#.]{1,3}([A-Za-z]{2}[0-9]{2}(?:\x20?[A-Za-z0-9]){11,30})")
+_CAPITALS = re.compile("[A-Z]+")
+
 _anchors: ahocorasick.Automaton | None = None
 
 
@@ -45,11 +48,9 @@ def _automaton() -> ahocorasick.Automaton:
         found.add_word("@", ("at", 1))
         found.add_word("+", ("plus", 1))
         for word in SCHEMES:
-            for form in (word, word.upper(), word.capitalize()):
-                found.add_word(form, ("scheme", len(word)))
+            found.add_word(word, ("scheme", len(word)))
         for word in CUES:
-            for form in (word, word.upper(), word.capitalize()):
-                found.add_word(form, ("cue", len(word)))
+            found.add_word(word, ("cue", len(word)))
         found.make_automaton()
         _anchors = found
     return _anchors
@@ -65,12 +66,30 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _lowered(text: str) -> str:
+    """``text`` with the ASCII capitals made small; every other code point stays, so places are the same."""
+    return text.lower() if text.isascii() else _CAPITALS.sub(lambda m: m[0].lower(), text)
+
+
+def _iban(text: str, at: int) -> tuple[int, int] | None:
+    """The longest valid IBAN after a cue that ends at ``at``: 15 to 34 letters and digits, single spaces between groups."""
+    m = _IBAN_LEAD.match(text, at)
+    end = m.end(1) if m else 0
+    while m and end - m.start(1) >= 15:
+        if not (text[end - 1] == " " or text[end : end + 1].isalnum()):
+            plain = text[m.start(1) : end].replace(" ", "")
+            if len(plain) >= 15 and int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1:
+                return m.start(1), end
+        end -= 1
+    return None
+
+
 def find_pii(text: str) -> list[tuple[int, int, str]]:
     """Spans (start, end, kind) in code points, end exclusive, by start, then kind as in ``KINDS``."""
     spans: list[tuple[int, int, str]] = []
     done = dict.fromkeys(KINDS, 0)
     left = 0  # no local part reaches back over the last at-sign
-    for last, (anchor, length) in _automaton().iter(text):
+    for last, (anchor, length) in _automaton().iter(_lowered(text)):
         at = last - length + 1
         if anchor == "digit":
             if at >= done["ip"] and not (at and "0" <= text[at - 1] <= "9") and (m := _IP.match(text, at)):
@@ -104,7 +123,12 @@ def find_pii(text: str) -> list[tuple[int, int, str]]:
                 if end > at + length:
                     done["url"] = end
                     spans.append((at, end, "url"))
-        elif at >= done["account"] and not (at and text[at - 1].isalnum()) and (m := _ACCOUNT.match(text, at + length)):
+        elif at < done["account"] or (at and text[at - 1].isalnum()):
+            continue
+        elif place := _iban(text, at + length):
+            done["account"] = place[1]
+            spans.append((*place, "account"))
+        elif m := _ACCOUNT.match(text, at + length):
             if any("0" <= c <= "9" for c in m[1]):
                 done["account"] = m.end()
                 spans.append((m.start(1), m.end(1), "account"))
