@@ -22,8 +22,9 @@ meet in pairs.
 6. Components of those trees are the components of all links.
 
 Defined results: null and empty texts have n_shingles 0 and are their own component; repeated rows (equal ids
-too) are rows of one class; an empty table gives no rows; extra columns are ignored (kept by ``keep_one``). Rows with a null id are linked through
-equal sets only, and are never taken out by ``keep_one``.
+too) are rows of one class; an empty table gives no rows; extra columns are ignored (kept by ``keep_one``). Rows are told
+apart by their sets, not by their ids: rows that share an id, or have none, are linked each by its own text.
+Rows with a null id are never taken out by ``keep_one``.
 """
 
 from __future__ import annotations
@@ -188,6 +189,28 @@ def _sets(docs: DataFrame, n: int, shared, bits: int) -> DataFrame:
     return docs.select("class", "copies", "text").mapInArrow(run, "class long, copies long, set binary")
 
 
+def _named_sets(docs: DataFrame, n: int, shared, bits: int) -> DataFrame:
+    """(class, set) of the given texts, each under its own name; classes repeat within a task once at most."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sketch = shared.value
+        seen: set[int] = set()
+        for batch in batches:
+            names, data = [], []
+            for text in batch.column(0):
+                s = shingles(text.as_py(), n)
+                name = set_hash(s)
+                if not len(s) or name in seen:
+                    continue
+                if len(seen) < 1_000_000:
+                    seen.add(name)
+                names.append(name)
+                data.append(_ordered(s, sketch, bits).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(data, pa.binary())], names=["class", "set"])
+
+    return docs.select("text").mapInArrow(run, "class long, set binary")
+
+
 def possible(sizes: np.ndarray, outlines: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs that the length and the suffix filter leave, and the overlap that each pair needs for a link."""
     a, b = sizes[left][:, None], sizes[right][None, :]
@@ -303,6 +326,11 @@ def jaccard_components(
 
     ``class_id`` is the smallest id with an equal set; ``n_links`` counts the other rows that link with the row.
     """
+    return _rows(*_linked(docs, n, percent, sketch_bits, id_col, text_col), id_col)
+
+
+def _linked(docs: DataFrame, n: int, percent: int, sketch_bits: int = SKETCH_BITS, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """The rows (id, n, class, outline) and, for classes with shingles, (class, class_id, copies, component, links)."""
     spark = docs.sparkSession
     bounded_batches(spark)
     texts = _texts(docs, id_col, text_col)
@@ -350,8 +378,11 @@ def jaccard_components(
     drop(units)
 
     wanted = small(materialize(classes.join(tasks.select("class").distinct(), "class")))
-    chosen = texts.join(wanted, "id").groupBy("class", "copies").agg(F.first("text").alias("text")) if _repeats(members) else texts.join(wanted, "id")
-    sets = materialize(_sets(chosen, n, shared, sketch_bits))
+    if _plain(members):
+        sets = materialize(_sets(texts.join(wanted, "id"), n, shared, sketch_bits))
+    else:  # an id does not name a text
+        named_sets = _named_sets(texts, n, shared, sketch_bits).join(wanted.select("class", "copies"), "class")
+        sets = materialize(named_sets.groupBy("class", "copies").agg(F.first("set").alias("set")))
     dealt = tasks.join(sets, "class").select("task", "side", "class", "copies", "set").repartition("task").sortWithinPartitions("task")
     trees = materialize(_verified(dealt, percent))
 
@@ -361,7 +392,10 @@ def jaccard_components(
     info = classes.join(named, "class", "left").join(links, "class", "left").select(
         "class", F.col("id").alias("class_id"), "copies", F.coalesce("component", "class").alias("component"), F.coalesce("links", F.lit(0)).alias("links")
     )
-    info = materialize(info)
+    return members, materialize(info)
+
+
+def _rows(members: DataFrame, info: DataFrame, id_col: str) -> DataFrame:
     lowest = info.groupBy("component").agg(F.min("class_id").alias("component_id"))
     info = info.join(lowest, "component").select("class", "class_id", "component_id", (F.col("links") + F.col("copies") - 1).alias("n_links"))
     filled = members.filter("n > 0").join(info, "class").select("id", "n", "component_id", "class_id", "n_links")
@@ -369,18 +403,24 @@ def jaccard_components(
     return filled.union(bare).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", "class_id", "n_links")
 
 
-def _repeats(members: DataFrame) -> bool:
-    """Whether an id is on several rows."""
-    row = members.groupBy("id").agg(F.count(F.lit(1)).alias("c")).agg(F.max("c")).first()
-    return (row[0] or 0) > 1
+def _plain(members: DataFrame) -> bool:
+    """Whether every row has an id of its own."""
+    row = members.groupBy("id").agg(F.count(F.lit(1)).alias("c")).agg(F.max(F.when(F.col("id").isNull(), 2).otherwise(F.col("c")))).first()
+    return (row[0] or 0) <= 1
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """The row with the smallest id of every component, with all columns. Of rows that repeat an id, one stays; rows
-    without an id all stay."""
-    found = materialize(jaccard_components(docs, n, percent).select("doc_id", "component_id"))
-    gone = materialize(found.filter("doc_id <> component_id").select("doc_id").distinct())
-    kept = docs.join(small(gone), "doc_id", "left_anti")
-    if not _repeats(found.filter("doc_id is not null").select(F.col("doc_id").alias("id"))):
-        return kept
-    return kept.filter("doc_id is not null").dropDuplicates(["doc_id"]).union(kept.filter("doc_id is null"))
+    """The row with the smallest id of every component, with all columns. Rows are told apart by id and set, so
+    that of rows with equal ids one stays for every component of which it is the smallest; rows without an id all stay."""
+    members, info = _linked(docs, n, percent)
+    if _plain(members):
+        found = materialize(_rows(members, info, "doc_id").select("doc_id", "component_id"))
+        gone = materialize(found.filter("doc_id <> component_id").select("doc_id").distinct())
+        return docs.join(small(gone), "doc_id", "left_anti")
+    name = F.pandas_udf(lambda texts: texts.map(lambda t: set_hash(shingles(t, n))), "long")
+    named = docs.withColumn("_class", name(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    first = F.min(F.struct("class_id", "class")).alias("first")
+    chosen = small(materialize(info.filter("class_id is not null").groupBy("component").agg(first).select(F.col("first.class").alias("_kept"), F.col("first.class_id").alias("_kept_id"))))
+    smallest = named.join(chosen, (F.col("_class") == F.col("_kept")) & (F.col("doc_id").cast("long") == F.col("_kept_id")), "left_semi")
+    bare = named.filter(F.col("doc_id").isNotNull() & (F.col("_class") == set_hash(shingles("", n))))
+    return smallest.union(bare).dropDuplicates(["doc_id", "_class"]).union(named.filter("doc_id is null")).select(*docs.columns)
