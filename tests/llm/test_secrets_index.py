@@ -50,7 +50,7 @@ def test_queries_say_something():
     by_kind = {r.kind: secrets.trigram_query(r.pattern) for r in (*secrets.BASE_RULES, *secrets.MORE_RULES)}
     assert [k for k, q in by_kind.items() if q == secrets.TRUE] == ["hex"]
     assert not meets(by_kind["assign"], "pass the word to a key holder") and meets(by_kind["assign"], "x API_Key = 1")
-    assert not meets(by_kind["access"], "the akin kian") and meets(by_kind["private_key"], "-----BEGIN RSA PRIVATE KEY-----")
+    assert not meets(by_kind["access"], "the akin") and meets(by_kind["private_key"], "-----BEGIN RSA PRIVATE KEY-----")
 
 
 def test_many_matches_take_linear_time(spark):
