@@ -23,9 +23,11 @@ def labelled_sample(
 
     The choice is by a hash of the id, so it is the same for the same rows. Ids are chosen from the labels alone;
     the texts follow by a join with these few ids (at most ``3 * per_class`` rows, hence broadcast), so no text is
-    shuffled. At most ``3 * per_class * longest`` bytes reach the driver, however large the tables are.
+    shuffled. At most ``3 * per_class * longest`` bytes reach the driver, however large the tables are. An id that is
+    labelled both 0 and 1 is left out.
     """
-    known = labels.filter(F.col(label).isin(0, 1) & ~held_out).select(id_col, F.col(label).cast("int").alias("_y")).dropDuplicates([id_col])
+    known = labels.filter(F.col(label).isin(0, 1) & ~held_out).groupBy(id_col).agg(F.min(label).cast("int").alias("_y"), F.max(label).alias("_max"))
+    known = known.filter(F.col("_y") == F.col("_max")).drop("_max")
     numbers = {r["_y"]: r["n"] for r in known.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
     ids = []
     for y, n in sorted(numbers.items()):

@@ -49,7 +49,7 @@ class QualityModel:
 
 
 def fit_quality(
-    docs: DataFrame, labels: DataFrame, held_out: Column, per_class: int = 3000, longest: int = 65536, size: int = 65536, level: int = 3
+    docs: DataFrame, labels: DataFrame, held_out: Column, per_class: int = 3000, longest: int = 16384, size: int = 65536, level: int = 3
 ) -> QualityModel:
     """Train on the rows of ``labels`` that ``held_out`` (on doc_id) does not exclude."""
     bad, good = labelled_sample(docs, labels, "quality", held_out, per_class, longest)

@@ -1,10 +1,13 @@
 """Toxicity by compression distance: separate zstandard dictionaries for toxic and ordinary text.
 
 Both dictionaries hold the most frequent ordinary words; the toxic one also holds the stretches of words that
-labelled toxic texts have far more often than ordinary ones. A window of six words is compressed with either;
-ordinary windows cost the same under both, so the saved bytes point at toxic wording, wherever it stands in a
-long text. The largest savings and the numbers of windows above two thresholds are calibrated to a probability
-on labelled rows that the dictionaries don't have.
+labelled toxic texts have far more often than ordinary ones. zstandard's own trainer is not used: it weighs a
+stretch by its frequency, ordinary wording is the most frequent in toxic texts as well, and two dictionaries
+trained apart differ by chance as much as a toxic word saves (the README has figures). A window of six words is
+compressed with either; ordinary windows cost the same under both, so the saved bytes point at toxic wording,
+wherever it stands in a long text. Two thresholds of a window's saved bytes are chosen, and the largest savings
+and the numbers of windows above them are calibrated to a probability, on labelled rows that the dictionaries
+don't have.
 
 Training reads at most ``toxic_rows`` and ``ordinary_rows`` labelled texts of at most ``longest`` bytes.
 
@@ -29,7 +32,11 @@ GRAM = 5
 #: A stretch counts as toxic when its document rate exceeds the ordinary one by this factor's logarithm.
 CONTRAST = 4.0
 ORDINARY_BYTES = 16_000
+#: Savings among which the thresholds are chosen; more says nothing new about a window of six words.
+MOST_SAVED = 8
 STRETCHES = 1500
+#: A higher threshold is taken while it tells texts apart as well as the best one, less so much.
+SLACK = 0.02
 LEVEL = 6
 
 
@@ -48,6 +55,11 @@ def _stretches(word: bytes, grams: set[bytes]) -> set[bytes]:
     return {word[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)}
 
 
+def windows(text: str) -> list[bytes]:
+    words = text.encode().lower().split()
+    return [b" " + b" ".join(words[i : i + WINDOW_WORDS]) for i in range(0, len(words), WINDOW_WORDS)] or [b""]
+
+
 def train_dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
     """Contents of the ordinary and the toxic dictionary."""
     sets = {name: [set(t.encode().lower().split()) for t in texts] for name, texts in (("t", toxic), ("o", ordinary))}
@@ -70,31 +82,44 @@ def train_dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, by
     return common, b"".join(by_use(found, STRETCHES)) + b" " + common
 
 
+def thresholds(toxic: list[np.ndarray], ordinary: list[np.ndarray]) -> tuple[int, int]:
+    """Two savings of a window, one apart. The lower one is the largest of those that tell toxic from ordinary texts
+    about as well as the best: by the difference of the shares of texts with such a window."""
+    share = lambda texts, t: np.mean([x.max() >= t for x in texts])
+    gain = {t: share(toxic, t) - share(ordinary, t) for t in range(1, MOST_SAVED)}
+    low = max(t for t, g in gain.items() if g >= max(gain.values()) - SLACK)
+    return low, low + 1
+
+
 class ToxicityModel:
-    """Picklable: dictionaries and weights; compressors are made in each worker."""
+    """Picklable: dictionaries, thresholds and weights; compressors are made in each worker."""
 
     def __init__(self, ordinary: bytes, toxic: bytes):
-        self.ordinary, self.toxic, self.fit, self._sizers = ordinary, toxic, None, None
+        self.ordinary, self.toxic, self.cuts, self.fit, self._sizers = ordinary, toxic, (1, 1), None, None
 
     def __getstate__(self):
         return self.__dict__ | {"_sizers": None}
 
-    def features(self, text: str) -> np.ndarray:
+    def saved(self, text: str) -> np.ndarray:
+        """The bytes that the toxic dictionary saves in each window."""
         if self._sizers is None:
             self._sizers = Sizer(self.ordinary, LEVEL, raw=True), Sizer(self.toxic, LEVEL, raw=True)
-        words = text.encode().lower().split()
-        windows = [b" " + b" ".join(words[i : i + WINDOW_WORDS]) for i in range(0, len(words), WINDOW_WORDS)] or [b""]
-        saved = self._sizers[0].sizes(windows) - self._sizers[1].sizes(windows)
+        own = windows(text)
+        return self._sizers[0].sizes(own) - self._sizers[1].sizes(own)
+
+    def features(self, saved: np.ndarray) -> np.ndarray:
         top = np.sort(saved)[-3:]
-        low, high = saved >= 3, saved >= 4
-        return np.array([min(top[-1], 8), min(top.mean(), 8), min(low.sum(), 10) / 3, np.log1p(high.sum()), low.mean() * 10, log(len(windows))])
+        low, high = (saved >= c for c in self.cuts)
+        return np.array([
+            min(top[-1], MOST_SAVED), min(top.mean(), MOST_SAVED), min(low.sum(), 10) / 3, np.log1p(high.sum()), low.mean() * 10, log(len(saved))
+        ])
 
     def score(self, text: str) -> float:
-        return 0.0 if self.fit is None else probability(self.fit, self.features(text))
+        return 0.0 if self.fit is None else probability(self.fit, self.features(self.saved(text)))
 
 
 def fit_toxicity(
-    docs: DataFrame, labels: DataFrame, held_out: Column, toxic_rows: int = 1500, ordinary_rows: int = 3000, longest: int = 65536
+    docs: DataFrame, labels: DataFrame, held_out: Column, toxic_rows: int = 1500, ordinary_rows: int = 3000, longest: int = 16384
 ) -> ToxicityModel:
     """Train on the rows of ``labels`` that ``held_out`` (on doc_id) does not exclude."""
     ordinary, toxic = labelled_sample(docs, labels, "toxic", held_out, ordinary_rows, longest)
@@ -103,8 +128,9 @@ def fit_toxicity(
         return ToxicityModel(b" ", b" ")
     parts = [(texts[: max(1, len(texts) * 2 // 3)], texts[max(1, len(texts) * 2 // 3) :]) for texts in (ordinary, toxic)]
     model = ToxicityModel(*train_dictionaries(parts[1][0], parts[0][0]))
-    rest = [(t, y) for y, (_, texts) in enumerate(parts) for t in texts]
-    model.fit = logistic(np.array([model.features(t) for t, _ in rest]), np.array([y for _, y in rest]))
+    rest = [[model.saved(t) for t in texts] for _, texts in parts]
+    model.cuts = thresholds(rest[1], rest[0])
+    model.fit = logistic(np.array([model.features(x) for part in rest for x in part]), np.array([y for y, part in enumerate(rest) for _ in part]))
     return model
 
 
