@@ -6,14 +6,16 @@ code the k smallest ids are kept, as no other can be among the k nearest by (dis
 Codes are dealt out in blocks as large as a task holds (all in one while they fit) and queries in more; a task
 holds one block of each. It cuts the codes into m segments of about log2(block) bits and indexes each: the codes
 by a segment's value. A query looks up its segments' values within radius 0, then 1, and so on, and verifies the
-codes that it meets for the first time. After radius s in j of the segments every code at distance
-m * s + j - 1 or less has been verified, so the search stops as soon as the k-th verified distance is that small. The values within a radius are
-listed by flipping bits or, where there are more of them than values that occur, picked from those that occur: the
-buckets are the same ones. The best k of each task are merged per query.
-
-Defined results: rows with a null or empty vector have no code, are no queries and are never found, nor are
-rows without an id; a null value counts as 0, NaN as above 0 (as SQL orders it); codes of other lengths never meet; ties go to smaller ids; repeated rows (equal ids too) are rows of their own in the order of
-ids; with fewer than k rows all are returned; an empty table gives no rows; extra columns are ignored.
+codes that it meets for the first time. After radius s in j of the segments every code at distance m * s + j - 1 or
+less has been verified, so the search stops as soon as the k-th verified distance is that small. The values within
+a radius are listed by flipping bits or, where there are more of them than values that occur, picked from those
+that occur: the buckets are the same ones. The best k of each task are merged per query.
+
+Defined results: rows with a null or empty vector have no code, are no queries and are never found, nor are rows
+without an id; a null value counts as 0, NaN as above 0 (as SQL orders it); codes are filled up to bytes with zeros,
+and those of other numbers of bytes never meet; ties go to smaller ids; repeated rows (equal ids too) are rows of
+their own in the order of ids; with fewer than k rows all are returned; an empty table gives no rows; extra columns
+are ignored.
 """
 
 from __future__ import annotations
