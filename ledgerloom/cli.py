@@ -5,10 +5,13 @@ from __future__ import annotations
 import argparse
 import logging
 import sys
+import zipfile
 from datetime import datetime
 from pathlib import Path
 
-from .operators import quality
+from .errors import DateAxisError, UpdateError
+from .operators import checks, quality  # noqa: F401 - the checks of a module are known once it is imported
+from .plans.results import UpdateResult
 from .session import session
 from .sources import layout
 
@@ -28,18 +31,26 @@ def parser() -> argparse.ArgumentParser:
     co.add_argument("--input", default="data/full")
     co.add_argument("--output", default="data/out")
     co.add_argument("--part", choices=("all", "regular", "minute"), default="all")
+    co.add_argument("--workers", type=int, default=None, help="minute files read at once at most")
     for flag in ("--overwrite", "--copy-other", "--dry-run"):
         co.add_argument(flag, action="store_true")
-    ch = commands.add_parser("check", help="run a quality check")
-    ch.add_argument("name", choices=quality.names())
-    ch.add_argument("--date", type=int, required=True)
-    ch.add_argument("--input", default="data/full")
-    ch.add_argument("--raw-tolerance", type=float, default=1e-8)
-    ch.add_argument("--show", type=int, default=20)
+    ch = commands.add_parser("check", help="run a quality check").add_subparsers(dest="name", required=True)
+    for name in checks.names():
+        one = ch.add_parser(name, help=checks.about(name))
+        one.add_argument("--input", default="data/full")
+        for p in checks.parameters(name):
+            one.add_argument("--" + p.name.replace("_", "-"), type=p.type, default=p.default, help=f"{p.help} (default {p.default})")
     return top
 
 
-def ask() -> bool:
+def show(result: UpdateResult) -> None:
+    for level, text in result.issues:
+        logging.log(logging.ERROR if level == "error" else logging.WARNING, text)
+
+
+def ask(result: UpdateResult) -> bool:
+    """The issues come before the question: the answer is a judgement on them."""
+    show(result)
     while True:
         try:
             answer = input("Commit? [y/N] ").strip().lower()
@@ -68,31 +79,44 @@ def configure_logging(folder: str, name: str, verbose: bool = False, tag: str |
     return path
 
 
+def _update(args: argparse.Namespace) -> int:
+    from .plans.update import Tolerance, UpdateConfig, update_dataset
+
+    config = UpdateConfig(Path(args.data), layout.delivery_dir(args.delivery), Tolerance(args.rtol, args.atol), args.trusted_pickle, args.dry_run)
+    asked: list[bool] = []
+    result = update_dataset(session("ledgerloom update"), config, lambda found: asked.append(True) or ask(found))
+    if not asked:
+        show(result)
+    logging.info(result.summary())
+    return 2 if result.errors else 0
+
+
+def _convert(args: argparse.Namespace) -> int:
+    from .plans.convert import ConversionConfig, convert_dataset
+
+    config = ConversionConfig(Path(args.input), Path(args.output), args.part, args.overwrite, args.copy_other, args.dry_run, workers=args.workers)
+    logging.info(convert_dataset(session("ledgerloom convert"), config).summary())
+    return 0
+
+
+def _check(args: argparse.Namespace) -> int:
+    from .sources.daily import load_day
+
+    context = checks.Context(session("ledgerloom check"), Path(args.input), load_day)
+    print(checks.run(args.name, context, **{p.name: getattr(args, p.name) for p in checks.parameters(args.name)}))
+    return 0
+
+
 def main(arguments: list[str] | None = None) -> int:
+    """0, or 2 where the data or the arguments don't allow what was asked for: one line says why."""
     args = parser().parse_args(arguments)
     configure_logging(args.log_dir, args.command, getattr(args, "verbose", False), "dryrun" if getattr(args, "dry_run", False) else None)
     logging.info("arguments: %s", vars(args))
-    spark = session(f"ledgerloom {args.command}")
-    if args.command == "update":
-        from .plans.update import Tolerance, UpdateConfig, update_dataset
-
-        config = UpdateConfig(Path(args.data), layout.delivery_dir(args.delivery), Tolerance(args.rtol, args.atol), args.trusted_pickle, args.dry_run)
-        result = update_dataset(spark, config, ask)
-        for level, text in result.issues:
-            logging.log(logging.ERROR if level == "error" else logging.WARNING, text)
-        logging.info("counters: %s, committed: %s", result.counters, result.committed)
-        return 2 if result.errors else 0
-    if args.command == "convert":
-        from .plans.convert import ConversionConfig, convert_dataset
-
-        logging.info("%s", convert_dataset(spark, ConversionConfig(Path(args.input), Path(args.output), args.part, args.overwrite, args.copy_other, args.dry_run)).counts)
-        return 0
-    from .sources.daily import load_day
-
-    root = Path(args.input)
-    check = quality.get(args.name).build(date=args.date, raw_tolerance=args.raw_tolerance, show=args.show, spark=spark, load=lambda s, day: load_day(s, root, day))
-    print(check.run().render())
-    return 0
+    try:
+        return {"update": _update, "convert": _convert, "check": _check}[args.command](args)
+    except (UpdateError, DateAxisError, ValueError, FileNotFoundError, zipfile.BadZipFile) as e:
+        logging.error("%s stops: %s", args.command, e)
+        return 2
 
 
 if __name__ == "__main__":

@@ -4,22 +4,26 @@ from __future__ import annotations
 
 import re
 import shutil
-from dataclasses import dataclass, field
+import uuid
+from dataclasses import dataclass
 from pathlib import Path
 
 import pandas as pd
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.exprs import symbol_code
-from ..operators import minute
+from ..operators import minute, storage
 from ..sources import layout
 from ..sources.pickled import load, split_kinds, to_long
 from ..sources.staging import Manifest, file_digest, group_digest
+from .results import ConversionResult, ObjectKind
 
 
 @dataclass(frozen=True)
 class ConversionConfig:
+    """``workers``: how many minute files are read at once at most; by default as many as the cluster has cores."""
+
     input: Path
     output: Path
     part: str = "all"
@@ -27,41 +31,53 @@ class ConversionConfig:
     copy_other: bool = False
     dry_run: bool = False
     include_factors: bool = False
+    workers: int | None = None
 
     def __post_init__(self) -> None:
         if self.part not in ("all", "regular", "minute"):
             raise ValueError("part is all, regular or minute")
+        if self.workers is not None and self.workers < 1:
+            raise ValueError("workers must be at least 1")
         if not Path(self.input).is_dir() or Path(self.input).resolve() == Path(self.output).resolve():
             raise ValueError("input must be a directory other than output")
 
 
-@dataclass
-class ConversionResult:
-    counts: dict[str, int] = field(default_factory=dict)
-
-    def count(self, name: str) -> None:
-        self.counts[name] = self.counts.get(name, 0) + 1
-
-
-def _write(df, target: Path) -> None:
-    part = target.with_name(target.name + ".writing")
+def _write(df: DataFrame, target: Path) -> None:
+    """Write beside the target, then swap; if the swap fails, the old output comes back."""
+    part = target.with_name(f"{target.name}.{uuid.uuid4().hex}")
     df.write.mode("overwrite").option("compression", "zstd").parquet(str(part))
-    if target.exists():
-        shutil.rmtree(target) if target.is_dir() else target.unlink()
-    part.rename(target)
+    old = part.with_suffix(".old") if target.exists() else None
+    if old:
+        target.rename(old)
+    try:
+        part.rename(target)
+    except BaseException:
+        if old:
+            old.rename(target)
+        raise
+    if old:
+        shutil.rmtree(old) if old.is_dir() else old.unlink()
 
 
 def int_code(symbol: str) -> int | None:
     return int(symbol[:6]) if re.fullmatch(r"[0-9]{6}\.[A-Za-z]{2}", symbol) else None
 
 
-def regular(spark: SparkSession, source: Path, target: Path) -> str:
-    """One pickle: a date x symbol matrix as (datetime, one column a code; cells that are no numbers as text), a series or a plain table as it is."""
+def _indexed(value: pd.DataFrame) -> pd.DataFrame:
+    """The index as a first column, under its name or ``index``."""
+    table = value.reset_index(names=value.index.name or "index")
+    table.columns = table.columns.astype(str)
+    return table
+
+
+def regular(spark: SparkSession, source: Path, target: Path) -> ObjectKind:
+    """One pickle: a date x symbol matrix as (datetime, one column a code; cells that are no numbers as text), a series
+    or a plain table with its index."""
     value = load(source)
     target.parent.mkdir(parents=True, exist_ok=True)
     if isinstance(value, pd.Series):
-        _write(spark.createDataFrame(value.to_frame(value.name or "value").reset_index(drop=True)), target)
-        return "series"
+        _write(spark.createDataFrame(_indexed(value.to_frame(value.name or "value"))), target)
+        return ObjectKind.SERIES
     symbols = [c for c in value.columns if isinstance(c, str)] if isinstance(value, pd.DataFrame) else []
     if isinstance(value, pd.DataFrame) and symbols and len(value) and value.index.astype(str).str.fullmatch(r"\d{8}").all():
         codes = sorted(c for c in map(int_code, symbols) if c is not None)
@@ -76,14 +92,49 @@ def regular(spark: SparkSession, source: Path, target: Path) -> str:
                 own = long.groupBy(day.alias("datetime")).pivot("code", [int_code(c) for c in part.columns]).agg(cell)
                 wide = own if wide is None else wide.join(own, "datetime")
             _write(wide.select("datetime", *(f"`{c}`" for c in codes)).orderBy("datetime"), target)
-            return "matrix"
+            return ObjectKind.MATRIX
     if not isinstance(value, pd.DataFrame):
         raise ValueError(f"{source} is neither a table nor a series")
     named = value if value.index.is_monotonic_increasing else value.sort_index()
-    table = named.reset_index(names=value.index.name or "index")
-    table.columns = table.columns.astype(str)
-    _write(spark.createDataFrame(table), target)
-    return "table"
+    _write(spark.createDataFrame(_indexed(named)), target)
+    return ObjectKind.TABLE
+
+
+def _read_minutes(spark: SparkSession, files: dict[int, Path], workers: int | None) -> DataFrame:
+    """The bars of all day files, each read in one task and checked there."""
+    columns = list(minute.REQUIRED)
+    paths = spark.createDataFrame([(d, str(p)) for d, p in files.items()], "day int, path string").repartition(min(len(files), workers or len(files)))
+
+    def read(batches):
+        for batch in batches:
+            for day, path in zip(batch["day"], batch["path"], strict=True):
+                table = load(path)
+                lacking = [c for c in columns if c not in table.columns]
+                if lacking or table.empty or set(table["date"]) != {day}:
+                    raise ValueError(f"{path}: empty, of another day, or without {lacking}")
+                table = table[columns].apply(pd.to_numeric, errors="coerce")
+                yield table.reset_index(drop=True).assign(row_id=range(len(table)))
+
+    return paths.mapInPandas(read, "code double, date int, time int, open double, high double, low double, close double, volume double, amount double, row_id long")
+
+
+def _factors(spark: SparkSession, path: Path) -> DataFrame:
+    """(date, code, factor) of the factor matrix, which must have days and symbols."""
+    value = load(path)
+    if not isinstance(value, pd.DataFrame) or not len(value) or not any(int_code(str(c)) is not None for c in value.columns):
+        raise ValueError(f"{path} is no daily matrix")
+    long = to_long(spark, value).withColumn("code", symbol_code(F.col("stock"))).filter("code is not null")
+    return long.select("date", "code", F.col("value").alias("factor"))
+
+
+def _check_days(days: DataFrame, bars: DataFrame, factors: DataFrame) -> None:
+    """Every day has factors, bars of listed codes, and no bar twice; else nothing is published."""
+    known = factors.groupBy("date").agg(F.lit(True).alias("factors"))
+    kept = bars.groupBy("date", "code", "time").agg(F.count(F.lit(1)).alias("n")).groupBy("date").agg(F.sum("n").alias("rows"), F.max("n").alias("most"))
+    state = days.join(known, "date", "left").join(kept, "date", "left").filter("factors is null or rows is null or most > 1").orderBy("date")
+    bad = [f"{r['date']}: " + ("no factors" if not r["factors"] else "no bars of listed codes" if r["rows"] is None else "bars repeat") for r in state.collect()]
+    if bad:
+        raise ValueError("; ".join(bad))
 
 
 def minutes(spark: SparkSession, config: ConversionConfig, manifest: Manifest, result: ConversionResult) -> None:
@@ -100,63 +151,62 @@ def minutes(spark: SparkSession, config: ConversionConfig, manifest: Manifest, r
     digest = group_digest([*files.values(), *([factors] if config.include_factors else [])])
     key = str(folder.relative_to(config.input))
     if not config.overwrite and manifest.is_current(key, digest, targets):
-        result.count("minute groups current")
+        result.counts[ObjectKind.CURRENT] += len(targets)
         return
-    result.count("minute groups converted")
     if config.dry_run:
+        result.counts[ObjectKind.PLANNED] += len(files)
         return
-    columns = list(minute.REQUIRED)
-    paths = spark.createDataFrame([(d, str(p)) for d, p in files.items()], "day int, path string").repartition(len(files))
-
-    def read(batches):
-        for batch in batches:
-            for day, path in zip(batch["day"], batch["path"], strict=True):
-                table = load(path)
-                lacking = [c for c in columns if c not in table.columns]
-                if lacking or table.empty or set(table["date"]) != {day}:
-                    raise ValueError(f"{path}: empty, of another day, or without {lacking}")
-                for c in columns:
-                    table[c] = pd.to_numeric(table[c], errors="coerce")
-                yield table[columns].reset_index(drop=True).assign(row_id=range(len(table)))
-
-    bars = paths.mapInPandas(read, "code double, date int, time int, open double, high double, low double, close double, volume double, amount double, row_id long")
-    whole = to_long(spark, load(factors)).withColumn("code", symbol_code(F.col("stock"))).filter("code is not null")
-    universe = sorted(r[0] for r in whole.select("code").distinct().collect())  # stocks: thousands
-    bars = bars.filter("code = round(code) and code between 0 and 999999").withColumn("code", F.col("code").cast("long"))
-    joined = minute.adjust(bars, whole.select("date", "code", F.col("value").alias("factor")), whole.select("code").distinct())
-    twice = joined.groupBy("datetime", "code").count().filter("count > 1")
-    if not twice.isEmpty():
-        raise ValueError("minute bars repeat")
-    for f, target in zip(fields, targets, strict=True):
-        target.parent.mkdir(parents=True, exist_ok=True)
-        _write(joined.groupBy("datetime").pivot("code", universe).agg(F.max(f)).orderBy("datetime"), target)
+    table = _factors(spark, factors)
+    codes = table.select("code").distinct()
+    universe = sorted(r[0] for r in codes.collect())  # stocks: thousands
+    place.mkdir(parents=True, exist_ok=True)
+    scratch = place / f".bars-{uuid.uuid4().hex}"  # pickles are read once, into long form
+    try:
+        bars = _read_minutes(spark, files, config.workers).filter("code = round(code) and code between 0 and 999999").withColumn("code", F.col("code").cast("long"))
+        bars.join(codes, "code", "left_semi").write.option("compression", "zstd").parquet(str(scratch))
+        bars = spark.read.parquet(str(scratch))
+        _check_days(spark.createDataFrame([(d,) for d in files], "date int"), bars, table)
+        adjusted = minute.adjust(bars, table)
+        for f, target in zip(fields, targets, strict=True):
+            _write(adjusted.groupBy("datetime").pivot("code", universe).agg(F.max(f)).orderBy("datetime"), target)
+    finally:
+        shutil.rmtree(scratch, ignore_errors=True)
+    result.counts[ObjectKind.MINUTE_DAYS] += len(files)
     manifest.record(key, digest)
 
 
+def _current(spark: SparkSession, sources: list[tuple[str, str]], manifest: Manifest, output: Path) -> set[str]:
+    """Keys of sources whose digest is the recorded one and whose target is there, as one plan over the listings."""
+    keyed = spark.createDataFrame(sources, "key string, digest string")
+    recorded = spark.createDataFrame(list(manifest.entries.items()), "key string, digest string")
+    there = spark.createDataFrame([(k,) for k, _ in sources if (output / layout.output_path(k)).exists()], "key string")
+    return {r["key"] for r in storage.currency(keyed, recorded, there).filter("current").collect()}
+
+
 def convert_dataset(spark: SparkSession, config: ConversionConfig) -> ConversionResult:
-    result = ConversionResult()
+    result = ConversionResult(dry_run=config.dry_run)
     manifest = Manifest.read(config.output / ".manifest.json", config.dry_run)
     folder = layout.first_dir(config.input, layout.MINUTE_DIRS)
+    sources = []
     for path in sorted(config.input.rglob("*")) if config.part != "minute" else []:
-        if not path.is_file() or folder in path.parents:
-            continue
         relative = path.relative_to(config.input).as_posix()
-        pickled = layout.is_pickle(relative)
-        if not pickled and not config.copy_other:
-            continue
-        target, digest = config.output / layout.output_path(relative), file_digest(path)
-        if not config.overwrite and manifest.is_current(relative, digest, [target]):
-            result.count("current")
+        if path.is_file() and folder not in path.parents and (layout.is_pickle(relative) or config.copy_other):
+            sources.append((relative, file_digest(path)))
+    current = _current(spark, sources, manifest, config.output) if sources and not config.overwrite else set()
+    for relative, digest in sources:
+        path, target = config.input / relative, config.output / layout.output_path(relative)
+        if relative in current:
+            result.counts[ObjectKind.CURRENT] += 1
             continue
         if config.dry_run:
-            result.count("would convert" if pickled else "would copy")
+            result.counts[ObjectKind.PLANNED] += 1
             continue
-        if pickled:
-            result.count(regular(spark, path, target))
+        if layout.is_pickle(relative):
+            result.counts[regular(spark, path, target)] += 1
         else:
             target.parent.mkdir(parents=True, exist_ok=True)
             shutil.copyfile(path, target)
-            result.count("copied")
+            result.counts[ObjectKind.COPY] += 1
         manifest.record(relative, digest)
     if config.part != "regular":
         minutes(spark, config, manifest, result)

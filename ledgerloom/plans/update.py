@@ -5,18 +5,20 @@ from __future__ import annotations
 import math
 import zipfile
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from ..errors import DateAxisError, UpdateError
 from ..operators import matrix, minute, reference
 from ..sources import layout
-from ..sources.archives import UpdateError, check_limits, daily_packages, minute_members, pickles
-from ..sources.pickled import catalog, days_of, decoded, has_dates, load, split_kinds, to_long, to_wide
+from ..sources.archives import daily_packages, hold_to_limits, minute_members, pickles
+from ..sources.pickled import catalog, days_of, decoded, has_dates, load, sorted_days, split_kinds, to_long, to_wide
 from ..sources.staging import Staging
+from .results import OF_READING, Count, UpdateResult
 
 
 @dataclass(frozen=True)
@@ -47,23 +49,6 @@ class UpdateConfig:
                 raise ValueError(f"{folder} is no directory")
 
 
-@dataclass
-class UpdateResult:
-    issues: list[tuple[str, str]] = field(default_factory=list)
-    counters: dict[str, int] = field(default_factory=dict)
-    committed: bool = False
-
-    def add(self, level: str, text: str) -> None:
-        self.issues.append((level, text))
-
-    def count(self, name: str) -> None:
-        self.counters[name] = self.counters.get(name, 0) + 1
-
-    @property
-    def errors(self) -> list[str]:
-        return [t for level, t in self.issues if level == "error"]
-
-
 class _Run:
     def __init__(self, spark: SparkSession, config: UpdateConfig, staging: Staging, result: UpdateResult):
         self.spark, self.config, self.staging, self.result = spark, config, staging, result
@@ -94,13 +79,23 @@ class _Run:
         elif mismatches:
             text = "; ".join(f"{day} {stock}: {a} and {b}" for day, stock, a, b in sorted(shown, key=lambda r: r[:2])[:8])
             self.result.add(level, f"{label}: {mismatches} cells differ, by {most:.3g} at most ({text})")
+            if level == "warning":
+                self.result.counts[Count.RISK_DIFFERENCES] += 1
 
     # --- sources ---
 
+    def lost(self, local: pd.DataFrame, new: pd.DataFrame) -> dict[str, list]:
+        """Labels of either axis that the history has and the delivery lacks."""
+        out = {}
+        for axis, kind, labels in (("date", "int", lambda f: days_of(f.index).tolist()), ("stock", "string", lambda f: [str(c) for c in f.columns])):
+            a, b = (self.spark.createDataFrame([(x,) for x in labels(f)], f"{axis} {kind}") for f in (local, new))
+            out[axis] = sorted(r[0] for r in matrix.not_covered(a, b, axis).collect())  # an axis
+        return {axis: labels for axis, labels in out.items() if labels}
+
     def risk(self, path: Path, files: dict[str, Path]) -> None:
         """Full overwrite: everything local must be covered; differences only warn."""
         with zipfile.ZipFile(path) as archive:
-            check_limits(archive, path.name)
+            hold_to_limits(self.spark, {path.name: archive})
             seen: set[str] = set()
             for name, info in pickles(archive):
                 if name in seen or name not in files:
@@ -109,12 +104,16 @@ class _Run:
                 seen.add(name)
                 with archive.open(info) as stream:
                     staged = self.staging.stage_bytes(stream, files[name])
-                local, new = self.wide(files[name], name), self.wide(staged, name)
-                for axis, lost in (("dates", set(days_of(local.index)) - set(days_of(new.index))), ("stocks", set(local.columns) - set(new.columns))):
-                    if lost:
-                        self.result.add("error", f"{name}: {len(lost)} {axis} are missing, as {sorted(lost)[:5]}")
-                self.compare(local, new, name, "warning")
-                self.result.count("risk files")
+                try:
+                    local, new = self.wide(files[name], name), self.wide(staged, name)
+                    for axis, labels in self.lost(local, new).items():
+                        self.result.add("error", f"{name}: the delivery lacks {len(labels)} of the history's {axis}s, as {labels[:5]}")
+                    self.compare(local, new, name, "warning")
+                except (UpdateError, DateAxisError, TypeError) as e:
+                    self.staging.discard(files[name])
+                    self.result.add("error", f"{name}: {e}")
+                    continue
+                self.result.counts[Count.RISK_FILES] += 1
             for name in sorted(files.keys() - seen):
                 self.result.add("error", f"{path.name} lacks {name}")
 
@@ -141,7 +140,7 @@ class _Run:
     def factors(self, path: Path, files: dict[str, Path]) -> None:
         """Daily packages in order; each is laid over what the day before left."""
         with zipfile.ZipFile(path) as outer:
-            for label, package in daily_packages(outer, path.name):
+            for label, package in daily_packages(self.spark, path.name, outer):
                 applied, seen = 0, set()
                 for name, info in pickles(package):
                     if name in seen:
@@ -149,6 +148,7 @@ class _Run:
                     seen.add(name)
                     if name not in files:
                         self.result.add("warning", f"{label}: {name} is not in the history")
+                        self.result.unmatched.add(name)
                         continue
                     with package.open(info) as stream:
                         new = load(stream)
@@ -157,6 +157,7 @@ class _Run:
                     if name in layout.SNAPSHOTS:
                         self.snapshot(local, new, name)
                         self.staging.stage(new, target)
+                        self.result.counts[Count.SNAPSHOTS] += 1
                     elif isinstance(new, pd.DataFrame) and has_dates(new.index):
                         self.merge(local, new, target, f"{label}/{name}")
                     else:
@@ -165,26 +166,29 @@ class _Run:
                     applied += 1
                 if not applied:
                     raise UpdateError(f"{label}: nothing in it could be applied")
-                self.result.count("daily packages")
+                self.result.counts[Count.PACKAGES] += 1
 
     def merge(self, local: object, new: pd.DataFrame, target: Path, label: str) -> None:
         if not isinstance(local, pd.DataFrame):
             raise UpdateError(f"{label}: the history is no table")
         self.compare(local, new, label, "error")
-        stocks = [*map(str, local.columns), *(c for c in map(str, new.columns) if c not in set(map(str, local.columns)))]
+        order = lambda f: self.spark.createDataFrame([(str(c), n) for n, c in enumerate(f.columns)], "stock string, at int")
+        union = matrix.ordered_union(order(local), order(new), "stock", "at")
+        stocks = [r["stock"] for r in sorted(union.collect(), key=lambda r: r["place"])]  # an axis
         parts = []
         for kind, (a, b) in split_kinds(local, new):
             own = {*map(str, a.columns), *map(str, b.columns)}
             merged = matrix.overlay(to_long(self.spark, a, kind), to_long(self.spark, b, kind))
             parts.append(to_wide(merged, [s for s in stocks if s in own], pd.concat([a.head(1), b.head(1)])))
         self.staging.stage(parts[0] if len(parts) == 1 else pd.concat(parts, axis=1)[stocks].sort_index(), target)
-        self.result.count("matrices")
+        self.result.counts[Count.MATRICES] += 1
 
     def minutes(self, path: Path, folder: Path) -> None:
         """New days are validated and taken over; days that exist must be equal whatever the rows' order."""
         known = layout.minute_files(folder)
         with zipfile.ZipFile(path) as archive:
-            members = minute_members(archive, path.name)
+            hold_to_limits(self.spark, {path.name: archive})
+            members = minute_members(path.name, archive)
             for day, info in members.items():
                 try:
                     with archive.open(info) as stream:
@@ -194,18 +198,17 @@ class _Run:
                         wrong = [k for k, v in row.asDict().items() if k.endswith("_differs") and v]
                         if wrong or row["old_rows"] != row["new_rows"]:
                             raise UpdateError(f"{day} differs from the history: {row['old_rows']} and {row['new_rows']} rows, {', '.join(wrong)}")
-                        self.result.count("minute days verified")
+                        self.result.counts[Count.MINUTE_DAYS_KNOWN] += 1
                     else:
                         row = minute.day_faults(new.withColumn("file_date", F.lit(day))).first()
                         if row is None or row["days"] != 1 or row["strange"] or row["repeats"]:
                             raise UpdateError(f"{day}: empty, of another day, or with repeated bars")
                         with archive.open(info) as stream:
                             self.staging.stage_bytes(stream, folder / layout.minute_name(day))
-                        self.result.count("minute days added")
+                        self.result.counts[Count.MINUTE_DAYS_NEW] += 1
                 except (UpdateError, TypeError, ValueError) as e:
                     self.result.add("error", f"minute bars: {e}")
-        days = sorted({*known, *members})
-        self.axes({"minute bars": days})
+        self.problems(self.axes({"minute bars": sorted({*known, *members})}))
 
     def bars(self, value: object, day: int):
         if not isinstance(value, pd.DataFrame):
@@ -218,48 +221,59 @@ class _Run:
         table = value[list(minute.REQUIRED)].reset_index(drop=True).assign(row_id=range(len(value)))
         return self.spark.createDataFrame(table)
 
-    def axes(self, axes: dict[str, list[int]]) -> None:
-        """Every axis against the calendar's last days, in one job; all problems are one error."""
+    def calendar(self) -> list[tuple[int]]:
         path = catalog(self.config.data, [layout.first_dir(self.config.data, layout.MINUTE_DIRS)]).get(layout.TRADING_CALENDAR)
         if path is None:
             raise UpdateError("there is no trading calendar")
-        shape = lambda rows, schema: self.spark.createDataFrame(rows, schema)
-        days = [(int(d),) for d in pd.Series(load(self.staging.current(path))).tolist()]
+        value = load(self.staging.current(path))
+        if not isinstance(value, pd.Series):
+            raise UpdateError(f"the trading calendar is no series but a {type(value).__name__}")
+        try:
+            return [(int(d),) for d in sorted_days(pd.Index(value))]
+        except DateAxisError as e:
+            raise UpdateError(f"the trading calendar: {e}") from e
+
+    def axes(self, axes: dict[str, list[int]]) -> list[str]:
+        """Every axis against the calendar's last days, in one job. Lags within bounds warn; the rest is returned."""
         try:
-            window = reference.reference_window(shape(days, "day int"), self.config.calendar_days)
+            window = reference.reference_window(self.spark.createDataFrame(self.calendar(), "day int"), self.config.calendar_days)
         except ValueError as e:
             raise UpdateError(str(e)) from e
         rows = [(name, int(d)) for name, own in axes.items() for d in own]
-        found = reference.axis_consistency(shape(rows, "axis string, day int"), window, self.config.most_lag).collect()
+        found = reference.axis_consistency(self.spark.createDataFrame(rows, "axis string, day int"), window, self.config.most_lag).collect()
         text = lambda r: f"{r['axis']}: {r['missing']} missing, {r['extra']} extra, {r['lag']} behind"
         for r in found:
             if r["level"] == "warning":
                 self.result.add("warning", text(r))
-        if bad := [text(r) for r in found if r["level"] == "error"]:
-            self.result.add("error", "; ".join(sorted(bad)))
+        return [text(r) for r in found if r["level"] == "error"]
+
+    def problems(self, texts: list[str]) -> None:
+        if texts:
+            self.result.add("error", f"{len(texts)} date axes: " + "; ".join(sorted(texts)))
 
     def all_axes(self, files: dict[str, Path]) -> None:
-        axes = {}
+        """The data set as a commit would leave it: all problems of all axes in one error."""
+        axes, bad = {}, []
         for name, path in files.items():
             if name in layout.WITHOUT_DATES or name == layout.TRADING_CALENDAR:
                 continue
-            value = load(self.staging.current(path))
-            if not isinstance(value, pd.DataFrame):
-                raise UpdateError(f"{name} is no table")
-            days = days_of(value.index)
-            if len(set(days)) != len(days) or (days[1:] < days[:-1]).any():
-                self.result.add("error", f"{name}: days repeat or are out of order")
-            axes[name] = days.tolist()
-        if axes:
-            self.axes(axes)
+            try:
+                axes[name] = sorted_days(self.wide(self.staging.current(path), name).index).tolist()
+            except (UpdateError, DateAxisError) as e:
+                bad.append(f"{name}: {e}")
+        self.problems(bad + (self.axes(axes) if axes else []))
 
 
-def update_dataset(spark: SparkSession, config: UpdateConfig, confirm: Callable[[], bool] = lambda: True) -> UpdateResult:
+def update_dataset(spark: SparkSession, config: UpdateConfig, confirm: Callable[[UpdateResult], bool] = lambda _: True) -> UpdateResult:
     """Apply a delivery. Each source is a transaction: with an error its files and counters go back. Any error stops
-    the commit; a dry run never commits; ``confirm`` has the last word."""
+    the commit; a dry run never commits; ``confirm``, which gets what was found so far, has the last word."""
     result = UpdateResult()
     minute_folder = layout.first_dir(config.data, layout.MINUTE_DIRS)
-    files = catalog(config.data, [minute_folder])
+    try:
+        files = catalog(config.data, [minute_folder])
+    except UpdateError as e:
+        result.add("error", str(e))
+        return result
     risk_files = {n: p for n, p in files.items() if "barra" in p.relative_to(config.data).parts}
     others = {n: p for n, p in files.items() if n not in risk_files}
     with Staging(config.data) as staging:
@@ -273,22 +287,21 @@ def update_dataset(spark: SparkSession, config: UpdateConfig, confirm: Callable[
             if not path.exists():
                 result.add("warning", f"the delivery has no {archive}")
                 continue
-            before, counters, errors = staging.checkpoint(), dict(result.counters), len(result.errors)
+            before, counts, errors = staging.checkpoint(), result.counts.copy(), len(result.errors)
             try:
                 apply(path)
-            except (UpdateError, zipfile.BadZipFile, OSError) as e:
+            except (UpdateError, DateAxisError, zipfile.BadZipFile, OSError) as e:
                 result.add("error", f"{archive}: {e}")
             if len(result.errors) > errors:
                 staging.rollback(before)
-                kept = {k: v for k, v in result.counters.items() if k in ("minute days verified", "daily packages")}
-                result.counters = counters | kept
-        if not result.errors:
-            try:
-                run.all_axes(files)
-            except UpdateError as e:
-                result.add("error", str(e))
-        if staging.versions and not result.errors and not config.dry_run and confirm():
-            result.count("commits")
-            staging.commit()
+                counts.update({c: n - counts[c] for c, n in result.counts.items() if c in OF_READING})
+                result.counts = counts
+        try:
+            run.all_axes(files)
+        except UpdateError as e:
+            result.add("error", str(e))
+        result.staged = len(staging.versions)
+        if staging.versions and not result.errors and not config.dry_run and confirm(result):
+            result.counts[Count.WRITTEN] = staging.commit()
             result.committed = True
     return result

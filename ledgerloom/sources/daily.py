@@ -7,9 +7,9 @@ from pathlib import Path
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
+from ..errors import UpdateError
 from ..operators.minute import REQUIRED
 from . import layout
-from .archives import UpdateError
 from .pickled import days_of, load
 
 

@@ -17,28 +17,34 @@ LOG = logging.getLogger(__name__)
 
 
 class Staging:
-    """New versions of files below ``root``, kept in a folder beside it until ``commit``."""
+    """New versions of files below ``root``, kept in a folder beside it until ``commit``.
+
+    The folder goes at the end, unless a commit failed and some file could not be brought back: then it stays, with
+    the old contents, and the error says where.
+    """
 
     def __init__(self, root: Path):
         self.root = Path(root)
         self.folder = Path(tempfile.mkdtemp(prefix=".staging-", dir=self.root.parent))
         self.versions: dict[Path, Path] = {}
-        self._number = 0
+        self._placed: list[Path] = []
+        self._keep = False
 
     def __enter__(self) -> Staging:
         return self
 
     def __exit__(self, *_: object) -> None:
-        shutil.rmtree(self.folder, ignore_errors=True)
+        if not self._keep:
+            shutil.rmtree(self.folder, ignore_errors=True)
 
     def current(self, target: Path) -> Path:
         """The staged version of a file, else the file."""
         return self.versions.get(target, target)
 
     def _place(self, target: Path) -> Path:
-        self._number += 1
-        place = self.folder / f"v{self._number}" / target.relative_to(self.root)
+        place = self.folder / f"v{len(self._placed) + 1}" / target.relative_to(self.root)
         place.parent.mkdir(parents=True, exist_ok=True)
+        self._placed.append(place)
         return place
 
     def stage(self, value: object, target: Path) -> None:
@@ -56,34 +62,59 @@ class Staging:
     def discard(self, target: Path) -> None:
         self.versions.pop(target, None)
 
-    def checkpoint(self) -> dict[Path, Path]:
-        return dict(self.versions)
+    def checkpoint(self) -> tuple[dict[Path, Path], int]:
+        return dict(self.versions), len(self._placed)
 
-    def rollback(self, to: dict[Path, Path]) -> None:
-        self.versions = dict(to)
+    def rollback(self, to: tuple[dict[Path, Path], int]) -> None:
+        """Back to a checkpoint; what was staged since then is deleted."""
+        versions, number = to
+        self.versions = dict(versions)
+        for place in self._placed[number:]:
+            place.unlink(missing_ok=True)
 
     def commit(self) -> int:
-        """Replace every target; if one fails, those replaced before get their old content back, latest first."""
-        done: list[tuple[Path, Path | None]] = []
+        """Replace every target. All old files are set aside first, and a target is never absent: it is replaced in
+        one step. Whatever interrupts, those replaced get their old contents back, and those that were new go."""
+        work = sorted(self.versions.items())
+        aside: dict[Path, Path] = {}
+        for n, (target, _) in enumerate(work):
+            if target.exists():
+                aside[target] = self.folder / f"old-{n}"
+                _duplicate(target, aside[target])
+        touched: list[Path] = []
         try:
-            for n, (target, version) in enumerate(sorted(self.versions.items(), key=lambda x: str(x[0]))):
-                backup = None
-                if target.exists():
-                    backup = self.folder / f"backup-{n}"
-                    os.replace(target, backup)
-                done.append((target, backup))
+            for target, version in work:
                 target.parent.mkdir(parents=True, exist_ok=True)
+                touched.append(target)
                 os.replace(version, target)
-        except OSError:
-            for target, backup in reversed(done):
-                if backup is not None:
-                    os.replace(backup, target)
-                else:
-                    target.unlink(missing_ok=True)
+        except BaseException as error:
+            lost = [t for t in reversed(touched) if not _restored(t, aside.get(t))]
+            if lost:
+                self._keep = True
+                error.add_note(f"not restored: {', '.join(map(str, lost))}; the old contents are in {self.folder}")
             raise
-        number = len(self.versions)
         self.versions = {}
-        return number
+        return len(work)
+
+
+def _duplicate(source: Path, place: Path) -> None:
+    """A second name of a file's contents, or a copy where the file system has no links."""
+    try:
+        os.link(source, place)
+    except OSError:
+        shutil.copy2(source, place)
+
+
+def _restored(target: Path, old: Path | None) -> bool:
+    try:
+        if old is None:
+            target.unlink(missing_ok=True)
+        else:
+            os.replace(old, target)
+    except OSError as e:
+        LOG.error("%s keeps its new content: %s", target, e)
+        return False
+    return True
 
 
 def file_digest(path: Path) -> str:

@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 
 from ledgerloom import cli
 from ledgerloom.functions import exprs
-from ledgerloom.operators import matrix, minute, quality, storage
+from ledgerloom.errors import DateAxisError, UpdateError
+from ledgerloom.operators import checks, matrix, minute, storage
 from ledgerloom.plans.convert import ConversionConfig, convert_dataset
 from ledgerloom.plans.update import Tolerance, UpdateConfig, update_dataset
 from ledgerloom.sources import layout
-from ledgerloom.sources.archives import UpdateError, check_limits, daily_packages, minute_members
+from ledgerloom.plans.results import Count, ObjectKind
+from ledgerloom.sources.archives import daily_packages, hold_to_limits, minute_members
 from ledgerloom.sources.daily import load_day
-from ledgerloom.sources.pickled import catalog, decoded, dump, encoded
+from ledgerloom.sources.pickled import catalog, decoded, dump, encoded, sorted_days
 from ledgerloom.sources.staging import Manifest, Staging
 
 DAYS = [int(d.strftime("%Y%m%d")) for d in pd.bdate_range("2024-01-01", periods=30)]
@@ -79,7 +81,8 @@ def test_update_commits(spark, tmp_path):
     merged = pd.read_pickle(root / "market/adjustment/adjfactor.pkl")
     assert merged.index.tolist() == DAYS and (merged == 2.0).all().all()
     assert set(layout.minute_files(root / "market/bars/1m")) == set(DAYS)
-    assert result.counters["minute days verified"] == 1 and result.counters["minute days added"] == 2
+    assert result.counts[Count.MINUTE_DAYS_KNOWN] == 1 and result.counts[Count.MINUTE_DAYS_NEW] == 2
+    assert result.counts[Count.WRITTEN] == result.staged > 0 and "committed" in result.summary()
 
 
 @pytest.mark.parametrize("change", [{"factor": 2.1}, {"close": 11.6}, {"minute_days": DAYS[-1:]}])
@@ -97,7 +100,7 @@ def test_dry_run_and_refusal_write_nothing(spark, tmp_path):
     before = {p: p.read_bytes() for p in (tmp_path / "full").rglob("*.pkl")}
     result = update_dataset(spark, config(tmp_path, dry_run=True))
     assert not result.errors and not result.committed and any("differ" in t for _, t in result.issues)
-    assert not update_dataset(spark, config(tmp_path), lambda: False).committed
+    assert not update_dataset(spark, config(tmp_path), lambda _: False).committed
     assert before == {p: p.read_bytes() for p in (tmp_path / "full").rglob("*.pkl")}
 
 
@@ -132,6 +135,13 @@ def test_encoded_cells_come_back():
         encoded([1])
 
 
+def test_axes_of_days():
+    assert issubclass(DateAxisError, ValueError) and not issubclass(UpdateError, ValueError)
+    for labels in ([], [20240102, 20240102], [20240103, 20240102], [20241301], ["x"]):
+        with pytest.raises(DateAxisError):
+            sorted_days(pd.Index(labels))
+
+
 def test_log_of_a_run(tmp_path):
     path = cli.configure_logging(str(tmp_path / "logs"), "convert", tag="dryrun")
     assert path.name.startswith("convert_") and path.name.endswith("_dryrun.log") and path.exists()
@@ -150,81 +160,204 @@ def test_convert_and_skip(spark, tmp_path):
     history(tmp_path / "full")
     (tmp_path / "full/notes.txt").write_text("x")
     settings = ConversionConfig(tmp_path / "full", tmp_path / "out", copy_other=True)
-    assert ConversionConfig and convert_dataset(spark, ConversionConfig(tmp_path / "full", tmp_path / "out", dry_run=True)).counts["would convert"]
+    assert ConversionConfig and convert_dataset(spark, ConversionConfig(tmp_path / "full", tmp_path / "out", dry_run=True)).counts[ObjectKind.PLANNED]
     assert not (tmp_path / "out").exists()
     first = convert_dataset(spark, settings)
-    assert first.counts["matrix"] == 9 and first.counts["copied"] == 1 and first.counts["minute groups converted"] == 1
+    assert first.counts[ObjectKind.MATRIX] == 9 and first.counts[ObjectKind.COPY] == 1 and first.counts[ObjectKind.MINUTE_DAYS] == len(DAYS) - 2
     beta = spark.read.parquet(str(tmp_path / "out/barra/beta.parquet"))
     assert beta.columns == ["datetime", "1", "600000"] and beta.count() == len(DAYS) - 2
     wide = spark.read.parquet(str(tmp_path / "out/market/bars/1m/open.parquet")).orderBy("datetime").first()
     assert str(wide["datetime"]).endswith("09:31:00") and wide["1"] == 20.0 and wide["600000"] == 40.0
     again = convert_dataset(spark, settings)
-    assert set(again.counts) == {"current", "minute groups current"}
+    assert set(again.counts) == {ObjectKind.CURRENT}
 
 
-def test_check(spark, tmp_path):
+def test_check(spark, tmp_path, capsys):
     root = history(tmp_path / "full")
-    load = lambda s, day: load_day(s, root, day)
-    report = quality.get("price-consistency").build(date=DAYS[0], spark=spark, load=load).run()
-    assert report.status is quality.Status.PASS and report.metrics["exact_points"] == 8
+    context = checks.Context(spark, root, load_day)
+    found = checks.run("price-consistency", context, date=DAYS[0])
+    assert found.level == "pass" and found.figures["exact_points"] == 8 and not found.samples
     dump(bars(DAYS[0], 11.6), root / "market/bars/1m" / layout.minute_name(DAYS[0]))
-    report = quality.get("price-consistency").build(date=DAYS[0], spark=spark, load=load).run()
-    assert report.status is quality.Status.FAIL and "14:59" in report.details[0] and "price_mismatch" in report.render()
-
-
-def test_registry_faults():
-    with pytest.raises(KeyError):
-        quality.get("nothing")
-    with pytest.raises(ValueError):
-        quality.register(quality.get("price-consistency"))
-    with pytest.raises(KeyError):
-        quality.get("price-consistency").build(colour=1)
-
-
-def test_archives(tmp_path):
-    with zipfile.ZipFile(io.BytesIO(packed({"a.pkl": b"1" * 5000, "b.pkl": b"2"}))) as z:
+    (found,) = checks.run_all(context, {"price-consistency": {"date": DAYS[0], "show": 1}})
+    assert found.level == "fail" and [p.kind for p in found.problems] == ["price_mismatch"] and len(found.samples) == 1 and "14:59" in str(found)
+    assert cli.main(["--log-dir", str(tmp_path / "logs"), "check", "price-consistency", "--date", str(DAYS[0]), "--input", str(root)]) == 0
+    assert "FAIL" in capsys.readouterr().out
+    assert cli.main(["--log-dir", str(tmp_path / "logs"), "check", "price-consistency", "--date", "20300101", "--input", str(root)]) == 2
+
+
+def test_checks_are_made_from_functions():
+    @checks.check("output")
+    def made_up(context, *, least: int = 3, words: str = "x"):
+        """Nothing.
+
+        More."""
+        yield checks.Figure("rows", 1234567)
+        yield checks.Figure("share", 0.123456789)
+        yield checks.Problem("warning", "few", f"less than {least}")
+
+    try:
+        assert [(p.name, p.type, p.default) for p in checks.parameters("made-up")] == [("least", int, 3), ("words", str, "x")]
+        assert checks.about("made-up") == "Nothing." and checks.subject("made-up") == "output" and "made-up" in checks.names()
+        found = checks.run("made-up", None, least=4)
+        assert found.level == "warning" and "1,234,567" in str(found) and "0.123457" in str(found) and "less than 4" in str(found)
+        args = cli.parser().parse_args(["check", "made-up", "--least", "9"])
+        assert (args.name, args.least, args.words) == ("made-up", 9, "x")
+        for name, options in (("nothing", {}), ("made-up", {"colour": 1})):
+            with pytest.raises(KeyError):
+                checks.run(name, None, **options)
+        with pytest.raises(ValueError):
+            checks.check("output")(made_up)
+        with pytest.raises(ValueError):
+            checks.check("elsewhere")
+    finally:
+        del checks._known["made-up"]
+
+
+def test_archives(spark, tmp_path):
+    with zipfile.ZipFile(io.BytesIO(packed({"folder/": b"", "a.pkl": b"1" * 5000, "b.pkl": b"2"}))) as z:
+        hold_to_limits(spark, {"z": z})
+        hold_to_limits(spark, {"z": z}, most=2)  # the folder does not count
+        for limits in ({"most": 1}, {"member_bytes": 100}, {"total_bytes": 5000}):
+            with pytest.raises(UpdateError):
+                hold_to_limits(spark, {"z": z}, **limits)
         with pytest.raises(UpdateError):
-            check_limits(z, "z", members=1)
-        with pytest.raises(UpdateError):
-            check_limits(z, "z", member_bytes=100)
-        with pytest.raises(UpdateError):
-            check_limits(z, "z", total_bytes=5000)
-        with pytest.raises(UpdateError):
-            minute_members(z, "z")
-        assert [label for label, _ in daily_packages(z, "z")] == ["z"]
+            minute_members("z", z)
+        assert [label for label, _ in daily_packages(spark, "z", z)] == ["z"]
     names = [f"factorDatabase_incre_pkl_{d}.zip" for d in (20240103, 20240102)]
     with zipfile.ZipFile(io.BytesIO(packed({n: packed({"x.pkl": b"1"}) for n in names}))) as z:
-        assert [label for label, _ in daily_packages(z, "z")] == ["20240102", "20240103"]
-    with zipfile.ZipFile(io.BytesIO(packed({"wrong.zip": packed({})}))) as z, pytest.raises(UpdateError):
-        list(daily_packages(z, "z"))
+        assert [label for label, _ in daily_packages(spark, "z", z)] == ["20240102", "20240103"]
+    for bad in ({"wrong.zip": packed({})}, {"factorDatabase_incre_pkl_20241301.zip": packed({})}, {names[0]: packed({}), "x/" + names[0]: packed({})}, {"../a.pkl": b"1"}):
+        with zipfile.ZipFile(io.BytesIO(packed(bad))) as z, pytest.raises(UpdateError):
+            list(daily_packages(spark, "z", z))
 
 
-def test_staging_restores(tmp_path, monkeypatch):
+@pytest.mark.parametrize("error", [OSError("disk"), KeyboardInterrupt()])
+@pytest.mark.parametrize("at", [1, 2, 3])
+def test_staging_restores(tmp_path, monkeypatch, error, at):
+    import os
+
     root = tmp_path / "full"
-    dump("old", root / "a.pkl")
-    dump("old", root / "b.pkl")
+    for name in "ab":
+        dump("old", root / f"{name}.pkl")
     with Staging(root) as s:
         s.stage("new", root / "a.pkl")
         mark = s.checkpoint()
-        s.stage("new", root / "b.pkl")
+        late = s.stage_bytes(io.BytesIO(b"x"), root / "b.pkl")
         s.rollback(mark)
-        assert set(s.versions) == {root / "a.pkl"}
+        assert set(s.versions) == {root / "a.pkl"} and not late.exists()
         s.stage("new", root / "b.pkl")
-        import os
+        s.stage("new", root / "c/d.pkl")
+        real, calls = os.replace, []
 
+        def fails(a, b):
+            calls.append(b)
+            assert len(calls) != 1 or all((root / f"{n}.pkl").exists() for n in "ab")
+            if len(calls) == at:
+                raise error
+            return real(a, b)
+
+        monkeypatch.setattr(os, "replace", fails)
+        with pytest.raises(type(error)):
+            s.commit()
+        monkeypatch.undo()
+    assert pd.read_pickle(root / "a.pkl") == "old" and pd.read_pickle(root / "b.pkl") == "old" and not (root / "c/d.pkl").exists()
+    assert not s.folder.exists()
+
+
+def test_staging_keeps_old_contents_that_it_could_not_restore(tmp_path, monkeypatch):
+    import os
+
+    root = tmp_path / "full"
+    for name in "abc":
+        dump("old", root / f"{name}.pkl")
+    with Staging(root) as s:
+        for name in "abc":
+            s.stage("new", root / f"{name}.pkl")
         real, calls = os.replace, []
 
         def fails(a, b):
             calls.append(b)
-            if len(calls) == 4:
+            if len(calls) in (3, 5):  # the third target, then the restoring of the second
                 raise OSError("disk")
             return real(a, b)
 
         monkeypatch.setattr(os, "replace", fails)
-        with pytest.raises(OSError):
+        with pytest.raises(OSError) as caught:
             s.commit()
         monkeypatch.undo()
-    assert pd.read_pickle(root / "a.pkl") == "old" and pd.read_pickle(root / "b.pkl") == "old"
+    assert "b.pkl" in caught.value.__notes__[0] and s.folder.exists()
+    assert [pd.read_pickle(root / f"{n}.pkl") for n in "abc"] == ["old", "new", "old"]
+    assert pd.read_pickle(s.folder / "old-1") == "old"
+
+
+def test_every_bad_axis_is_named(spark, tmp_path):
+    root = history(tmp_path / "full")
+    delivery(tmp_path / "new")
+    wide = lambda days: pd.DataFrame(1.0, index=days, columns=["000001.SZ"])
+    dump(wide([]), root / "x/empty.pkl")
+    dump(wide(DAYS[::-1]), root / "x/backward.pkl")
+    dump(wide([1, 2]), root / "x/numbers.pkl")
+    dump(wide([d for d in DAYS if d != DAYS[-4]]), root / "x/hole.pkl")
+    result = update_dataset(spark, config(tmp_path))
+    (error,) = result.errors
+    assert not result.committed and all(n in error for n in ("empty.pkl", "backward.pkl", "numbers.pkl", "hole.pkl")) and "adjfactor" not in error
+
+
+def test_the_calendar_must_be_a_sorted_series(spark, tmp_path):
+    root = history(tmp_path / "full")
+    delivery(tmp_path / "new")
+    for calendar in (pd.Series(DAYS[::-1]), pd.DataFrame({"d": DAYS}), pd.Series(DAYS + DAYS[-1:])):
+        dump(calendar, root / "market/calendar/trd_cal.pkl")
+        assert any("calendar" in e for e in update_dataset(spark, config(tmp_path)).errors)
+
+
+def test_a_name_in_two_places_stops_an_update(spark, tmp_path):
+    root = history(tmp_path / "full")
+    delivery(tmp_path / "new")
+    dump(1, root / "x/adjfactor.pkl")
+    result = update_dataset(spark, config(tmp_path))
+    assert len(result.errors) == 1 and "adjfactor.pkl" in result.errors[0] and not result.committed
+
+
+def test_conversion_refuses_days_that_it_can_not_adjust(spark, tmp_path):
+    root = history(tmp_path / "full")
+    settings = ConversionConfig(root, tmp_path / "out", part="minute", workers=2)
+    dump(bars(DAYS[-1]), root / "market/bars/1m" / layout.minute_name(DAYS[-1]))
+    dump(bars(DAYS[0]).assign(code=[5, 5, 6]), root / "market/bars/1m" / layout.minute_name(DAYS[0]))
+    dump(pd.concat([bars(DAYS[1])] * 2), root / "market/bars/1m" / layout.minute_name(DAYS[1]))
+    with pytest.raises(ValueError, match=f"{DAYS[0]}: no bars of listed codes; {DAYS[1]}: bars repeat; {DAYS[-1]}: no factors"):
+        convert_dataset(spark, settings)
+    assert not list((tmp_path / "out").rglob("*.parquet"))
+    with pytest.raises(ValueError):
+        ConversionConfig(root, tmp_path / "out", workers=0)
+    dump(pd.DataFrame({"a": [1]}), root / "market/adjustment/adjfactor.pkl")
+    with pytest.raises(ValueError, match="no daily matrix"):
+        convert_dataset(spark, settings)
+
+
+def test_a_series_keeps_its_index(spark, tmp_path):
+    dump(pd.Series([1.5, 2.5], index=pd.Index(["x", "y"], name="key"), name="size"), tmp_path / "in/s.pkl")
+    dump(pd.Series([3], index=["z"]), tmp_path / "in/t.pkl")
+    convert_dataset(spark, ConversionConfig(tmp_path / "in", tmp_path / "out", part="regular"))
+    assert sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out/s.parquet")).select("key", "size").collect()) == [("x", 1.5), ("y", 2.5)]
+    assert spark.read.parquet(str(tmp_path / "out/t.parquet")).select("index", "value").first() == ("z", 3)
+
+
+def test_exit_codes(spark, tmp_path):
+    logs = ["--log-dir", str(tmp_path / "logs")]
+    assert cli.main([*logs, "update", "--delivery", str(tmp_path / "none"), "--data", str(tmp_path)]) == 2
+    assert cli.main([*logs, "convert", "--input", str(tmp_path / "none")]) == 2
+    history(tmp_path / "full")
+    assert cli.main([*logs, "convert", "--input", str(tmp_path / "full"), "--output", str(tmp_path / "out"), "--part", "regular", "--workers", "2"]) == 0
+    (tmp_path / "new").mkdir()
+    (tmp_path / "new" / layout.RISK_ARCHIVE).write_bytes(b"no zip")
+    assert cli.main([*logs, "update", "--delivery", str(tmp_path / "new"), "--data", str(tmp_path / "full"), "--trusted-pickle"]) == 2
+
+
+def test_public_names():
+    import ledgerloom
+
+    assert all(hasattr(ledgerloom, n) for n in ledgerloom.__all__) and "update_dataset" in ledgerloom.__all__
 
 
 def test_catalog_and_manifest(tmp_path):
@@ -273,15 +406,56 @@ def test_overlay_keeps_missing_cells(spark):
     assert got == {(1, "b"): 2.0, (2, "a"): 3.0, (1, "a"): None, (3, "c"): 5.0}
 
 
-def test_stream_takes_each_day_once(spark, tmp_path):
-    from ledgerloom.streaming.minute_days import SCHEMA, ingest_days
-
-    for day in (20240102, 20240103):
-        table = bars(day).assign(row_id=range(3)).astype({"volume": "float64"})
-        spark.createDataFrame(table).selectExpr(*(f"cast({c.split()[0]} as {c.split()[1]}) {c.split()[0]}" for c in SCHEMA.split(", "))).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    for checkpoint in ("c1", "c2"):
-        ingest_days(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / checkpoint)).awaitTermination()
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 6
+def landed(spark, path, table, name):
+    """One Parquet file of bars under a given name."""
+    from ledgerloom.streaming.minute_days import SCHEMA
+
+    table = table.assign(row_id=range(len(table))).astype({"volume": "float64"})
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    kinds = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64()}
+    path.mkdir(parents=True, exist_ok=True)
+    schema = pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in SCHEMA.split(", ")])
+    pq.write_table(pa.Table.from_pandas(table, schema=schema, preserve_index=False), path / f"{name}.parquet")
+
+
+def test_stream_takes_each_bar_once(spark, tmp_path):
+    from ledgerloom.streaming.minute_days import ingest_days
+
+    taken = lambda: {tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).select("date", "code", "time", "close").collect()}
+    run = lambda checkpoint, **more: ingest_days(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / checkpoint), **more).awaitTermination()
+    whole = bars(20240102)
+    landed(spark, tmp_path / "in", whole[:2], "a")  # one day in two files and two batches
+    landed(spark, tmp_path / "in", bars(20240103), "b")
+    run("c1")
+    landed(spark, tmp_path / "in", whole[2:], "c")
+    landed(spark, tmp_path / "in", whole, "d")  # the whole day again
+    run("c1", files=1)
+    run("c2")  # everything again
+    rows = {tuple(map(float, r)) for t in (whole, bars(20240103)) for r in t[["date", "code", "time", "close"]].itertuples(index=False)}
+    assert taken() == rows and spark.read.parquet(str(tmp_path / "out")).count() == 6
+    landed(spark, tmp_path / "in", bars(20240103, close=99.0), "e")
+    with pytest.raises(Exception, match="differ from the history"):
+        run("c1")
+    assert taken() == rows
+
+
+def test_stream_takes_corrections(spark, tmp_path):
+    from ledgerloom.streaming.minute_days import corrected_files, ingest_days, take_corrections
+
+    paths = [str(tmp_path / n) for n in ("in", "out", "digests")]
+    assert corrected_files(spark, str(tmp_path), paths[2]).count() == 0
+    landed(spark, tmp_path / "in", bars(20240102)[:2], "a")
+    landed(spark, tmp_path / "in", bars(20240102)[2:], "b")
+    landed(spark, tmp_path / "in", bars(20240103), "c")
+    ingest_days(spark, paths[0], paths[1], str(tmp_path / "c"), digests=paths[2]).awaitTermination()
+    assert take_corrections(spark, *paths) == []
+    landed(spark, tmp_path / "in", bars(20240102, close=50.0)[:2], "a")
+    assert [r["path"].rsplit("/", 1)[1] for r in corrected_files(spark, paths[0], paths[2]).collect()] == ["a.parquet"]
+    assert take_corrections(spark, *paths) == [20240102] and take_corrections(spark, *paths) == []
+    got = spark.read.parquet(paths[1])
+    assert got.count() == 6 and {r[0] for r in got.filter("date = 20240102 AND code = 1 AND time = 1459").select("close").collect()} == {50.0}
 
 
 def test_issue_status(spark):
