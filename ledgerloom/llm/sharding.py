@@ -1,15 +1,18 @@
 """Sharding [native]: minimax contiguous partition of ordered atomic groups.
 
-Rows with equal texts form one atomic group. Groups are ordered by a 60-bit hash of the text, except that
-groups above an even share get a shard of their own behind the others. For the rest the smallest feasible
-shard capacity is found by binary search; a greedy pass from left to right checks each capacity. The bounds
-are then cut at the smallest one, each as near an even share of the rest as that capacity allows.
+Rows with equal texts form one atomic group; groups are ordered by a 60-bit hash of the text, and a shard is a run of
+them. The smallest feasible shard capacity is found by binary search; a greedy pass from left to right checks each
+capacity. A group above the capacity is a shard by itself, so one very large group does not excuse other shards:
+the largest shard is as small as any contiguous partition allows (it is the largest group, if that is above the
+capacity), and so is the largest one of those that hold several groups. The bounds are then cut at that capacity,
+each as near an even share of the rest as it allows.
 
 The search never holds the groups. The driver knows prefix sums of hash ranges only ("cells"), 4096 at first.
-For a capacity the greedy pass is done twice: once as if a cell could be cut anywhere (nothing smaller than
-this works), once as if it could not be cut at all (this works). Where the two disagree, the cells in which
-cuts may fall are split further, by one aggregation over the groups; each round makes cells 256 times finer
-and needs few of them, as cut number k moves by at most k cells. When both passes agree, the answer is exact.
+For a capacity the greedy pass is done twice: once as if a cell could be cut anywhere and its rest could be one
+group (nothing smaller than this works), once as if it could not be cut at all (this works). Cells above the first
+capacity are split first, at most one a shard. Where the two passes disagree, the cells in which cuts may fall are
+split further, by one aggregation over the groups; each round makes cells 256 times finer and needs few of them, as
+cut number k moves by at most k cells. When both passes agree, the answer is exact.
 
 Defined results: a null text counts as an empty one (size 8); an empty table gives no rows; repeated rows
 share a group, hence a shard, and get different slots; extra columns are ignored.
@@ -44,13 +47,16 @@ class Cells:
         self.total = self.ends[-1] if self.ends else 0
 
     def reach(self, start: int, capacity: int, whole: bool) -> int:
-        """The furthest prefix sum that a shard from ``start`` on may end at."""
+        """The furthest prefix sum that a shard from ``start`` on may end at; ``start`` where nothing fits."""
         limit = start + capacity
         if limit >= self.total:
             return self.total
-        i = bisect_right(self.ends, limit)
+        i = bisect_right(self.ends, limit)  # the cell that the limit falls into
         floor = self.ends[i - 1] if i else 0
-        return max(floor, start) if whole or self.cells[i][3] else limit
+        single = self.cells[i][3]
+        if floor > start:
+            return floor if whole or single else limit
+        return self.ends[i] if single or not whole else start  # a group above the capacity, or what may be one
 
     def chain(self, capacity: int, shards: int, whole: bool) -> list[int]:
         cuts = [0]
@@ -62,7 +68,7 @@ class Cells:
         return self.chain(capacity, shards, whole)[-1] >= self.total
 
     def smallest(self, shards: int, whole: bool) -> int:
-        low, high = -(-self.total // shards), self.total
+        low, high = 0, self.total
         while low < high:
             middle = (low + high) // 2
             if self.feasible(middle, shards, whole):
@@ -80,6 +86,7 @@ class Cells:
             bounds = [at, *self.ends[bisect_right(self.ends, at) : bisect_right(self.ends, far)]]
             i = bisect_right(bounds, aim)
             low = i - 1 if i == len(bounds) or aim - bounds[i - 1] <= bounds[i] - aim else i
+            low = min(max(1, low), len(bounds) - 1)  # no shard is empty while there are groups
             high = len(bounds) - 1
             while low < high:  # a later cut never makes the rest harder
                 middle = (low + high) // 2
@@ -96,14 +103,19 @@ class Cells:
 
     def undecided(self, shards: int) -> list[int]:
         """Indices of the cells to split before the smallest capacity is certain."""
-        low, high = self.smallest(shards, False), self.smallest(shards, True)
+        low = self.smallest(shards, False)
+        large = [i for i, c in enumerate(self.cells) if c[2] > low and not c[3] and c[1] > 0]
+        if large:
+            return large
+        high = self.smallest(shards, True)
+        if low == high:
+            return []
         early, late = self.chain(low, shards, True), self.chain(high, shards, False)
         wanted: set[int] = set()
         for a, b in zip(early, late, strict=True):
             first, last = bisect_right(self.ends, min(a, b)), bisect_right(self.ends, max(a, b))
             wanted.update(range(first, min(last, len(self.cells) - 1) + 1))
-        found = [i for i in wanted if not self.cells[i][3] and self.cells[i][1] > 0]
-        return found
+        return [i for i in wanted if not self.cells[i][3] and self.cells[i][1] > 0]
 
 
 def _sums(groups: DataFrame, bits_left: int) -> list[tuple[int, int, int, bool]]:
@@ -113,7 +125,7 @@ def _sums(groups: DataFrame, bits_left: int) -> list[tuple[int, int, int, bool]]
 
 
 def minimax_cuts(groups: DataFrame, shards: int) -> tuple[list[int], int]:
-    """First keys of shards 1, 2, ... (contiguous in order of ``key``) and the smallest capacity.
+    """First keys of shards 1, 2, ... (contiguous in order of ``key``) and the smallest capacity of shards of several groups.
 
     ``groups`` has one row a group: key (long), size (long). What the driver collects is bounded: 4096 cells,
     then at most 256 for each of the cells in which one of the cuts may fall.
@@ -139,26 +151,6 @@ def minimax_cuts(groups: DataFrame, shards: int) -> tuple[list[int], int]:
     return starts, capacity
 
 
-def shard_plan(groups: DataFrame, shards: int) -> tuple[list[int], list[int], int]:
-    """Start keys of the ordinary shards, keys of groups with a shard of their own, and the smallest capacity."""
-    total = groups.agg(F.sum("size")).first()[0] or 0
-    alone: list[tuple[int, int]] = []
-    while shards - len(alone) > 1:
-        share = (total - sum(size for _, size in alone)) / (shards - len(alone))
-        found = [
-            (r["key"], r["size"])
-            for r in groups.filter((F.col("size") > share) & ~F.col("key").isin([k for k, _ in alone] or [-1])).collect()
-        ]  # fewer than ``shards`` rows, each above an even share
-        if not found:
-            break
-        alone += found
-    alone = sorted(alone, key=lambda x: (-x[1], x[0]))[: shards - 1]
-    keys = [k for k, _ in alone]
-    rest = groups.filter(~F.col("key").isin(keys)) if keys else groups
-    starts, capacity = minimax_cuts(rest, shards - len(keys))
-    return starts, keys, capacity
-
-
 def shard_rows(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Put every row into one of ``shards`` shards by size; columns as in the module's text.
 
@@ -172,10 +164,8 @@ def shard_rows(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_c
         )
     )
     groups = rows.groupBy("key").agg(F.sum("size").alias("size"))
-    starts, alone, _ = shard_plan(groups, shards)
+    starts, _ = minimax_cuts(groups, shards)
     shard = sum(((F.col("key") >= F.lit(k)).cast("int") for k in starts), F.lit(0))
-    for n, k in enumerate(alone):
-        shard = F.when(F.col("key") == F.lit(k), F.lit(shards - len(alone) + n)).otherwise(shard)
     placed = rows.withColumn("shard", shard.cast("int"))
     slots = ranked(placed, ["shard"], ["key", id_col], id_col)
     return slots.select(

@@ -313,27 +313,42 @@ def test_secrets_by_brute_force(spark):
 
 
 def brute_capacity(sizes, shards):
-    low, high = max(max(sizes), -(-sum(sizes) // shards)), sum(sizes)
-    while low < high:
-        middle, used, left = (low + high) // 2, 1, (low + high) // 2
+    """The smallest capacity at which greedy runs need at most so many shards, groups above it being alone; all are tried."""
+    for capacity in sorted({0, *(sum(sizes[i:j]) for i in range(len(sizes)) for j in range(i + 1, len(sizes) + 1))}):
+        used, left = 0, 0
         for s in sizes:
             if s > left:
-                used, left = used + 1, middle
-            left -= s
-        low, high = (low, middle) if used <= shards else (middle + 1, high)
-    return low
+                used, left = used + 1, capacity
+            left = left - s if s <= left else 0
+        if used <= shards:
+            return capacity
 
 
 def test_minimax_by_brute_force(spark):
     rng = random.Random(8)
-    for n, shards in ((3000, 24), (50, 24), (5, 24), (400, 3)):
+    for n, shards, hot in ((300, 24, ()), (50, 24, ()), (5, 24, ()), (400, 3, ()), (200, 24, (0.5,)), (200, 6, (0.4, 0.3)), (60, 4, (0.2, 0.2, 0.2, 0.2)), (90, 2, (0.9,))):
         rows = sorted({rng.randrange(1 << 60): rng.randint(8, 900) for _ in range(n)}.items())
+        total = sum(s for _, s in rows)
+        for share in hot:
+            i = rng.randrange(n)
+            rows[i] = (rows[i][0], int(total * share / (1 - sum(hot))))
+        sizes = [s for _, s in rows]
         starts, capacity = sharding.minimax_cuts(spark.createDataFrame(rows, "key long, size long"), shards)
-        assert capacity == brute_capacity([s for _, s in rows], shards)
-        sums = np.zeros(shards)
+        assert capacity == brute_capacity(sizes, shards), (n, shards, hot)
+        held = [[] for _ in range(shards)]
         for key, size in rows:
-            sums[sum(key >= s for s in starts)] += size
-        assert sums.max() <= capacity
+            held[sum(key >= s for s in starts)].append(size)
+        assert all(len(own) == 1 or sum(own) <= capacity for own in held if own)
+        assert len([own for own in held if own]) == min(n, shards)
+        best = min(c for c in {capacity, *sizes} if c >= max(sizes)) if capacity < max(sizes) else capacity
+        assert max(map(sum, held)) <= best  # the least that the largest shard can be
+
+
+def test_close_keys_are_told_apart(spark):
+    """Groups whose keys share most bits lie in one cell until it has been split many times."""
+    rows = [((7 << 50) + i, 100 + i) for i in range(40)] + [((7 << 50) + (1 << 20), 50_000), (1 << 59, 10)]
+    starts, capacity = sharding.minimax_cuts(spark.createDataFrame(rows, "key long, size long"), 8)
+    assert capacity == brute_capacity([s for _, s in sorted(rows)], 8)
 
 
 def test_shards(odd_docs):
