@@ -61,6 +61,54 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in own}
 
 
+#: The exponent is bisected in 2**30 steps: ``x`` for the entropy, ``y`` for the repetitions.
+MIXING_SQL = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, source, coalesce(source, '') AS s, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) + 1 AS BIGINT) AS tokens FROM documents
+), sizes AS (
+  SELECT s, CAST(sum(tokens) AS BIGINT) AS own, count(*) AS n FROM docs GROUP BY s
+), shares AS (
+  SELECT s, own, n, CAST(own AS DOUBLE) / (SELECT sum(own) FROM sizes) AS p FROM sizes
+), steps AS (
+  SELECT 0 AS round, CAST(0 AS BIGINT) AS x0, CAST(1073741824 AS BIGINT) AS x1, CAST(0 AS BIGINT) AS y0, CAST(1073741824 AS BIGINT) AS y1
+  UNION ALL
+  SELECT round + 1, if(even, x0, x), if(even, x, x1), if(rare, y0, y), if(rare, y, y1) FROM (
+    SELECT round, x0, x1, y0, y1, x, y,
+           (SELECT ln(sum(pow(p, x / 1073741824.0))) - x / 1073741824.0 * sum(pow(p, x / 1073741824.0) * ln(p)) / sum(pow(p, x / 1073741824.0)) <= 0.95 * ln(count(*)) FROM shares) AS even,
+           (SELECT max(pow(p, 1 - y / 1073741824.0)) * max(pow(p, y / 1073741824.0 - 1)) <= 2.0 * (1 + 1e-9) FROM shares) AS rare
+    FROM (SELECT *, (x0 + x1) // 2 AS x, (y0 + y1) // 2 AS y FROM steps WHERE round < 30)
+  )
+), chosen AS (
+  SELECT greatest(
+    CASE WHEN (SELECT -sum(p * ln(p)) FROM shares) >= CASE WHEN (SELECT count(*) FROM shares) > 1 THEN 0.95 * ln((SELECT count(*) FROM shares)) ELSE 0 END THEN 1.0 ELSE x1 / 1073741824.0 END,
+    CASE WHEN (SELECT max(p) / min(p) FROM shares) <= 2.0 * (1 + 1e-9) THEN 0.0 ELSE y1 / 1073741824.0 END
+  ) AS a FROM steps WHERE round = 30
+), planned AS (
+  SELECT s, own, CAST(ceil(n / greatest(1024.0, sqrt(n) / 4)) AS BIGINT) AS blocks,
+         pow(p, a) / (SELECT sum(pow(p, a)) FROM shares, chosen) * (SELECT sum(own) FROM sizes) * (SELECT sum(pow(p, a)) * max(pow(p, 1 - a)) FROM shares, chosen) * (1 + 1e-9) AS budget
+  FROM shares, chosen
+), cut AS (
+  SELECT doc_id, source, d.s, tokens, own, budget, CAST('0x' || substr(md5(concat_ws(':', doc_id, 17)), 1, 15) AS BIGINT) % blocks AS block FROM docs d JOIN planned p ON d.s = p.s
+), summed AS (
+  SELECT s, block, own, budget, sum(tokens) AS t FROM cut GROUP BY ALL
+), epochs AS (
+  SELECT *, unnest(range(CAST(floor(budget / own) AS BIGINT) + 1)) AS epoch FROM summed
+), ordered AS (
+  SELECT *, CAST('0x' || substr(md5(concat_ws(':', block, epoch, 17)), 1, 15) AS BIGINT) AS h FROM epochs
+), placed AS (
+  SELECT s, block, epoch, row_number() OVER w - 1 AS block_place, sum(t) OVER w - t AS before, least(budget - epoch * own, own) AS room
+  FROM ordered WINDOW w AS (PARTITION BY s, epoch ORDER BY h, block ROWS UNBOUNDED PRECEDING)
+), rows_of AS (
+  SELECT c.*, epoch, block_place, before, room, CAST('0x' || substr(md5(concat_ws(':', doc_id, epoch, 17)), 1, 15) AS BIGINT) AS h
+  FROM cut c JOIN placed p ON c.s = p.s AND c.block = p.block WHERE before < room
+), numbered AS (
+  SELECT *, row_number() OVER w - 1 AS row_place, before + sum(tokens) OVER w AS after
+  FROM rows_of WINDOW w AS (PARTITION BY s, block, epoch ORDER BY h, doc_id, tokens ROWS UNBOUNDED PRECEDING)
+)
+SELECT doc_id, source, tokens, CAST(epoch AS INTEGER) AS epoch, block, CAST(block_place AS INTEGER) AS block_place, CAST(row_place AS INTEGER) AS row_place
+FROM numbered WHERE after <= room
+"""
+
 TOPK_SQL = """
 WITH coded AS (
   SELECT vec_id, list_transform(embedding, lambda x: coalesce(x, 0) > 0) AS bits FROM embeddings WHERE len(embedding) > 0
@@ -134,4 +182,4 @@ FROM docs LEFT JOIN joined USING (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_hamming_topk": TOPK_SQL, "op5_ngram_jaccard": JACCARD_SQL, "op8_secret_trigrams": secrets_sql()}
+    return {"op1_mixing": MIXING_SQL, "op2_hamming_topk": TOPK_SQL, "op5_ngram_jaccard": JACCARD_SQL, "op8_secret_trigrams": secrets_sql()}

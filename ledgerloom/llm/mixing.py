@@ -9,12 +9,17 @@ The weights are realised under a token budget. Each source is cut into blocks by
 a source (an *epoch*) takes its blocks in an order permuted anew, and permutes the rows inside each block. Whole
 epochs are taken as often as the source's budget holds them; of the last one the prefix that still fits.
 Running sums go over blocks first, then inside blocks, so a source with a third of all rows is many tasks.
+Hashes are the first 60 bits of MD5, so that SQL elsewhere can give the same permutations.
+
+Texts are counted once, into a written table (id, source, tokens), from which sizes, blocks and budgets come; only
+``mixed``, which returns the texts, reads them again.
 
 A row's tokens are its stretches without ASCII white space and one closing token. By default the budget is the
 smallest at which every source is taken whole at least once: nothing is dropped, small sources repeat.
 
 Defined results: null texts have one token; a null source counts as the empty name; repeated rows are rows of
-their own; an empty table gives no rows; extra columns of any name are kept by ``mixed``.
+their own; an empty table gives no rows; extra columns of any name are kept by ``mixed``. Without a limit of
+repetitions an entropy near that of even weights repeats small sources as often as that takes.
 """
 
 from __future__ import annotations
@@ -89,19 +94,21 @@ def choose_exponent(
     return exponent, _at(sizes, total, [exponent], budget)[0][2]
 
 
-def mix(
-    docs: DataFrame, target_entropy: float | None = 0.95, most_repeats: float | None = 2.0, budget: float | None = None, seed: int = 17,
-    id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-) -> DataFrame:
-    """The mixture, one row each time that a row is taken: _row (a struct of the columns of ``docs``), _id, tokens,
-    epoch, block, block_place (in the epoch's permutation of the source's blocks) and row_place (in the block's)."""
-    # the given columns travel as one struct, so their names can't clash with those added here
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    keyed = docs.select(
-        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.col(id_col).alias("_id"),
-        F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("_source"), token_count(text).alias("tokens"),
+def hash60(*parts: Column | str) -> Column:
+    """The first 60 bits of the MD5 of the parts as text, joined by colons, as a long."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", *(F.col(x).cast("string") if isinstance(x, str) else x.cast("string") for x in parts))), 1, 15), 16, 10).cast("long")
+
+
+def _counted(docs: DataFrame, id_col: str, text_col: str, source_col: str, *more: Column) -> DataFrame:
+    return docs.select(
+        *more, F.col(id_col).alias("_id"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("_source"),
+        token_count(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("tokens"),
     )
-    sizes = materialize(source_sizes(keyed.select(F.col("_source").alias("source"), "tokens")))
+
+
+def _place(slim: DataFrame, rows: DataFrame, target_entropy: float | None, most_repeats: float | None, budget: float | None, seed: int) -> DataFrame:
+    """``rows`` (with _id, _source, tokens) each time that they are taken, by a plan from the same columns in ``slim``."""
+    sizes = materialize(source_sizes(slim.select(F.col("_source").alias("source"), "tokens")))
     exponent, spent = choose_exponent(sizes, target_entropy, most_repeats, budget)
 
     total = float(sizes.agg(F.sum("tokens")).first()[0] or 1)
@@ -114,31 +121,42 @@ def mix(
         F.col("tokens").alias("_own"),
         (F.pow(F.col("tokens") / F.lit(total), F.lit(exponent)) / F.lit(norm) * F.lit(spent) * (1 + 1e-9)).alias("_budget"),
     )
-    cut = lambda df: df.join(F.broadcast(planned) if few else planned, "_source").withColumn("block", F.pmod(F.xxhash64("_id", F.lit(seed)), F.col("_blocks")))
-    blocks = cut(keyed.select("_id", "_source", "tokens")).groupBy("_source", "block", "_own", "_budget").agg(F.sum("tokens").alias("_sum"))
+    cut = lambda df: df.join(F.broadcast(planned) if few else planned, "_source").withColumn("block", F.pmod(hash60("_id", F.lit(seed)), F.col("_blocks")))
+    blocks = cut(slim.select("_id", "_source", "tokens")).groupBy("_source", "block", "_own", "_budget").agg(F.sum("tokens").alias("_sum"))
     taken = blocks.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.floor(F.col("_budget") / F.col("_own")).cast("int"))))
-    order = Window.partitionBy("_source", "epoch").orderBy(F.xxhash64("block", "epoch", F.lit(seed)), "block")
+    order = Window.partitionBy("_source", "epoch").orderBy(hash60("block", "epoch", F.lit(seed)), "block")
     placed = taken.select(
         "_source", "block", "epoch",
         (F.row_number().over(order) - 1).alias("block_place"),
         (F.sum("_sum").over(order) - F.col("_sum")).alias("_before"),
         F.least(F.col("_budget") - F.col("epoch") * F.col("_own"), F.col("_own").cast("double")).alias("_left"),
     ).filter("_before < _left")
-    inside = Window.partitionBy("_source", "block", "epoch").orderBy(F.xxhash64("_id", "epoch", F.lit(seed)), "_id", "tokens")
-    chosen = cut(keyed).drop("_blocks", "_own", "_budget").join(placed, ["_source", "block"])
+    inside = Window.partitionBy("_source", "block", "epoch").orderBy(hash60("_id", "epoch", F.lit(seed)), "_id", "tokens")
+    chosen = cut(rows).drop("_blocks", "_own", "_budget").join(placed, ["_source", "block"])
     numbered = chosen.withColumns({
         "row_place": F.row_number().over(inside) - 1,
         "_after": F.col("_before") + F.sum("tokens").over(inside.rowsBetween(Window.unboundedPreceding, 0)),
     })
-    return numbered.filter("_after <= _left").select("_row", "_id", "tokens", "epoch", "block", "block_place", "row_place")
+    return numbered.filter("_after <= _left")
 
 
-def mix_rows(docs: DataFrame, **options) -> DataFrame:
-    """doc_id, source, tokens, epoch, block, block_place, row_place: the mixture without the texts."""
-    slim = docs.select("doc_id", "text", "source")
-    return mix(slim, **options).select("_row.doc_id", "_row.source", "tokens", "epoch", "block", "block_place", "row_place")
+def mix_rows(
+    docs: DataFrame, target_entropy: float | None = 0.95, most_repeats: float | None = 2.0, budget: float | None = None, seed: int = 17,
+    id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+) -> DataFrame:
+    """The mixture without the texts, one row each time that a row is taken: id, source, tokens, epoch, block,
+    block_place (in the epoch's permutation of the source's blocks) and row_place (in the block's)."""
+    slim = materialize(_counted(docs, id_col, text_col, source_col, F.col(source_col).alias("_given")))
+    out = _place(slim, slim, target_entropy, most_repeats, budget, seed)
+    return out.select(F.col("_id").alias(id_col), F.col("_given").alias(source_col), "tokens", "epoch", "block", "block_place", "row_place")
 
 
-def mixed(docs: DataFrame, **options) -> DataFrame:
+def mixed(
+    docs: DataFrame, target_entropy: float | None = 0.95, most_repeats: float | None = 2.0, budget: float | None = None, seed: int = 17,
+    id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+) -> DataFrame:
     """The mixture as rows of ``docs``, each as often as it is taken."""
-    return mix(docs, **options).select("_row.*")
+    slim = materialize(_counted(docs, id_col, text_col, source_col))
+    # the given columns travel as one struct, so their names can't clash with those added here
+    rows = _counted(docs, id_col, text_col, source_col, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"))
+    return _place(slim, rows, target_entropy, most_repeats, budget, seed).select("_row.*")
