@@ -3,9 +3,11 @@
 The decoder reads every feature of the format: simple and normal prefix codes, groups of prefix codes chosen
 by an entropy image, back-references with the near-distance map, the colour cache, and the four transforms
 (predictor, cross-colour, subtract-green, palette with bundled pixels), inverted in reverse order. A picture
-whose only varying symbols are green literals is decoded by a table over all bit offsets.
+whose only varying symbols are green ones and distances is decoded by a table over all bit offsets.
 
-The media query stores a text's bytes as grey samples, 64 a row, one sample a pixel.
+The media query stores a text's bytes as grey samples, 64 a row, one sample a pixel: with back-references for what
+repeats where they pay, with a palette of bundled pixels where there are at most 16 values, else with
+subtract-green. Predictors, cross-colour and the colour cache never pay for texts; ``encode`` writes them as asked.
 
 Defined results: a null text counts as empty (64 zero bytes); texts above 1 MiB are stored as consecutive
 files of at most 16384 rows; repeated rows give equal values; an empty table gives no rows; extra columns are
@@ -139,6 +141,8 @@ def read_code(r: Reader, size: int) -> Code:
         second = r.bits(8) if two else first
         if first == second:
             return Code(single=first)
+        if max(first, second) >= size:
+            raise ValueError("a code has a symbol that does not exist")
         lengths = [0] * size
         lengths[first] = lengths[second] = 1
         return Code(lengths)
@@ -175,35 +179,103 @@ def _extra(r: Reader, symbol: int) -> int:
     return ((2 + (symbol & 1)) << n) + r.bits(n) + 1
 
 
-def _plain_green(r: Reader, code: Code, n: int) -> np.ndarray:
-    """``n`` symbols of one code: the symbol at every bit offset by table, then a walk along the offsets."""
-    first = r.at >> 3
-    raw = np.frombuffer(r.data[first : first + (n * code.most + 7 >> 3) + 4] + b"\0\0\0", np.uint8).astype(np.int32)
-    three = raw[:-2] | raw[1:-1] << 8 | raw[2:] << 16
-    windows = ((three[:, None] >> np.arange(8, dtype=np.int32)) & ((1 << code.most) - 1)).ravel()
-    step = (code.table >> 16).astype(np.uint8)[windows]
-    at = r.at & 7
-    # leaps of 16 symbols by doubling; the walk takes the leaps, then all of them are filled in side by side
+def _bits_at(raw: np.ndarray, at: np.ndarray, n) -> np.ndarray:
+    """``n`` bits (one number or one each) from each of the bit offsets ``at``."""
+    first = np.minimum(at >> 3, len(raw) - 5)
+    word = sum(raw[first + k].astype(np.int64) << (8 * k) for k in range(5))
+    return word >> (at & 7) & ((1 << np.asarray(n, np.int64)) - 1)
+
+
+def _extras(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The number of extra bits of length or distance symbols, and the values that these are added to."""
+    n = np.where(symbols < 4, 0, (symbols - 2) >> 1)
+    return n, np.where(symbols < 4, symbols + 1, ((2 + (symbols & 1)) << n) + 1)
+
+
+def _walk(step: np.ndarray, at: int, most: int) -> np.ndarray:
+    """The offsets at which tokens start, from ``at`` on, until the end of ``step`` or ``most`` of them."""
+    # leaps of 16 tokens by doubling; the walk takes the leaps, then all of them are filled in side by side
     limit = len(step) - 1
-    leap = np.minimum(np.arange(len(step), dtype=np.int32) + step, limit)
-    one = leap
+    one = np.minimum(np.arange(len(step), dtype=np.int32) + step, limit)
+    leap = one
     for _ in range(4):
         leap = leap[leap]
-    starts = np.empty((n + 15) // 16, np.int32)
-    item = leap.item
-    for i in range(len(starts)):
-        starts[i] = at
+    starts, item = [], leap.item
+    for _ in range(-(-most // 16)):
+        starts.append(at)
         at = item(at)
+        if at >= limit:
+            break
     places = np.empty((len(starts), 16), np.int32)
+    column = np.array(starts, np.int32)
     for k in range(16):
-        places[:, k] = starts
-        starts = one[starts]
-    places = places.ravel()[:n]
-    last = int(places[-1])
-    r.at += last + int(step[last]) - (r.at & 7)
-    if r.at > r.end or last >= limit:
+        places[:, k] = column
+        column = one[column]
+    return places.ravel()[:most]
+
+
+def _green_tokens(r: Reader, code: Code, far: Code, width: int, n: int) -> np.ndarray:
+    """``n`` green values where other channels take no bits: what stands at every bit offset by table, then a walk along
+    the offsets, then the back-references in order."""
+    first = r.at >> 3
+    # no token is longer than two codes and two times 18 extra bits
+    raw = np.frombuffer(r.data[first : first + (n * (code.most + (66 if max(code.symbols) > 255 else 0)) + 7 >> 3) + 4] + bytes(8), np.uint8).astype(np.int32)
+    three = raw[:-2] | raw[1:-1] << 8 | raw[2:] << 16
+    windows = ((three[:, None] >> np.arange(8, dtype=np.int32)) & ((1 << code.most) - 1)).ravel()
+    found = code.table[windows]
+    step = found >> 16
+    copies = np.flatnonzero((found & 0xFFFF) > 255) if max(code.symbols) > 255 else np.empty(0, np.int64)
+    length, distance = {}, {}
+    if len(copies):
+        more, base = _extras((found[copies] & 0xFFFF) - 256)
+        at = copies + step[copies]
+        long = base + _bits_at(raw, at, more)
+        at = at + more
+        if far.single is not None:
+            symbols, own = np.full(len(at), far.single), 0
+        else:
+            entry = far.table[_bits_at(raw, at, far.most)]
+            symbols, own = entry & 0xFFFF, entry >> 16
+        more, base = _extras(symbols)
+        back = base + _bits_at(raw, at + own, more)
+        step[copies] = np.minimum(at + own + more - copies, 1 << 20)
+        length, distance = long, np.where(back > 120, back - 120, _near(width)[np.minimum(back, 120)])
+    places = _walk(step, r.at & 7, n)
+    values = found[places] & 0xFFFF
+    sizes = np.ones(len(places), np.int64)
+    referring = np.flatnonzero(values > 255)
+    which = np.searchsorted(copies, places[referring])
+    if len(referring):
+        sizes[referring] = length[which]
+    ends = np.cumsum(sizes)
+    last = int(np.searchsorted(ends, n))
+    if last >= len(ends) or ends[last] != n:
+        raise ValueError("the picture ends early" if last >= len(ends) else "a back-reference leaves the picture")
+    r.at = 8 * first + int(places[last]) + int(step[places[last]])
+    if r.at > r.end:
         raise ValueError("the picture ends early")
-    return code.table.astype(np.uint8)[windows[places]]
+    out = np.zeros(n, np.uint8)
+    plain = np.flatnonzero(values[: last + 1] < 256)
+    out[ends[plain] - 1] = values[plain]
+    for k, w in zip(referring.tolist(), which.tolist(), strict=True):
+        if k > last:
+            break
+        end, size, back = int(ends[k]), int(length[w]), int(distance[w])
+        start = end - size
+        if back > start:
+            raise ValueError("a back-reference leaves the picture")
+        out[start:end] = out[start - back : end - back] if back >= size else np.resize(out[start - back : start], size)
+    return out
+
+
+_NEAR_BY_WIDTH: dict[int, np.ndarray] = {}
+
+
+def _near(width: int) -> np.ndarray:
+    """Distances by their near codes from 1 to 120."""
+    if width not in _NEAR_BY_WIDTH:
+        _NEAR_BY_WIDTH[width] = np.array([0, *(max(1, x + y * width) for x, y in NEAR)], np.int64)
+    return _NEAR_BY_WIDTH[width]
 
 
 def _image(r: Reader, width: int, height: int, top: bool) -> np.ndarray:
@@ -226,13 +298,13 @@ def _image(r: Reader, width: int, height: int, top: bool) -> np.ndarray:
     groups = [[read_code(r, n) for n in sizes] for _ in range(number)]
     total = width * height
     if number == 1:
-        green, red, blue, alpha, _ = groups[0]
+        green, red, blue, alpha, far = groups[0]
         rest = red.single is not None and blue.single is not None and alpha.single is not None
-        if rest and not cache_bits and max(green.symbols, default=0) < 256:
+        if rest and not cache_bits and (green.single is None or green.single < 256):
             base = alpha.single << 24 | red.single << 16 | blue.single
             if green.single is not None:
                 return np.full(total, base | green.single << 8, np.uint32)
-            return base | _plain_green(r, green, total).astype(np.uint32) << 8
+            return base | _green_tokens(r, green, far, width, total).astype(np.uint32) << 8
     out = [0] * total
     cache = [0] * (1 << cache_bits)
     shift = 32 - cache_bits
@@ -646,26 +718,109 @@ def encode(
     return _file(w.bit_array())
 
 
+#: The shortest repeat that is looked for, and the bits that a reference takes and a literal saves, about.
+REPEAT, REFERENCE_BITS, LITERAL_BITS = 16, 30, 4
+LONGEST = 4096
+
+
+def repeats(flat: np.ndarray) -> list[tuple[int, int, int]]:
+    """(start, distance, length) of stretches that occur before, from the left, without overlap. A stretch starts
+    after a blank or a line's end, or at a multiple of ``REPEAT``."""
+    n = len(flat)
+    blank = (flat == 32) | (flat == 10)
+    blank[::REPEAT] = True
+    starts = np.flatnonzero(blank)
+    starts = np.unique(np.concatenate([starts[flat[starts] != 32], starts + 1]))
+    starts = starts[starts + REPEAT <= n]
+    if len(starts) < 2:
+        return []
+    words = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(flat, REPEAT)[starts]).view(np.uint64)
+    with np.errstate(over="ignore"):
+        key = (words[:, 0] * np.uint64(0x9E3779B97F4A7C15)) ^ (words[:, 1] * np.uint64(0xC2B2AE3D27D4EB4F))
+    order = np.argsort(key, kind="stable")
+    same = np.flatnonzero(key[order[1:]] == key[order[:-1]])
+    later, earlier = order[same + 1], order[same]
+    by_place = np.argsort(later)
+    at, source = starts[later[by_place]], starts[earlier[by_place]]
+    out, k = [], 0
+    while k < len(at):
+        p, q = int(at[k]), int(source[k])
+        most = min(LONGEST, n - p)
+        unequal = flat[p : p + most] != flat[q : q + most]
+        first = int(unequal.argmax())
+        length = first if unequal[first] else most
+        if length >= REPEAT:
+            out.append((p, p - q, length))
+            k = int(np.searchsorted(at, p + length))
+        else:
+            k += 1
+    return out
+
+
+def _write_green(w: Writer, flat: np.ndarray, width: int) -> np.ndarray:
+    """Entropy-coded pixels whose green values alone vary (others 0, alpha 255): the codes go to ``w``, the bits of the
+    pixels are returned."""
+    w.bits(0, 2)  # no colour cache, one group of codes
+    copies = repeats(flat)
+    if sum(length for _, _, length in copies) * LITERAL_BITS < (len(copies) + 8) * REFERENCE_BITS:
+        copies = []
+    covered = np.zeros(len(flat) + 1, np.int32)
+    start, distance, length = np.array(copies, np.int64).reshape(-1, 3).T
+    covered[start] += 1
+    covered[start + length] -= 1
+    literal = np.flatnonzero(np.cumsum(covered[:-1]) == 0)
+    codes = np.searchsorted(near := _near(width), distance, sorter=(by_value := np.argsort(near, kind="stable")))
+    codes = by_value[np.minimum(codes, len(near) - 1)]
+    codes = np.where(near[codes] == distance, codes, distance + 120)
+    long, far = ([_prefix(int(v)) for v in values] for values in (length, codes))
+    order = np.argsort(np.concatenate([literal, start]), kind="stable")
+    symbols = np.concatenate([flat[literal].astype(np.int64), 256 + np.array([x[0] for x in long], np.int64)])[order]
+    far_symbols = np.array([x[0] for x in far], np.int64)
+
+    def code(used: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        value, bits = np.zeros(size, np.uint32), np.zeros(size, np.int64)
+        for symbol, (v, n) in write_code(w, code_lengths(np.bincount(used, minlength=size).tolist())).items():
+            value[symbol], bits[symbol] = v, n
+        return value, bits
+
+    green = code(symbols, ALPHABETS[0])
+    for s in (0, 0, 255):
+        write_single(w, s)
+    reach = code(far_symbols, ALPHABETS[4])
+    # one field a literal; four a reference: length, its extra bits, distance, its extra bits
+    fields = np.where(symbols > 255, 4, 1)
+    at = np.cumsum(fields) - fields
+    value, size = np.zeros(int(fields.sum()), np.uint32), np.zeros(int(fields.sum()), np.int64)
+    value[at], size[at] = green[0][symbols], green[1][symbols]
+    at = at[symbols > 255]
+    for k, (v, n) in enumerate((([x[1] for x in long], [x[2] for x in long]), (reach[0][far_symbols], reach[1][far_symbols]), ([x[1] for x in far], [x[2] for x in far]))):
+        value[at + k + 1], size[at + k + 1] = v, n
+    ends = np.cumsum(size)
+    return (np.repeat(value, size) >> (np.arange(int(ends[-1])) - np.repeat(ends - size, size)).astype(np.uint32) & 1).astype(np.uint8)
+
+
 def encode_grey(samples: np.ndarray) -> bytes:
-    """A file from grey samples (height, width): green literals alone, red and blue follow by subtract-green."""
+    """A file from grey samples (height, width): by a palette of bundled pixels, or by subtract-green."""
     height, width = samples.shape
-    flat = samples.ravel()
     w = Writer()
     _header(w, width, height, False)
-    w.bits(1 | SUBTRACT_GREEN << 1, 3)
-    w.bits(0, 3)  # no further transform, no colour cache, one group of codes
-    lengths = code_lengths(np.bincount(flat, minlength=ALPHABETS[0]).tolist())
-    codes = write_code(w, lengths)
-    for s in (0, 0, 255, 0):
-        write_single(w, s)
-    value, size = np.zeros(256, np.uint16), np.zeros(256, np.int64)
-    for s, (bits, n) in codes.items():
-        value[s], size[s] = bits, n
-    n = size[flat]
-    ends = np.cumsum(n)
-    total = int(ends[-1])
-    body = np.repeat(value[flat], n) >> (np.arange(total) - np.repeat(ends - n, n)).astype(np.uint16) & 1
-    return _file(np.concatenate([w.bit_array(), body.astype(np.uint8)]))
+    used = np.flatnonzero(np.bincount(samples.ravel(), minlength=256))
+    if len(used) <= 16:
+        w.bits(1 | PALETTE << 1, 3)
+        w.bits(len(used) - 1, 8)
+        colours = np.stack([np.full(len(used), 255), used, used, used], -1)
+        _write_image(w, _joined(np.diff(colours, axis=0, prepend=0)), len(used), False)
+        bits = _bundle_bits(len(used))
+        index = np.zeros(256, np.uint8)
+        index[used] = np.arange(len(used))
+        padded = np.zeros((height, ((width + (1 << bits) - 1) >> bits) << bits), np.uint8)
+        padded[:, :width] = index[samples]
+        samples = sum(padded[:, k :: 1 << bits] << np.uint8(k * (8 >> bits)) for k in range(1 << bits)).astype(np.uint8)
+    else:
+        w.bits(1 | SUBTRACT_GREEN << 1, 3)
+    w.bits(0, 1)  # no further transform
+    body = _write_green(w, np.ascontiguousarray(samples).ravel(), samples.shape[1])
+    return _file(np.concatenate([w.bit_array(), body]))
 
 
 # --- media query ----------------------------------------------------------------------------------------------
