@@ -2,8 +2,9 @@
 
 A text's words are its stretches without ASCII white space, with A-Z in lower case; its set holds the distinct
 n-word shingles, as 64-bit hashes (a shorter text is one shingle; a text without words has an empty set and
-links with nothing). Texts with equal sets form one *class*, named by a hash of the set, so exact copies never
-meet in pairs.
+links with nothing). Texts with equal sets form one *class*, named by a 64-bit hash of the set, so exact copies
+never meet in pairs. A second hash of each set tells names that two sets share, which very large corpora have a few
+of: such sets are named by the second hash instead.
 
 1. Shingles are counted over all texts in a sketch of ``2**sketch_bits`` counters; its size is fixed and it is
    shared with the tasks. Any total order makes prefix filtering exact; the sketch's makes it rare-first.
@@ -14,11 +15,12 @@ meet in pairs.
    exactly one unit (their two leaders'), however many shingles it shares, and is verified once. A group of
    near copies has few leaders, so units grow with the group, not with its square.
 4. Large units are dealt out as pairs of blocks. A task first sees two blocks of sizes and *outlines* (counts
-   over 64 ranges of hashes), and keeps the classes that have a partner by length and by the suffix filter's
-   bound: an overlap is at most the sum of the smaller counts. Chance meetings end here, unread.
+   over ranges of hashes, the more ranges the larger the set), and keeps the classes that have a partner by length
+   and by the suffix filter's bound: an overlap is at most the sum of the smaller counts. Chance meetings end here,
+   unread.
 5. For the classes that remain, a task holds two blocks of sets, drops pairs by length, outline and position in
    the prefix, counts the overlaps of the rest exactly, and returns each class with its number of links and the
-   root of its tree in that task, never the pairs.
+   root of its tree in that task, never the pairs. Every pair is counted, as the number of links is asked for.
 6. Components of those trees are the components of all links.
 
 Defined results: null and empty texts have n_shingles 0 and are their own component; repeated rows (equal ids
@@ -29,7 +31,8 @@ Rows with a null id are never taken out by ``keep_one``.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +47,8 @@ SKETCH_BITS = 22
 CHUNK_BITS = 16
 #: Classes of one block; two blocks meet in a task. Larger units have more of them, up to BLOCK_MOST.
 BLOCK, BLOCK_MOST = 64, 2048
-SUFFIX_RANGES = 64
+#: Ranges of the outline of a small set, and members of a set for each range of a large one.
+SUFFIX_RANGES, SUFFIX_MEMBERS = 64, 8
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
@@ -68,14 +72,26 @@ def shingles(text: str, n: int) -> np.ndarray:
     return np.unique(out)
 
 
-def set_hash(s: np.ndarray) -> int:
-    """A signed 64-bit name of a set."""
-    return xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
+def set_hash(s: np.ndarray, bits: int = 64) -> int:
+    """A signed 64-bit name of a set; fewer ``bits`` make names that sets share, for tests."""
+    return (xxhash.xxh3_64_intdigest(s.tobytes()) & ((1 << bits) - 1)) - (1 << 63)
+
+
+def second_hash(s: np.ndarray) -> int:
+    return xxhash.xxh3_64_intdigest(s.tobytes(), seed=1) - (1 << 63)
+
+
+def name_of(s: np.ndarray, shared_names: frozenset[int] = frozenset(), bits: int = 64) -> int:
+    name = set_hash(s, bits)
+    return second_hash(s) if name in shared_names else name
 
 
 def outline(s: np.ndarray) -> np.ndarray:
-    """How many hashes of a set fall in each of the ranges of the suffix filter."""
-    return np.bincount((s & np.uint64(SUFFIX_RANGES - 1)).astype(np.int64), minlength=SUFFIX_RANGES).astype(np.int32)
+    """How many hashes of a set fall in each of the ranges of the suffix filter; a power of two of them."""
+    ranges = SUFFIX_RANGES
+    while 2 * ranges * SUFFIX_MEMBERS <= len(s):
+        ranges *= 2
+    return np.bincount((s & np.uint64(ranges - 1)).astype(np.int64), minlength=ranges).astype(np.int32)
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -91,33 +107,34 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
-def _sketch_and_classes(docs: DataFrame, n: int, bits: int) -> DataFrame:
-    """Rows of ids (id, n, class, outline as ``counts``) and of sketch chunks (chunk, counts)."""
+def _sketch_and_classes(docs: DataFrame, n: int, bits: int, name_bits: int) -> DataFrame:
+    """Rows of ids (id, n, class, second, outline as ``counts``) and of sketch chunks (chunk, counts)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << bits, np.uint32)
         for batch in batches:
-            ids, sizes, names, outlines = batch.column(0), [], [], []
+            ids, sizes, names, seconds, outlines = batch.column(0), [], [], [], []
             for text in batch.column(1):
                 s = shingles(text.as_py(), n)
                 np.add.at(counts, _bucket(s, bits), 1)
                 sizes.append(len(s))
-                names.append(set_hash(s))
+                names.append(set_hash(s, name_bits))
+                seconds.append(second_hash(s))
                 outlines.append(outline(s).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), pa.nulls(len(sizes), pa.int32()), pa.array(outlines, pa.binary())],
-                names=["id", "n", "class", "chunk", "counts"],
+                [ids, *(pa.array(x, pa.int64()) for x in (sizes, names, seconds)), pa.nulls(len(sizes), pa.int32()), pa.array(outlines, pa.binary())],
+                names=["id", "n", "class", "second", "chunk", "counts"],
             )
         size = 1 << CHUNK_BITS
         for c in range(0, 1 << bits, size):
             part = counts[c : c + size]
             if part.any():
                 yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(1, pa.int64())] * 3 + [pa.array([c // size], pa.int32()), pa.array([part.tobytes()], pa.binary())],
-                    names=["id", "n", "class", "chunk", "counts"],
+                    [pa.nulls(1, pa.int64())] * 4 + [pa.array([c // size], pa.int32()), pa.array([part.tobytes()], pa.binary())],
+                    names=["id", "n", "class", "second", "chunk", "counts"],
                 )
 
-    return docs.mapInArrow(run, "id long, n long, class long, chunk int, counts binary")
+    return docs.mapInArrow(run, "id long, n long, class long, second long, chunk int, counts binary")
 
 
 def _summed(rows: DataFrame, bits: int, fan: int = 16) -> np.ndarray:
@@ -138,7 +155,7 @@ def _summed(rows: DataFrame, bits: int, fan: int = 16) -> np.ndarray:
 
     chunks = max(1, 1 << (bits - CHUNK_BITS))
     dealt = rows.filter("chunk is not null").select("chunk", F.pmod(F.xxhash64("counts"), F.lit(fan)).cast("int").alias("way"), "counts")
-    once = dealt.repartition(chunks, "chunk", "way").mapInArrow(lambda b: add(b, ("chunk", "way")), "chunk int, way int, counts binary")
+    once = dealt.repartition(chunks * fan, "chunk", "way").mapInArrow(lambda b: add(b, ("chunk", "way")), "chunk int, way int, counts binary")
     twice = once.select("chunk", "counts").repartition(chunks, "chunk").mapInArrow(lambda b: add(b, ("chunk",)), "chunk int, counts binary")
     out = np.zeros(1 << bits, np.uint32)
     for row in twice.collect():  # 2**bits counters in all, whatever the corpus; one job
@@ -153,7 +170,7 @@ def _ordered(s: np.ndarray, sketch: np.ndarray, bits: int) -> np.ndarray:
     return s[np.argsort(sketch[_bucket(s, bits)], kind="stable")]
 
 
-def _prefixes(docs: DataFrame, n: int, percent: int, shared, bits: int) -> DataFrame:
+def _prefixes(docs: DataFrame, n: int, percent: int, shared, bits: int, name) -> DataFrame:
     """(shingle, class) for each prefix shingle; classes repeat within a task once at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,14 +180,14 @@ def _prefixes(docs: DataFrame, n: int, percent: int, shared, bits: int) -> DataF
             keys, names = [], []
             for text in batch.column(0):
                 s = shingles(text.as_py(), n)
-                name = set_hash(s)
-                if not len(s) or name in seen:
+                own = name(s)
+                if not len(s) or own in seen:
                     continue
                 if len(seen) < 1_000_000:  # beyond, a repeated class is emitted again, to the same result
-                    seen.add(name)
+                    seen.add(own)
                 part = _ordered(s, sketch, bits)[: prefix_length(len(s), percent)]
                 keys.append(part.view(np.int64))
-                names.append(np.full(len(part), name, np.int64))
+                names.append(np.full(len(part), own, np.int64))
             if keys:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(names))], names=["shingle", "class"])
 
@@ -189,7 +206,7 @@ def _sets(docs: DataFrame, n: int, shared, bits: int) -> DataFrame:
     return docs.select("class", "copies", "text").mapInArrow(run, "class long, copies long, set binary")
 
 
-def _named_sets(docs: DataFrame, n: int, shared, bits: int) -> DataFrame:
+def _named_sets(docs: DataFrame, n: int, shared, bits: int, name) -> DataFrame:
     """(class, set) of the given texts, each under its own name; classes repeat within a task once at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,33 +216,39 @@ def _named_sets(docs: DataFrame, n: int, shared, bits: int) -> DataFrame:
             names, data = [], []
             for text in batch.column(0):
                 s = shingles(text.as_py(), n)
-                name = set_hash(s)
-                if not len(s) or name in seen:
+                own = name(s)
+                if not len(s) or own in seen:
                     continue
                 if len(seen) < 1_000_000:
-                    seen.add(name)
-                names.append(name)
+                    seen.add(own)
+                names.append(own)
                 data.append(_ordered(s, sketch, bits).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(data, pa.binary())], names=["class", "set"])
 
     return docs.select("text").mapInArrow(run, "class long, set binary")
 
 
-def possible(sizes: np.ndarray, outlines: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+def possible(sizes: np.ndarray, outlines: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs that the length and the suffix filter leave, and the overlap that each pair needs for a link."""
     a, b = sizes[left][:, None], sizes[right][None, :]
     needed = -(-percent * (a + b) // (100 + percent))  # 100 * o >= percent * (a + b - o)
     alive = 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
+    # outlines of two sets are compared over the ranges of the coarser one; a finer one is summed up to it
+    ranges = np.array([len(x) for x in outlines], np.int64)
+    folded = {r: np.array([x.reshape(-1, r).sum(0) if len(x) >= r else np.zeros(r, np.int32) for x in outlines]) for r in np.unique(ranges).tolist()}
     for row in np.flatnonzero(alive.any(1)):
         cols = np.flatnonzero(alive[row])
-        alive[row, cols] = np.minimum(outlines[left[row]], outlines[right[cols]]).sum(1) >= needed[row, cols]
+        level = np.minimum(ranges[right[cols]], ranges[left[row]])
+        for r in np.unique(level).tolist():
+            own = cols[level == r]
+            alive[row, own] = np.minimum(folded[r][left[row]], folded[r][right[own]]).sum(1) >= needed[row, own]
     return alive, needed
 
 
 def verify(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
     """Boolean matrix of links between sets ``left`` and ``right`` (indices), each given rare-first."""
     sizes = np.array([len(s) for s in sets], np.int64)
-    alive, needed = possible(sizes, np.array([outline(s) for s in sets]), left, right, percent)
+    alive, needed = possible(sizes, [outline(s) for s in sets], left, right, percent)
     if not alive.any():
         return alive
     every, codes = np.unique(np.concatenate([s for s in sets if len(s)] or [np.empty(0, np.uint64)]), return_inverse=True)
@@ -264,7 +287,7 @@ def _hopeful(dealt: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in runs(batches, "task"):
             side, sizes = (np.array(rows.column(c).to_pylist(), np.int64) for c in ("side", "n"))
-            outlines = np.array([np.frombuffer(x, np.int32) for x in rows.column("outline").to_pylist()])
+            outlines = [np.frombuffer(x, np.int32) for x in rows.column("outline").to_pylist()]
             both = (side == 2).any()
             left, right = (np.arange(len(side)),) * 2 if both else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
             if not len(left) or not len(right):
@@ -320,26 +343,35 @@ def _verified(dealt: DataFrame, percent: int) -> DataFrame:
 
 
 def jaccard_components(
-    docs: DataFrame, n: int = 5, percent: int = 80, sketch_bits: int = SKETCH_BITS, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, n: int = 5, percent: int = 80, sketch_bits: int = SKETCH_BITS, id_col: str = "doc_id", text_col: str = "text", name_bits: int = 64
 ) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id reached by links), class_id, n_links: one row a row of ``docs``.
 
     ``class_id`` is the smallest id with an equal set; ``n_links`` counts the other rows that link with the row.
     """
-    return _rows(*_linked(docs, n, percent, sketch_bits, id_col, text_col), id_col)
+    return _rows(*_linked(docs, n, percent, sketch_bits, id_col, text_col, name_bits)[:2], id_col)
 
 
-def _linked(docs: DataFrame, n: int, percent: int, sketch_bits: int = SKETCH_BITS, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """The rows (id, n, class, outline) and, for classes with shingles, (class, class_id, copies, component, links)."""
+def _linked(
+    docs: DataFrame, n: int, percent: int, sketch_bits: int = SKETCH_BITS, id_col: str = "doc_id", text_col: str = "text", name_bits: int = 64
+) -> tuple[DataFrame, DataFrame, Callable[[np.ndarray], int]]:
+    """The rows (id, n, class, outline), for classes with shingles (class, class_id, copies, component, links), and the
+    function that names a set."""
     spark = docs.sparkSession
     bounded_batches(spark)
     texts = _texts(docs, id_col, text_col)
-    first = materialize(_sketch_and_classes(texts, n, sketch_bits))
+    first = materialize(_sketch_and_classes(texts, n, sketch_bits, name_bits))
     shared = spark.sparkContext.broadcast(_summed(first, sketch_bits))  # 4 * 2**sketch_bits bytes
-    members = first.filter("chunk is null").select("id", "n", "class", F.col("counts").alias("outline"))
+    members = first.filter("chunk is null").select("id", "n", "class", "second", F.col("counts").alias("outline"))
+    twice = members.groupBy("class").agg(F.min("second").alias("a"), F.max("second").alias("b")).filter("a <> b")
+    names_of_two = frozenset(r[0] for r in twice.select("class").collect())  # sets squared / 2**65 of them: 3 in 10**10 sets
+    if names_of_two:
+        members = members.withColumn("class", F.when(F.col("class").isin(list(names_of_two)), F.col("second")).otherwise(F.col("class")))
+    members = members.drop("second")
+    name = partial(name_of, shared_names=names_of_two, bits=name_bits)
     classes = members.filter("n > 0").groupBy("class").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
 
-    prefixes = materialize(_prefixes(texts, n, percent, shared, sketch_bits))
+    prefixes = materialize(_prefixes(texts, n, percent, shared, sketch_bits, name))
     met = prefixes.groupBy("shingle").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high")
     posted = materialize(prefixes.join(met, "shingle").select("shingle", "class", "low").distinct())
     drop(prefixes)
@@ -381,7 +413,7 @@ def _linked(docs: DataFrame, n: int, percent: int, sketch_bits: int = SKETCH_BIT
     if _plain(members):
         sets = materialize(_sets(texts.join(wanted, "id"), n, shared, sketch_bits))
     else:  # an id does not name a text
-        named_sets = _named_sets(texts, n, shared, sketch_bits).join(wanted.select("class", "copies"), "class")
+        named_sets = _named_sets(texts, n, shared, sketch_bits, name).join(wanted.select("class", "copies"), "class")
         sets = materialize(named_sets.groupBy("class", "copies").agg(F.first("set").alias("set")))
     dealt = tasks.join(sets, "class").select("task", "side", "class", "copies", "set").repartition("task").sortWithinPartitions("task")
     trees = materialize(_verified(dealt, percent))
@@ -392,7 +424,7 @@ def _linked(docs: DataFrame, n: int, percent: int, sketch_bits: int = SKETCH_BIT
     info = classes.join(named, "class", "left").join(links, "class", "left").select(
         "class", F.col("id").alias("class_id"), "copies", F.coalesce("component", "class").alias("component"), F.coalesce("links", F.lit(0)).alias("links")
     )
-    return members, materialize(info)
+    return members, materialize(info), name
 
 
 def _rows(members: DataFrame, info: DataFrame, id_col: str) -> DataFrame:
@@ -412,15 +444,15 @@ def _plain(members: DataFrame) -> bool:
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """The row with the smallest id of every component, with all columns. Rows are told apart by id and set, so
     that of rows with equal ids one stays for every component of which it is the smallest; rows without an id all stay."""
-    members, info = _linked(docs, n, percent)
+    members, info, name_set = _linked(docs, n, percent)
     if _plain(members):
         found = materialize(_rows(members, info, "doc_id").select("doc_id", "component_id"))
         gone = materialize(found.filter("doc_id <> component_id").select("doc_id").distinct())
         return docs.join(small(gone), "doc_id", "left_anti")
-    name = F.pandas_udf(lambda texts: texts.map(lambda t: set_hash(shingles(t, n))), "long")
+    name = F.pandas_udf(lambda texts: texts.map(lambda t: name_set(shingles(t, n))), "long")
     named = docs.withColumn("_class", name(F.coalesce(F.col("text").cast("string"), F.lit(""))))
     first = F.min(F.struct("class_id", "class")).alias("first")
     chosen = small(materialize(info.filter("class_id is not null").groupBy("component").agg(first).select(F.col("first.class").alias("_kept"), F.col("first.class_id").alias("_kept_id"))))
     smallest = named.join(chosen, (F.col("_class") == F.col("_kept")) & (F.col("doc_id").cast("long") == F.col("_kept_id")), "left_semi")
-    bare = named.filter(F.col("doc_id").isNotNull() & (F.col("_class") == set_hash(shingles("", n))))
+    bare = named.filter(F.col("doc_id").isNotNull() & (F.col("_class") == name_set(shingles("", n))))
     return smallest.union(bare).dropDuplicates(["doc_id", "_class"]).union(named.filter("doc_id is null")).select(*docs.columns)

@@ -45,3 +45,30 @@ def test_rows_without_ids_are_linked(spark):
     assert links == [(0, 7, 3), (0, 7, 3), (7, 7, 3), (8, 7, 3)]
     kept = sorted(r[0] or 0 for r in ngram_join.keep_one(docs).select("doc_id").collect())
     assert kept == [0, 0, 7, 9, 10]
+
+
+def test_sets_that_share_a_name_are_told_apart(spark):
+    """With names of few bits, most of which two sets share, nothing changes."""
+    rng = random.Random(11)
+    rows = [(i, " ".join(words(i // 3, 40 + i % 5))) for i in range(300)] + [(1000 + i, near(words(i, 60), i)) for i in range(40)] + [(2000 + i, near(words(i, 60), 7)) for i in range(40)]
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    want = sorted(map(tuple, ngram_join.jaccard_components(docs, 3, 80).collect()))
+    for bits in (5, 9):
+        assert sorted(map(tuple, ngram_join.jaccard_components(docs, 3, 80, name_bits=bits).collect())) == want
+
+
+def test_outlines_bound_overlaps():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 2**63, n).astype(np.uint64)) for n in (0, 1, 63, 500, 1100, 1200, 5000, 5200, 9000)]
+    sets += [np.unique(np.concatenate([s[: int(len(s) * 0.97)], rng.integers(0, 2**63, 5).astype(np.uint64)])) for s in sets]
+    sizes = np.array([len(s) for s in sets])
+    every = np.arange(len(sets))
+    alive, needed = ngram_join.possible(sizes, [ngram_join.outline(s) for s in sets], every, every, 90)
+    for i in every:
+        for j in every:
+            common = len(np.intersect1d(sets[i], sets[j]))
+            assert alive[i, j] or common < needed[i, j] or not common
+    assert not alive[6, 7]  # large sets that meet by chance
