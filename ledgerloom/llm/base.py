@@ -25,9 +25,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; where it is unset (tests, one machine) a temporary one is set."""
+    """The folder in ``spark.checkpoint.dir``, else the context's checkpoint folder. Where neither is set a temporary one
+    is, on one machine; on a cluster that is an error, as its nodes have no folder of one machine in common."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        folder = spark.sparkContext.getCheckpointDir()
+    if not folder:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all nodes share")
         folder = tempfile.mkdtemp(prefix="ledgerloom-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")

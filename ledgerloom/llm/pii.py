@@ -3,7 +3,10 @@
 One Aho-Corasick pass over a text finds anchors: at-signs, plus signs, digits, URL schemes and identifier cues.
 At each anchor a deterministic local parser expands to the match's bounds and validates it. The kinds email,
 ip, card and phone equal leftmost non-overlapping matches of their expressions; url and account are the
-method's own, with schemes and cues in any ASCII case and IBANs in groups, which must pass their check digits. Each parser moves on from where its last match (kept or dropped) ended, so the work is linear.
+method's own, with schemes and cues in any ASCII case. What follows a cue is an account if it has a digit and stands
+by itself; what has the form of an IBAN (in groups too) must pass its check digits, what follows "routing" must be
+nine digits that pass theirs, and what follows "ssn" must be a number that can be given out. Each parser moves on
+from where its last match (kept or dropped) ended, so the work is linear.
 
 Defined results: a null text counts as empty and has no spans; an empty table gives no rows; repeated rows are
 scanned each; extra columns are ignored (or kept, by ``redact``).
@@ -34,6 +37,8 @@ _URL = re.compile(r"[^\x00-\x20\x7f<>\"'`{}|\\^]+")
 _ACCOUNT = re.compile(r"(?i:\x20?(?:no\.?|number|num|id|#))?[\x20:=#.]{1,3}([A-Z0-9][A-Z0-9-]{4,32}[A-Z0-9])(?![A-Za-z0-9])")
 
 _IBAN_LEAD = re.compile(r"(?i:\x20?(?:no\.?|number|num|id|#))?[\x20:=#.]{1,3}([A-Za-z]{2}[0-9]{2}(?:\x20?[A-Za-z0-9]){11,30})")
+_IBAN_FORM = re.compile(r"[A-Za-z]{2}[0-9]{2}[A-Za-z0-9]{11,30}")
+_SSN = re.compile(r"(?i:\x20?(?:no\.?|number|num|id|#))?[\x20:=#.]{1,3}(([0-9]{3})([\x20-]?)([0-9]{2})\3([0-9]{4}))(?![A-Za-z0-9])")
 _CAPITALS = re.compile("[A-Z]+")
 
 _anchors: ahocorasick.Automaton | None = None
@@ -50,7 +55,7 @@ def _automaton() -> ahocorasick.Automaton:
         for word in SCHEMES:
             found.add_word(word, ("scheme", len(word)))
         for word in CUES:
-            found.add_word(word, ("cue", len(word)))
+            found.add_word(word, (word, len(word)))
         found.make_automaton()
         _anchors = found
     return _anchors
@@ -71,6 +76,16 @@ def _lowered(text: str) -> str:
     return text.lower() if text.isascii() else _CAPITALS.sub(lambda m: m[0].lower(), text)
 
 
+def iban(plain: str) -> bool:
+    """Check digits of an IBAN without blanks."""
+    return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
+
+
+def routing(digits: str) -> bool:
+    """Check digit of a nine-digit routing number."""
+    return len(digits) == 9 and digits.isdecimal() and sum(w * int(d) for w, d in zip((3, 7, 1) * 3, digits, strict=True)) % 10 == 0
+
+
 def _iban(text: str, at: int) -> tuple[int, int] | None:
     """The longest valid IBAN after a cue that ends at ``at``: 15 to 34 letters and digits, single spaces between groups."""
     m = _IBAN_LEAD.match(text, at)
@@ -78,12 +93,28 @@ def _iban(text: str, at: int) -> tuple[int, int] | None:
     while m and end - m.start(1) >= 15:
         if not (text[end - 1] == " " or text[end : end + 1].isalnum()):
             plain = text[m.start(1) : end].replace(" ", "")
-            if len(plain) >= 15 and int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1:
+            if len(plain) >= 15 and iban(plain):
                 return m.start(1), end
         end -= 1
     return None
 
 
+def _account(text: str, cue: str, at: int) -> tuple[int, int, int] | None:
+    """Start and end of a valid account after a cue that ends at ``at``, and where to go on."""
+    if place := _iban(text, at):
+        return *place, place[1]
+    if cue == "ssn":
+        m = _SSN.match(text, at)
+        possible = m and m[2] not in ("000", "666") and m[2] < "900" and m[4] != "00" and m[5] != "0000"
+        return (m.start(1), m.end(1), m.end()) if possible else None
+    m = _ACCOUNT.match(text, at)
+    if not m or not any("0" <= c <= "9" for c in m[1]):
+        return None
+    if cue == "routing" and not routing(m[1]) or _IBAN_FORM.fullmatch(m[1]):
+        return None  # what has the form of an IBAN and is valid was found above
+    return m.start(1), m.end(1), m.end()
+
+
 def find_pii(text: str) -> list[tuple[int, int, str]]:
     """Spans (start, end, kind) in code points, end exclusive, by start, then kind as in ``KINDS``."""
     spans: list[tuple[int, int, str]] = []
@@ -123,15 +154,9 @@ def find_pii(text: str) -> list[tuple[int, int, str]]:
                 if end > at + length:
                     done["url"] = end
                     spans.append((at, end, "url"))
-        elif at < done["account"] or (at and text[at - 1].isalnum()):
-            continue
-        elif place := _iban(text, at + length):
-            done["account"] = place[1]
-            spans.append((*place, "account"))
-        elif m := _ACCOUNT.match(text, at + length):
-            if any("0" <= c <= "9" for c in m[1]):
-                done["account"] = m.end()
-                spans.append((m.start(1), m.end(1), "account"))
+        elif at >= done["account"] and not (at and text[at - 1].isalnum()) and (place := _account(text, anchor, at + length)):
+            start, end, done["account"] = place
+            spans.append((start, end, "account"))
     spans.sort(key=lambda s: (s[0], KINDS.index(s[2])))
     return spans
 

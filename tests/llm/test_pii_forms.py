@@ -30,3 +30,31 @@ def test_false_ibans_and_other_letters():
     assert not [s for s in pii.find_pii("IBAN DE88 3704 0044 0532 0130 00") if s[2] == "account"]
     text = "\u0130 \u212a User ID: 48213377"  # letters whose small form is longer or ASCII
     assert [text[a:b] for a, b, _ in pii.find_pii(text)] == ["48213377"]
+
+
+@pytest.mark.parametrize("text, account", [
+    ("SSN: 123-45-6789.", "123-45-6789"), ("ssn 123 45 6789", "123 45 6789"), ("ssn no. 123456789", "123456789"), ("SSN 000-45-6789", ""), ("SSN 666-45-6789", ""),
+    ("SSN 912-45-6789", ""), ("SSN 123-00-6789", ""), ("SSN 123-45-0000", ""), ("SSN 123-45 6789", ""), ("ssn 123-45-67890", ""), ("ssn AB-123456", ""),
+    ("Routing number: 021000021", "021000021"), ("routing 021000022", ""), ("routing 02100002", ""), ("routing 011401533x", ""),
+    ("IBAN DE88370400440532013000", ""), ("IBAN DE89370400440532013000", "DE89370400440532013000"), ("account GB82WEST12345698765431", ""), ("account 1234-5678-AB", "1234-5678-AB"),
+])
+def test_numbers_are_validated(text, account):
+    assert "".join(text[a:b] for a, b, k in pii.find_pii(text) if k == "account") == account
+
+
+def test_urls_by_brute_force():
+    import random
+    import re
+
+    rng = random.Random(3)
+    parts = ["http://", "HTTPS://", "ftp://", "mailto:", "a.b/c", "x", " ", ".", ")", "?q=1", "\n", "é", "<", "https:/", "//"]
+    for _ in range(4000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 12)))
+        want, done = [], 0
+        for m in re.finditer(r"(?i)(?=(http://|https://|ftp://|mailto:))", text):
+            start = m.start() + len(m[1])
+            rest = re.match(r"[^\x00-\x20\x7f<>\"'`{}|\\^]*", text[start:])[0].rstrip(".,;:!?)]")
+            if m.start() >= done and rest:
+                done = start + len(rest)
+                want.append((m.start(), done, "url"))
+        assert [s for s in pii.find_pii(text) if s[2] == "url"] == want, text
