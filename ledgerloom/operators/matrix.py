@@ -23,28 +23,44 @@ def _is_text(matrix: DataFrame) -> bool:
     return dict(matrix.dtypes)["value"] == "string"
 
 
+def _paired(local: DataFrame, incoming: DataFrame) -> DataFrame:
+    """(date, stock, local, incoming, in_local, in_incoming): both versions of every cell that either has, by one
+    aggregation. Whatever is taken from it several times in a plan is computed once, as its shuffle is reused."""
+    side = lambda df, n: df.select("date", "stock", "value", F.lit(n).alias("side"))
+    value = lambda n: F.max(F.when(F.col("side") == n, F.col("value")))
+    has = lambda n: F.max(F.col("side") == n)
+    both = side(local, 0).unionByName(side(incoming, 1))
+    return both.groupBy("date", "stock").agg(value(0).alias("local"), value(1).alias("incoming"), has(0).alias("in_local"), has(1).alias("in_incoming"))
+
+
+def _common(pairs: DataFrame, axis: str) -> DataFrame:
+    """Labels of an axis that both versions have."""
+    return pairs.groupBy(axis).agg(F.max("in_local").alias("a"), F.max("in_incoming").alias("b")).filter("a and b").select(axis)
+
+
+def _overlap(pairs: DataFrame, text: bool, rtol: float, atol: float) -> DataFrame:
+    inside = pairs.join(_common(pairs, "date"), "date", "left_semi").join(_common(pairs, "stock"), "stock", "left_semi")
+    exact = ~F.col("local").eqNullSafe(F.col("incoming"))
+    return inside.select("date", "stock", "local", "incoming", (exact if text else unequal(F.col("local"), F.col("incoming"), rtol, atol)).alias("unequal"))
+
+
 def overlap_cells(local: DataFrame, incoming: DataFrame, rtol: float, atol: float) -> DataFrame:
     """Unequal-marked cells (date, stock, local, incoming, unequal) of common dates x common stocks that either has.
     Numbers are compared within tolerance, texts exactly."""
-    common_dates, common_stocks = dates(local).intersect(dates(incoming)), stocks(local).intersect(stocks(incoming))
-    inside = lambda df, name: df.join(common_dates, "date", "left_semi").join(common_stocks, "stock", "left_semi").select(
-        "date", "stock", F.col("value").alias(name)
-    )
-    both = inside(local, "local").join(inside(incoming, "incoming"), ["date", "stock"], "full")
-    exact = ~F.col("local").eqNullSafe(F.col("incoming"))
-    return both.withColumn("unequal", exact if _is_text(local) else unequal(F.col("local"), F.col("incoming"), rtol, atol))
+    return _overlap(_paired(local, incoming), _is_text(local), rtol, atol)
 
 
 def overlap_report(local: DataFrame, incoming: DataFrame, rtol: float = 1e-7, atol: float = 1e-7) -> DataFrame:
     """One row: dates, stocks, mismatches, max_deviation, share of mismatches in the common rectangle."""
-    cells = overlap_cells(local, incoming, rtol, atol)
+    pairs = _paired(local, incoming)
+    cells = _overlap(pairs, _is_text(local), rtol, atol)
     distance = F.lit(0.0) if _is_text(local) else deviation(F.col("local"), F.col("incoming"))
     found = cells.agg(
         F.count_if("unequal").alias("mismatches"),
         F.coalesce(F.max(F.when(F.col("unequal"), distance)), F.lit(0.0)).alias("max_deviation"),
     )
-    common = dates(local).intersect(dates(incoming)).agg(F.count(F.lit(1)).alias("dates"))
-    both = stocks(local).intersect(stocks(incoming)).agg(F.count(F.lit(1)).alias("stocks"))
+    common = _common(pairs, "date").agg(F.count(F.lit(1)).alias("dates"))
+    both = _common(pairs, "stock").agg(F.count(F.lit(1)).alias("stocks"))
     one = found.crossJoin(common).crossJoin(both)  # three single rows
     return one.select("dates", "stocks", "mismatches", "max_deviation", (F.col("mismatches") / F.greatest(F.col("dates") * F.col("stocks"), F.lit(1))).alias("share"))
 

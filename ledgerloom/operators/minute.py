@@ -85,8 +85,7 @@ def pivot_field(adjusted: DataFrame, field: str, universe: list[int]) -> DataFra
     """Wide frame of one field: a row a datetime, a column a code of ``universe`` in ascending order. The last step
     of a plan; values are listed, so no extra job looks for them."""
     codes = sorted(universe)
-    wide = adjusted.groupBy("datetime").pivot("code", codes).agg(F.max(field))
-    return wide.select("datetime", *(F.col(f"`{c}`").alias(f"c{c}") for c in codes))
+    return adjusted.groupBy("datetime").pivot("code", codes).agg(F.max(field)).select("datetime", *(f"`{c}`" for c in codes))
 
 
 def cells(adjusted: DataFrame, fields: tuple[str, ...] = (*PRICES, "volume", "amount")) -> DataFrame:

@@ -49,11 +49,13 @@ def table_rule(local: DataFrame, incoming: DataFrame, key: str = "stkcode", iden
 
 
 def reference_window(calendar: DataFrame, length: int = 1000, day: str = "day") -> DataFrame:
-    """The last ``length`` days of the calendar; a shorter calendar is an error."""
+    """The last ``length`` days of the calendar, held as a local table of that many rows, so that what uses it several
+    times does not read the calendar again; a shorter calendar is an error."""
     window = calendar.select(day).filter(F.col(day).isNotNull()).distinct().orderBy(F.desc(day)).limit(length)
-    if window.count() < length:
+    days = window.collect()  # ``length`` rows, whatever the calendar
+    if len(days) < length:
         raise ValueError(f"the calendar has fewer than {length} days")
-    return window
+    return calendar.sparkSession.createDataFrame(days, window.schema)
 
 
 def axis_consistency(axes: DataFrame, window: DataFrame, most_lag: int = 5) -> DataFrame:

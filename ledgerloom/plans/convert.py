@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.exprs import symbol_code
-from ..operators import minute, storage
+from ..operators import matrix, minute, storage
 from ..sources import layout
 from ..sources.pickled import load, split_kinds, to_long
 from ..sources.staging import Manifest, file_digest, group_digest
@@ -70,6 +70,20 @@ def _indexed(value: pd.DataFrame) -> pd.DataFrame:
     return table
 
 
+def _codes(spark: SparkSession, value: pd.DataFrame, source: Path) -> list[int]:
+    """The codes of a date x symbol matrix, ascending; none if the table is no such matrix."""
+    if not len(value):
+        return []
+    kind = "datetime" if isinstance(value.index, pd.DatetimeIndex) else "integer" if pd.api.types.is_integer_dtype(value.index) else "text"
+    labels = spark.createDataFrame([("rows", kind, str(x)) for x in value.index], "axis string, kind string, label string")
+    symbols = spark.createDataFrame([(c,) for c in value.columns if isinstance(c, str)], "symbol string")
+    if not matrix.axis_kinds(labels).first()["eight_digits"]:
+        return []
+    if clash := matrix.symbol_conflicts(symbols).collect():
+        raise ValueError(f"{source}: a code is under two suffixes: {', '.join(str(r['code']) for r in clash[:5])}")
+    return sorted(r["code"] for r in symbols.select(symbol_code(F.col("symbol")).alias("code")).filter("code is not null").distinct().collect())
+
+
 def regular(spark: SparkSession, source: Path, target: Path) -> ObjectKind:
     """One pickle: a date x symbol matrix as (datetime, one column a code; cells that are no numbers as text), a series
     or a plain table with its index."""
@@ -78,21 +92,15 @@ def regular(spark: SparkSession, source: Path, target: Path) -> ObjectKind:
     if isinstance(value, pd.Series):
         _write(spark.createDataFrame(_indexed(value.to_frame(value.name or "value"))), target)
         return ObjectKind.SERIES
-    symbols = [c for c in value.columns if isinstance(c, str)] if isinstance(value, pd.DataFrame) else []
-    if isinstance(value, pd.DataFrame) and symbols and len(value) and value.index.astype(str).str.fullmatch(r"\d{8}").all():
-        codes = sorted(c for c in map(int_code, symbols) if c is not None)
-        if len(set(codes)) != len(codes):
-            raise ValueError(f"{source}: a code is under two suffixes")
-        if codes:
-            day = F.to_date(F.col("date").cast("string"), "yyyyMMdd")
-            wide = None
-            for kind, (part,) in split_kinds(value[[c for c in symbols if int_code(c) is not None]]):
-                cell = F.max("value") if kind == "double" else F.substr(F.max("value"), F.lit(2))
-                long = to_long(spark, part, kind).withColumn("code", symbol_code(F.col("stock")))
-                own = long.groupBy(day.alias("datetime")).pivot("code", [int_code(c) for c in part.columns]).agg(cell)
-                wide = own if wide is None else wide.join(own, "datetime")
-            _write(wide.select("datetime", *(f"`{c}`" for c in codes)).orderBy("datetime"), target)
-            return ObjectKind.MATRIX
+    if isinstance(value, pd.DataFrame) and (codes := _codes(spark, value, source)):
+        wide = None
+        for kind, (part,) in split_kinds(value[[c for c in value.columns if isinstance(c, str) and int_code(c) is not None]]):
+            cell = F.max("value") if kind == "double" else F.substr(F.max("value"), F.lit(2))
+            long = matrix.normalize_daily(to_long(spark, part, kind).select(F.col("date").alias("day"), F.col("stock").alias("symbol"), "value"))
+            own = long.groupBy("datetime").pivot("stock_code", [int_code(c) for c in part.columns]).agg(cell)
+            wide = own if wide is None else wide.join(own, "datetime")
+        _write(wide.select("datetime", *(f"`{c}`" for c in codes)).orderBy("datetime"), target)
+        return ObjectKind.MATRIX
     if not isinstance(value, pd.DataFrame):
         raise ValueError(f"{source} is neither a table nor a series")
     named = value if value.index.is_monotonic_increasing else value.sort_index()
@@ -168,7 +176,7 @@ def minutes(spark: SparkSession, config: ConversionConfig, manifest: Manifest, r
         _check_days(spark.createDataFrame([(d,) for d in files], "date int"), bars, table)
         adjusted = minute.adjust(bars, table)
         for f, target in zip(fields, targets, strict=True):
-            _write(adjusted.groupBy("datetime").pivot("code", universe).agg(F.max(f)).orderBy("datetime"), target)
+            _write(minute.pivot_field(adjusted, f, universe).orderBy("datetime"), target)
     finally:
         shutil.rmtree(scratch, ignore_errors=True)
     result.counts[ObjectKind.MINUTE_DAYS] += len(files)

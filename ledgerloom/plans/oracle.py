@@ -102,9 +102,7 @@ SELECT p_partkey, coalesce(x BETWEEN 0 AND 999999 AND x = round(x), false) AS va
 SELECT file_date, count(*) AS rows, count(DISTINCT date) AS days, count(*) - count(DISTINCT (date, code, time)) AS repeats, CAST(max(CASE WHEN date <> file_date THEN 1 ELSE 0 END) AS INTEGER) AS strange FROM f GROUP BY file_date""",
     "bar_end_timestamps": "SELECT event_id AS row_id, date_trunc('minute', ts) + INTERVAL 1 MINUTE AS datetime FROM events",
     "adjusted_prices": f"WITH {BARS} SELECT strptime(CAST(date AS VARCHAR) || lpad(CAST(time AS VARCHAR), 4, '0'), '%Y%m%d%H%M') + INTERVAL 1 MINUTE AS datetime, code, {', '.join(f'{p} * ({_FACTOR}) AS {p}' for p in _P)}, volume, amount, row_id FROM bars WHERE code BETWEEN 0 AND 999999",
-    "minute_pivot": f"""WITH {BARS}, a AS (SELECT strptime(CAST(date AS VARCHAR) || lpad(CAST(time AS VARCHAR), 4, '0'), '%Y%m%d%H%M') + INTERVAL 1 MINUTE AS datetime, code, close * ({_FACTOR}) AS close FROM bars WHERE code BETWEEN 0 AND 999999)
-SELECT datetime, {', '.join(f'max(close) FILTER (code = {c}) AS c{c}' for c in range(1, 21))} FROM a GROUP BY datetime""",
-    "minute_pivot_all": f"""WITH {BARS}, a AS (SELECT strptime(CAST(date AS VARCHAR) || lpad(CAST(time AS VARCHAR), 4, '0'), '%Y%m%d%H%M') + INTERVAL 1 MINUTE AS datetime, code, {', '.join(f'{p} * ({_FACTOR}) AS {p}' for p in _P)}, volume, amount FROM bars WHERE code BETWEEN 0 AND 999999)
+    "minute_pivot": f"""WITH {BARS}, a AS (SELECT strptime(CAST(date AS VARCHAR) || lpad(CAST(time AS VARCHAR), 4, '0'), '%Y%m%d%H%M') + INTERVAL 1 MINUTE AS datetime, code, {', '.join(f'{p} * ({_FACTOR}) AS {p}' for p in _P)}, volume, amount FROM bars WHERE code BETWEEN 0 AND 999999)
 SELECT datetime, code, {', '.join(f'max({c}) AS {c}' for c in (*_P, 'volume', 'amount'))} FROM a GROUP BY datetime, code""",
     "overlap_report": f"""WITH {CELLS}, r AS (SELECT count(*) FILTER (unequal) AS mismatches, coalesce(max(CASE WHEN unequal AND greatest(abs(lv), abs(iv)) > 0 AND lv IS NOT NULL AND iv IS NOT NULL THEN abs(lv - iv) / greatest(abs(lv), abs(iv)) END), 0) AS max_deviation FROM marked)
 SELECT (SELECT count(*) FROM cd) AS dates, (SELECT count(*) FROM cs) AS stocks, mismatches, round(max_deviation, 12) AS max_deviation, round(mismatches / greatest((SELECT count(*) FROM cd) * (SELECT count(*) FROM cs), 1)::DOUBLE, 12) AS share FROM r""",
@@ -135,8 +133,7 @@ o1 AS (SELECT *, row_number() OVER (PARTITION BY date, code ORDER BY time, row_i
 SELECT coalesce(o.date, n.date) AS date, count(o.row_id) AS old_rows, count(n.row_id) AS new_rows, {', '.join(f'count(*) FILTER (o.{c} IS DISTINCT FROM n.{c}) AS {c}_differs' for c in ('time', *_P, 'volume', 'amount'))}
 FROM o1 o FULL JOIN n1 n ON o.date = n.date AND o.code = n.code AND o.k = n.k GROUP BY 1""",
     "daily_normalize": """SELECT CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS datetime, o_custkey AS stock_code, o_totalprice AS value FROM orders WHERE o_custkey % 6 <> 0""",
-    "daily_bundle": f"WITH {DAILY} SELECT symbol, round(daily_adj_close, 6) AS adj_close, round(daily_adj_open, 6) AS adj_open, round(daily_volume, 6) AS volume FROM daily WHERE date = 20240115",
-    "daily_bundle_all": f"WITH {DAILY} SELECT date, symbol, " + ", ".join(f"round({c}, 6) AS {c}" for c in ("adjfactor", *(f"daily_adj_{p}" for p in _P), "daily_volume", "daily_amount", "daily_adj_vwap")) + " FROM daily",
+    "daily_bundle": f"WITH {DAILY} SELECT date, symbol, " + ", ".join(f"round({c}, 6) AS {c}" for c in ("adjfactor", *(f"daily_adj_{p}" for p in _P), "daily_volume", "daily_amount", "daily_adj_vwap")) + " FROM daily",
     "archive_caps": """WITH m AS (SELECT page_id % 20 AS archive, CAST(length(html) AS BIGINT) AS f, CAST(length(html) AS BIGINT) // (1 + page_id % 7) AS c FROM pages),
 r AS (SELECT archive, count(*) AS members, max(f) AS largest, CAST(sum(f) AS BIGINT) AS total, round(max(CASE WHEN c > 0 THEN f / c::DOUBLE END), 6) AS ratio, max(CASE WHEN c > 0 THEN f / c::DOUBLE END) AS q, count(*) FILTER (c = 0 AND f > 0) AS impossible FROM m GROUP BY archive)
 SELECT archive, members, largest, total, ratio, impossible, CASE WHEN members > 20 THEN 'members' WHEN largest > 9000 THEN 'member size' WHEN total > 60000 THEN 'total size' WHEN impossible > 0 THEN 'no compressed bytes' WHEN q > 6 THEN 'ratio' ELSE 'ok' END AS verdict FROM r""",

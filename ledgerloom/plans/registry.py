@@ -118,12 +118,7 @@ def adjusted_prices(spark, d):
 
 @query
 def minute_pivot(spark, d):
-    return minute.pivot_field(_adjusted(spark, d), "close", list(range(1, 21)))
-
-
-@query
-def minute_pivot_all(spark, d):
-    """All six fields of every code, in long form; ``minute_pivot`` has one field of 20 codes."""
+    """All six fields of every code, in long form; conversion pivots the same rows on the listed universe."""
     return minute.cells(_adjusted(spark, d))
 
 
@@ -227,13 +222,7 @@ def daily_normalize(spark, d):
 
 @query
 def daily_bundle(spark, d):
-    long = bridge.daily(spark, d).filter("date = (20240100 + 15)").selectExpr("symbol", "date", "stack(3, 'adj_close', daily_adj_close, 'adj_open', daily_adj_open, 'volume', daily_volume) AS (field, value)")
-    return _rounded(long.groupBy("symbol").pivot("field", ["adj_close", "adj_open", "volume"]).agg(F.max("value")))
-
-
-@query
-def daily_bundle_all(spark, d):
-    """All eight daily fields of every day; ``daily_bundle`` has three of them for one day."""
+    """All eight daily fields of every day."""
     return _rounded(bridge.daily(spark, d).drop("code"))
 
 
