@@ -32,7 +32,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, TOKENIZER, limit=2048)
+    """Sequences of at most 2,048 tokens and at most 64 documents; attention cost is bounded by the tokens."""
+    return packing.pack(docs, TOKENIZER, limit=2048, documents=64)
 
 
 STAGES = [
