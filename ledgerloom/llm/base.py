@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 #: Rows of text that one Arrow batch may hold in a Python worker; long texts make a batch large.
 BATCH_ROWS = 256
 ARROW_ROWS = 512
+#: Tables in fewer partitions are dealt over the cores before texts are worked on.
+SPREAD_PARTS = 32
 
 _written: list[tuple[SparkSession, str]] = []
 
@@ -87,6 +89,17 @@ def release() -> None:
 atexit.register(release)
 
 
+def spread(df: DataFrame, few: int = SPREAD_PARTS) -> DataFrame:
+    """``df``, dealt anew over the cores if its rows lie in fewer partitions than there are cores and than ``few``.
+
+    One Parquet row group is one task, so a small table of one file would occupy one core. The partitions that have
+    rows are counted without reading a column; tables of ``few`` partitions or more stay as they are, and nothing of
+    them is shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    held = df.select(F.spark_partition_id().alias("part")).distinct().count()
+    return df.repartition(cores) if held < min(cores, few) else df
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Cut Arrow batches to ``ARROW_ROWS`` rows in this session, unless it has its own setting: whole texts are long,
     and a batch is held by the JVM and by the Python worker at once."""
@@ -120,7 +133,7 @@ def map_text(
                     [part.column(0), *(pa.array(column, kind) for column, kind in zip(columns, fields, strict=True))], names=[key, *names]
                 )
 
-    return df.select(F.col(key), F.col(text).cast("string").alias(text)).mapInArrow(run, f"`{key}` {key_type}, {schema}")
+    return spread(df.select(F.col(key), F.col(text).cast("string").alias(text))).mapInArrow(run, f"`{key}` {key_type}, {schema}")
 
 
 def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:

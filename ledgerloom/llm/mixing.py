@@ -29,7 +29,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import materialize
+from .base import materialize, spread
 
 #: Rows of a block; in sources of over 2**24 rows a quarter of the root of their number, so that neither the blocks of
 #: a source nor the rows of a block, which one task orders, become too many.
@@ -146,7 +146,7 @@ def mix_rows(
 ) -> DataFrame:
     """The mixture without the texts, one row each time that a row is taken: id, source, tokens, epoch, block,
     block_place (in the epoch's permutation of the source's blocks) and row_place (in the block's)."""
-    slim = materialize(_counted(docs, id_col, text_col, source_col, F.col(source_col).alias("_given")))
+    slim = materialize(_counted(spread(docs.select(id_col, text_col, source_col)), id_col, text_col, source_col, F.col(source_col).alias("_given")))
     out = _place(slim, slim, target_entropy, most_repeats, budget, seed)
     return out.select(F.col("_id").alias(id_col), F.col("_given").alias(source_col), "tokens", "epoch", "block", "block_place", "row_place")
 

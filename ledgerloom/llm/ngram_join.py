@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import bounded_batches, drop, materialize, runs, small
+from .base import bounded_batches, drop, materialize, runs, small, spread
 from .components import components
 
 SKETCH_BITS = 22
@@ -359,7 +359,7 @@ def _linked(
     function that names a set."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    texts = _texts(docs, id_col, text_col)
+    texts = spread(_texts(docs, id_col, text_col))
     first = materialize(_sketch_and_classes(texts, n, sketch_bits, name_bits))
     shared = spark.sparkContext.broadcast(_summed(first, sketch_bits))  # 4 * 2**sketch_bits bytes
     members = first.filter("chunk is null").select("id", "n", "class", "second", F.col("counts").alias("outline"))
@@ -403,9 +403,9 @@ def _linked(
     left = F.transform(F.sequence(F.lit(0), F.col("bq") - 1), lambda o: F.struct(F.col("block").alias("i"), o.alias("j"), F.lit(0).alias("side")))
     right = F.transform(F.sequence(F.lit(0), F.col("bp") - 1), lambda o: F.struct(o.alias("i"), F.col("block").alias("j"), F.lit(1).alias("side")))
     spots = F.when(F.col("p") == F.col("q"), same).when(F.col("leader") == F.col("p"), left).otherwise(right)
-    spread = sided.select("class", "p", "q", F.explode(spots).alias("s")).select("class", F.xxhash64("p", "q", "s.i", "s.j").alias("task"), "s.side")
+    spots_of = sided.select("class", "p", "q", F.explode(spots).alias("s")).select("class", F.xxhash64("p", "q", "s.i", "s.j").alias("task"), "s.side")
     outlines = members.filter("n > 0").groupBy("class").agg(F.min("n").alias("n"), F.min("outline").alias("outline"))
-    judged = spread.join(outlines, "class").select("task", "side", "class", "n", "outline").repartition("task").sortWithinPartitions("task")
+    judged = spots_of.join(outlines, "class").select("task", "side", "class", "n", "outline").repartition("task").sortWithinPartitions("task")
     tasks = materialize(_hopeful(judged, percent))
     drop(units)
 

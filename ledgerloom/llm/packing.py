@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import bounded_batches, materialize, ranked
+from .base import bounded_batches, materialize, ranked, spread
 
 PROBES = ("", "Hello world, it's 12 o'clock.\n\n  x", "Épreuve ñandú größer 中文 🙂 a_b", "\t\r\n \u00a0--==!! don't WE'LL", "0123 4567.89")
 
@@ -96,7 +96,7 @@ def pieces(docs: DataFrame, tokenizer: str, limit: int, end_id: int = 0, id_col:
                 names=[id_col, "piece", "start", "length", "ids_crc32"],
             )
 
-    source = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text"))
+    source = spread(docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text")))
     return source.mapInArrow(run, f"`{id_col}` {key_type}, piece int, start long, length long, ids_crc32 long")
 
 

@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import materialize
+from .base import materialize, spread
 
 #: Strings that the derivation multiplies out at most, letters of a class that it spells, and ANDs of a query.
 STRINGS, LETTERS, ANDS = 64, 16, 128
@@ -258,7 +258,7 @@ def scan_secrets(
         raise ValueError(f"more than {MASK} rules at once")
     wanted = wanted_trigrams(rules)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    source = docs.select(F.col(id_col), text.alias("_text"), F.xxhash64(F.col(id_col), text).alias("_key"))
+    source = spread(docs.select(F.col(id_col), F.col(text_col))).select(F.col(id_col), text.alias("_text"), F.xxhash64(F.col(id_col), text).alias("_key"))
     none = lambda kind: F.expr(f"cast(array() as {kind})")
     if wanted:
         found = materialize(candidates(postings(source.select("_key", "_text"), wanted), rules, wanted))

@@ -257,6 +257,14 @@ def test_packing(spark, odd_docs):
     assert got.sequence_id.nunique() <= -(-got.length.sum() // 2048) + 1
 
 
+def test_packing_few_documents_a_sequence(spark):
+    """A capacity of documents that binds: short texts fill sequences by number, not by tokens."""
+    docs = spark.createDataFrame([(i, "word " * (i % 7)) for i in range(1000)], "doc_id long, text string")
+    got = pandas(packing.pack(docs, entry.TOKENIZER, limit=2048, documents=64))
+    held = got.groupby("sequence_id").agg(n=("length", "size"), tokens=("length", "sum"))
+    assert held.n.max() == 64 and held.tokens.max() < 2048 and len(held) == 16 and got.doc_id.nunique() == 1000
+
+
 @pytest.mark.parametrize("rule", ["dot", "norm"])
 def test_packer_keeps_every_constraint(rule):
     rng = random.Random(4)
@@ -389,4 +397,5 @@ def test_pipeline_stages(spark):
             assert all(r.text == pii.redacted(texts[r.doc_id]) and r.n_chars == len(r.text) for r in rows.itertuples())
         else:
             assert set(rows.doc_id) == set(old.doc_id)
-    assert kept.groupBy("sequence_id").agg(F.sum("length").alias("n")).agg(F.max("n")).first()[0] <= 2048
+    held = kept.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.count(F.lit(1)).alias("c")).agg(F.max("n"), F.max("c")).first()
+    assert held[0] <= 2048 and held[1] <= 64
