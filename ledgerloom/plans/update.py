@@ -16,7 +16,7 @@ from ..errors import DateAxisError, UpdateError
 from ..operators import matrix, minute, reference
 from ..sources import layout
 from ..sources.archives import daily_packages, hold_to_limits, minute_members, pickles
-from ..sources.pickled import catalog, days_of, decoded, has_dates, load, sorted_days, split_kinds, to_long, to_wide
+from ..sources.pickled import catalog, common_types, days_of, decoded, has_dates, load, sorted_days, split_kinds, to_long, to_wide
 from ..sources.staging import Staging
 from .results import OF_READING, Count, UpdateResult
 
@@ -179,7 +179,7 @@ class _Run:
         for kind, (a, b) in split_kinds(local, new):
             own = {*map(str, a.columns), *map(str, b.columns)}
             merged = matrix.overlay(to_long(self.spark, a, kind), to_long(self.spark, b, kind))
-            parts.append(to_wide(merged, [s for s in stocks if s in own], pd.concat([a.head(1), b.head(1)])))
+            parts.append(to_wide(merged, [s for s in stocks if s in own], common_types(a, b)))
         self.staging.stage(parts[0] if len(parts) == 1 else pd.concat(parts, axis=1)[stocks].sort_index(), target)
         self.result.counts[Count.MATRICES] += 1
 

@@ -290,6 +290,29 @@ def test_staging_keeps_old_contents_that_it_could_not_restore(tmp_path, monkeypa
     assert pd.read_pickle(s.folder / "old-1") == "old"
 
 
+def test_merged_columns_keep_the_widest_type(spark, tmp_path):
+    root = history(tmp_path / "full")
+    folder = delivery(tmp_path / "new")
+    columns = ["000001.SZ", "600000.SH", "000002.SZ", "000003.SZ"]
+
+    def frame(days, kinds):
+        return pd.DataFrame({c: pd.Series([n + 1] * len(days), index=days, dtype=k) for n, (c, k) in enumerate(zip(columns, kinds, strict=True)) if k})
+
+    target = root / "x/mixed.pkl"
+    dump(frame(DAYS[:-2], ("float32", "int64", "Int64", None)), target)
+    rest = {f"{n}.pkl": pd.DataFrame(1.0, index=[0], columns=columns[:2]) for n in ("adj_open", "adj_high", "adj_low", "adj_close", "volume", "amount", "adj_vwap")}
+    days = {}
+    for day in DAYS[-2:]:
+        own = {n: f.set_axis([day]) for n, f in rest.items()} | {"adjfactor.pkl": pd.DataFrame(2.0, index=[day], columns=columns[:2])}
+        days[f"factorDatabase_incre_pkl_{day}.zip"] = packed(own | {"mixed.pkl": frame([day], ("float64", "int32", "Int64", "int64"))})
+    (folder / layout.FACTOR_ARCHIVE).write_bytes(packed(days))
+    result = update_dataset(spark, config(tmp_path))
+    assert result.errors == [] and result.committed
+    merged = pd.read_pickle(target)
+    assert [str(t) for t in merged.dtypes] == ["float64", "int64", "Int64", "float64"]  # days before the last column began are missing
+    assert merged.iloc[-1].tolist() == [1, 2, 3, 4] and merged[columns[3]].isna().sum() == len(DAYS) - 2
+
+
 def test_every_bad_axis_is_named(spark, tmp_path):
     root = history(tmp_path / "full")
     delivery(tmp_path / "new")
