@@ -222,12 +222,12 @@ def _green_tokens(r: Reader, code: Code, far: Code, width: int, n: int) -> np.nd
     raw = np.frombuffer(r.data[first : first + (n * (code.most + (66 if max(code.symbols) > 255 else 0)) + 7 >> 3) + 4] + bytes(8), np.uint8).astype(np.int32)
     three = raw[:-2] | raw[1:-1] << 8 | raw[2:] << 16
     windows = ((three[:, None] >> np.arange(8, dtype=np.int32)) & ((1 << code.most) - 1)).ravel()
-    found = code.table[windows]
-    step = found >> 16
-    copies = np.flatnonzero((found & 0xFFFF) > 255) if max(code.symbols) > 255 else np.empty(0, np.int64)
+    step = (code.table >> 16).astype(np.uint8)[windows]
+    copies = np.flatnonzero(((code.table & 0xFFFF) > 255)[windows]) if max(code.symbols) > 255 else np.empty(0, np.int64)
     length, distance = {}, {}
     if len(copies):
-        more, base = _extras((found[copies] & 0xFFFF) - 256)
+        step = step.astype(np.int32)
+        more, base = _extras((code.table[windows[copies]] & 0xFFFF) - 256)
         at = copies + step[copies]
         long = base + _bits_at(raw, at, more)
         at = at + more
@@ -241,7 +241,14 @@ def _green_tokens(r: Reader, code: Code, far: Code, width: int, n: int) -> np.nd
         step[copies] = np.minimum(at + own + more - copies, 1 << 20)
         length, distance = long, np.where(back > 120, back - 120, _near(width)[np.minimum(back, 120)])
     places = _walk(step, r.at & 7, n)
-    values = found[places] & 0xFFFF
+    values = code.table[windows[places]] & 0xFFFF
+    if not len(copies):
+        if len(places) < n or places[-1] >= len(step) - 1:
+            raise ValueError("the picture ends early")
+        r.at = 8 * first + int(places[-1]) + int(step[places[-1]])
+        if r.at > r.end:
+            raise ValueError("the picture ends early")
+        return values.astype(np.uint8)
     sizes = np.ones(len(places), np.int64)
     referring = np.flatnonzero(values > 255)
     which = np.searchsorted(copies, places[referring])
@@ -725,20 +732,23 @@ LONGEST = 4096
 
 def repeats(flat: np.ndarray) -> list[tuple[int, int, int]]:
     """(start, distance, length) of stretches that occur before, from the left, without overlap. A stretch starts
-    after a blank or a line's end, or at a multiple of ``REPEAT``."""
+    after a blank or another control character, or at a multiple of ``REPEAT``."""
     n = len(flat)
-    blank = (flat == 32) | (flat == 10)
-    blank[::REPEAT] = True
-    starts = np.flatnonzero(blank)
-    starts = np.unique(np.concatenate([starts[flat[starts] != 32], starts + 1]))
-    starts = starts[starts + REPEAT <= n]
+    follows = np.empty(n, bool)
+    follows[0] = True
+    np.less_equal(flat[:-1], 32, out=follows[1:])
+    follows[::REPEAT] = True
+    starts = np.flatnonzero(follows[: max(0, n - REPEAT + 1)])
     if len(starts) < 2:
         return []
     words = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(flat, REPEAT)[starts]).view(np.uint64)
     with np.errstate(over="ignore"):
         key = (words[:, 0] * np.uint64(0x9E3779B97F4A7C15)) ^ (words[:, 1] * np.uint64(0xC2B2AE3D27D4EB4F))
     order = np.argsort(key, kind="stable")
-    same = np.flatnonzero(key[order[1:]] == key[order[:-1]])
+    key = key[order]
+    same = np.flatnonzero(key[1:] == key[:-1])
+    if not len(same):
+        return []
     later, earlier = order[same + 1], order[same]
     by_place = np.argsort(later)
     at, source = starts[later[by_place]], starts[earlier[by_place]]
@@ -763,7 +773,13 @@ def _write_green(w: Writer, flat: np.ndarray, width: int) -> np.ndarray:
     w.bits(0, 2)  # no colour cache, one group of codes
     copies = repeats(flat)
     if sum(length for _, _, length in copies) * LITERAL_BITS < (len(copies) + 8) * REFERENCE_BITS:
-        copies = []
+        lengths = code_lengths(np.bincount(flat, minlength=ALPHABETS[0]).tolist())
+        value, size = np.zeros(256, np.uint16), np.zeros(256, np.int64)
+        for symbol, (v, n) in write_code(w, lengths).items():
+            value[symbol], size[symbol] = v, n
+        for s in (0, 0, 255, 0):
+            write_single(w, s)
+        return _spelled(value[flat], size[flat])
     covered = np.zeros(len(flat) + 1, np.int32)
     start, distance, length = np.array(copies, np.int64).reshape(-1, 3).T
     covered[start] += 1
@@ -795,8 +811,14 @@ def _write_green(w: Writer, flat: np.ndarray, width: int) -> np.ndarray:
     at = at[symbols > 255]
     for k, (v, n) in enumerate((([x[1] for x in long], [x[2] for x in long]), (reach[0][far_symbols], reach[1][far_symbols]), ([x[1] for x in far], [x[2] for x in far]))):
         value[at + k + 1], size[at + k + 1] = v, n
+    return _spelled(value, size)
+
+
+def _spelled(value: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The bits of numbers, each with its own size, lowest first."""
     ends = np.cumsum(size)
-    return (np.repeat(value, size) >> (np.arange(int(ends[-1])) - np.repeat(ends - size, size)).astype(np.uint32) & 1).astype(np.uint8)
+    place = np.arange(int(ends[-1]), dtype=np.int32) - np.repeat((ends - size).astype(np.int32), size)
+    return (np.repeat(value, size) >> place.astype(value.dtype) & 1).astype(np.uint8)
 
 
 def encode_grey(samples: np.ndarray) -> bytes:
