@@ -26,7 +26,7 @@ of: such sets are named by the second hash instead.
 Defined results: null and empty texts have n_shingles 0 and are their own component; repeated rows (equal ids
 too) are rows of one class; an empty table gives no rows; extra columns are ignored (kept by ``keep_one``). Rows are told
 apart by their sets, not by their ids: rows that share an id, or have none, are linked each by its own text.
-Rows with a null id are never taken out by ``keep_one``.
+Rows with a null id are never taken out by ``keep_one``. Ids are taken as whole numbers; others raise.
 """
 
 from __future__ import annotations
@@ -37,6 +37,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +46,8 @@ from .components import components
 
 SKETCH_BITS = 22
 CHUNK_BITS = 16
+#: Chunks that are summed in one place at most, about.
+SUMMED = 64
 #: Classes of one block; two blocks meet in a task. Larger units have more of them, up to BLOCK_MOST.
 BLOCK, BLOCK_MOST = 64, 2048
 #: Ranges of the outline of a small set, and members of a set for each range of a large one.
@@ -130,38 +133,50 @@ def _sketch_and_classes(docs: DataFrame, n: int, bits: int, name_bits: int) -> D
             part = counts[c : c + size]
             if part.any():
                 yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(1, pa.int64())] * 4 + [pa.array([c // size], pa.int32()), pa.array([part.tobytes()], pa.binary())],
+                    [pa.nulls(1, pa.int64())] * 4 + [pa.array([c // size], pa.int32()), pa.array([_packed(part)], pa.binary())],
                     names=["id", "n", "class", "second", "chunk", "counts"],
                 )
 
     return docs.mapInArrow(run, "id long, n long, class long, second long, chunk int, counts binary")
 
 
-def _summed(rows: DataFrame, bits: int, fan: int = 16) -> np.ndarray:
-    """The sketch: chunks are summed in two steps, so that no task reads many of them."""
+def _packed(counts: np.ndarray) -> bytes:
+    """Counters, most of which are small, in about a bit each."""
+    return zstandard.compress(counts.astype(np.uint32).tobytes(), 1)
 
-    def add(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
-        sums: dict[tuple, np.ndarray] = {}
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(data), np.uint32)
+
+
+def _summed(rows: DataFrame, bits: int) -> np.ndarray:
+    """The sketch: chunks are summed in steps of ``SUMMED``, so that no task reads many of them."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
-            columns = [batch.column(k).to_pylist() for k in keys]
-            for *key, data in zip(*columns, batch.column("counts").to_pylist(), strict=True):
-                part = np.frombuffer(data, np.uint32)
-                held = sums.get(tuple(key))
-                sums[tuple(key)] = part.copy() if held is None else np.minimum(held.astype(np.uint64) + part, 0xFFFFFFFF).astype(np.uint32)
-        for key, part in sums.items():
-            yield pa.RecordBatch.from_arrays(
-                [*(pa.array([k], pa.int32()) for k in key), pa.array([part.tobytes()], pa.binary())], names=[*keys, "counts"]
-            )
+            for chunk, way, data in zip(*(batch.column(k).to_pylist() for k in ("chunk", "way", "counts")), strict=True):
+                part, held = _unpacked(data), sums.get((chunk, way))
+                sums[chunk, way] = part if held is None else np.minimum(held.astype(np.uint64) + part, 0xFFFFFFFF).astype(np.uint32)
+        for (chunk, way), part in sums.items():
+            columns = [pa.array([chunk], pa.int32()), pa.array([way], pa.int32()), pa.array([_packed(part)], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["chunk", "way", "counts"])
 
     chunks = max(1, 1 << (bits - CHUNK_BITS))
-    dealt = rows.filter("chunk is not null").select("chunk", F.pmod(F.xxhash64("counts"), F.lit(fan)).cast("int").alias("way"), "counts")
-    once = dealt.repartition(chunks * fan, "chunk", "way").mapInArrow(lambda b: add(b, ("chunk", "way")), "chunk int, way int, counts binary")
-    twice = once.select("chunk", "counts").repartition(chunks, "chunk").mapInArrow(lambda b: add(b, ("chunk",)), "chunk int, counts binary")
+    found = rows.filter("chunk is not null").select("chunk", "counts")
+    ways = -(-found.count() // (chunks * SUMMED))
+    dealt = found.select("chunk", F.pmod(F.xxhash64("counts"), F.lit(max(1, ways))).cast("int").alias("way"), "counts")
+    while ways > 0:
+        parts = max(1, min(2048, chunks * ways // 4))  # a task sums several chunks, each of 4 * 2**CHUNK_BITS bytes
+        dealt = materialize(dealt.repartition(parts, "chunk", "way").mapInArrow(add, "chunk int, way int, counts binary"))
+        if ways == 1:
+            break
+        ways = -(-ways // SUMMED)
+        dealt = dealt.withColumn("way", F.expr(f"cast(way div {SUMMED} as int)"))
     out = np.zeros(1 << bits, np.uint32)
-    for row in twice.collect():  # 2**bits counters in all, whatever the corpus; one job
-        size = 1 << CHUNK_BITS
-        part = np.frombuffer(row["counts"], np.uint32)
-        out[row["chunk"] * size : row["chunk"] * size + len(part)] += part
+    for row in dealt.select("chunk", "counts").collect() if ways else []:  # 2**bits counters in all, whatever the corpus; one job
+        part = _unpacked(row["counts"])
+        out[(row["chunk"] << CHUNK_BITS) : (row["chunk"] << CHUNK_BITS) + len(part)] += part
     return out
 
 

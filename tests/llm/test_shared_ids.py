@@ -72,3 +72,20 @@ def test_outlines_bound_overlaps():
             common = len(np.intersect1d(sets[i], sets[j]))
             assert alive[i, j] or common < needed[i, j] or not common
     assert not alive[6, 7]  # large sets that meet by chance
+
+
+def test_sketch_sums_every_count(spark, monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    bits = 17
+    parts = [rng.integers(0, 3, 1 << bits).astype(np.uint32) for _ in range(30)]
+    parts.append(np.full(1 << bits, 0xFFFFFFF0, np.uint32))
+    size = 1 << ngram_join.CHUNK_BITS
+    rows = [(c, bytearray(ngram_join._packed(p[c * size : (c + 1) * size]))) for p in parts for c in range((1 << bits) // size)]
+    table = spark.createDataFrame([*rows, (None, None)], "chunk int, counts binary").repartition(5)
+    want = np.minimum(sum(p.astype(np.uint64) for p in parts), 0xFFFFFFFF)
+    for summed in (64, 3, 2):  # one step, several steps
+        monkeypatch.setattr(ngram_join, "SUMMED", summed)
+        assert (ngram_join._summed(table, bits) == want).all()
+    assert not ngram_join._summed(table.filter("chunk is null"), bits).any()
