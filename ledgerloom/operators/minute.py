@@ -6,6 +6,8 @@ source and breaks ties of equal (code, time).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +15,9 @@ from ..functions.exprs import bar_end, valid_code
 
 PRICES = ("open", "high", "low", "close")
 REQUIRED = ("code", "date", "time", *PRICES, "volume", "amount")
+#: What a bar is known by, and what it says.
+KEY = ("date", "code", "time")
+VALUES = (*PRICES, "volume", "amount")
 
 
 def roll_up(bars: DataFrame, keys: tuple[str, ...] = ("code", "date")) -> DataFrame:
@@ -69,6 +74,37 @@ def unequal_fields(old: DataFrame, new: DataFrame, fields: tuple[str, ...] = (*P
     )
 
 
+def single_bars(bars: DataFrame) -> DataFrame:
+    """Equal repeats of a bar as one row, with the smallest ``row_id``; bars without a code are left out."""
+    return bars.filter("code is not null").groupBy(*KEY, *VALUES).agg(F.min("row_id").alias("row_id"))
+
+
+def conflicting_bars(bars: DataFrame) -> DataFrame:
+    """Keys of bars that come with more than one set of values."""
+    return single_bars(bars).groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*KEY)
+
+
+def changed_bars(bars: DataFrame, known: DataFrame) -> DataFrame:
+    """Keys of bars that the history has with other values."""
+    held = known.select(*KEY, *(F.col(v).alias(f"known_{v}") for v in VALUES))
+    unequal = reduce(lambda a, b: a | b, (~F.col(v).eqNullSafe(F.col(f"known_{v}")) for v in VALUES))
+    return bars.join(held, list(KEY)).filter(unequal).select(*KEY).distinct()
+
+
+def fresh_bars(bars: DataFrame, known: DataFrame) -> DataFrame:
+    """Bars that the history lacks, whatever days and files they come in."""
+    return bars.join(known.select(*KEY), list(KEY), "left_anti")
+
+
+def unready_days(days: DataFrame, bars: DataFrame, factors: DataFrame) -> DataFrame:
+    """(date, reason) of days that can't be adjusted: without factors, without bars, or with a bar twice."""
+    known = factors.groupBy("date").agg(F.lit(True).alias("factors"))
+    kept = bars.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")).groupBy("date").agg(F.max("n").alias("most"))
+    state = days.select("date").distinct().join(known, "date", "left").join(kept, "date", "left")
+    reason = F.when(F.col("factors").isNull(), "no factors").when(F.col("most").isNull(), "no bars of listed codes").when(F.col("most") > 1, "bars repeat")
+    return state.select("date", reason.alias("reason")).filter("reason is not null")
+
+
 def adjust(bars: DataFrame, factors: DataFrame, universe: DataFrame | None = None) -> DataFrame:
     """Bars of valid codes with prices times the (date, code) factor and the bar's end; without a factor prices are
     NULL. ``factors`` joins by (date, code); adaptive execution broadcasts it when it is small."""

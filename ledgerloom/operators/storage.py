@@ -29,13 +29,35 @@ def currency(sources: DataFrame, recorded: DataFrame, targets: DataFrame) -> Dat
     return known.select("key", (F.col("digest").eqNullSafe(F.col("recorded")) & F.col("there").isNotNull()).alias("current"))
 
 
-def group_digest(files: DataFrame) -> DataFrame:
-    """Per group of files: SHA-256 over name, NUL, digest, newline of each in order of names. Groups are listings."""
+def digests(files: DataFrame, key: str, content: str) -> DataFrame:
+    """(key, digest): SHA-256 of each content; a missing one counts as empty."""
+    return files.select(key, F.sha2(F.coalesce(F.col(content).cast("binary"), F.lit(b"")), 256).alias("digest"))
+
+
+def group_digest(files: DataFrame, by: str = "name") -> DataFrame:
+    """Per group of files: SHA-256 over name, NUL, digest, newline of each in order of ``by``. Groups are listings."""
     line = F.concat("name", F.lit("\0"), "digest", F.lit("\n"))
-    listed = files.groupBy("group").agg(F.sort_array(F.collect_list(F.struct("name", line.alias("line")))).alias("l"))
+    listed = files.groupBy("group").agg(F.sort_array(F.collect_list(F.struct(by, line.alias("line")))).alias("l"))
     return listed.select("group", F.sha2(F.array_join(F.transform("l", lambda x: x["line"]), ""), 256).alias("digest"))
 
 
+def changed_contents(now: DataFrame, noted: DataFrame, key: str = "path") -> DataFrame:
+    """(key, digest) of what was noted and has another content than at the latest time, by ``noted``."""
+    known = latest(noted, key, "noted", ["digest"]).select(key, F.col("digest").alias("known"))
+    return now.join(known, key).filter("digest <> known").select(key, "digest")
+
+
+def match_names(held: DataFrame, delivered: DataFrame) -> DataFrame:
+    """(name, state): names of a delivery against those of the history: matched, missing or extra."""
+    both = held.select("name").distinct().withColumn("_held", F.lit(True)).join(delivered.select("name").distinct().withColumn("_delivered", F.lit(True)), "name", "full")
+    return both.select("name", F.when(F.col("_held").isNull(), "extra").when(F.col("_delivered").isNull(), "missing").otherwise("matched").alias("state"))
+
+
+def names_twice(files: DataFrame) -> DataFrame:
+    """(name, files, first_path) of names at several places, from rows (path, name)."""
+    return files.groupBy("name").agg(F.count(F.lit(1)).alias("files"), F.min("path").alias("first_path")).filter("files > 1")
+
+
 def latest(versions: DataFrame, key: str, version: str, columns: list[str]) -> DataFrame:
     """The row of the newest version of each key, by one aggregation."""
     return versions.groupBy(key).agg(F.max_by(F.struct(*columns), version).alias("_row"), F.max(version).alias(version)).select(key, version, *(f"_row.{c}" for c in columns))

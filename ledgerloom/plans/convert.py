@@ -16,7 +16,7 @@ from ..functions.exprs import symbol_code
 from ..operators import matrix, minute, storage
 from ..sources import layout
 from ..sources.pickled import load, split_kinds, to_long
-from ..sources.staging import Manifest, file_digest, group_digest
+from ..sources.staging import Manifest, file_digest
 from .results import ConversionResult, ObjectKind
 
 
@@ -135,14 +135,11 @@ def _factors(spark: SparkSession, path: Path) -> DataFrame:
     return long.select("date", "code", F.col("value").alias("factor"))
 
 
-def _check_days(days: DataFrame, bars: DataFrame, factors: DataFrame) -> None:
-    """Every day has factors, bars of listed codes, and no bar twice; else nothing is published."""
-    known = factors.groupBy("date").agg(F.lit(True).alias("factors"))
-    kept = bars.groupBy("date", "code", "time").agg(F.count(F.lit(1)).alias("n")).groupBy("date").agg(F.sum("n").alias("rows"), F.max("n").alias("most"))
-    state = days.join(known, "date", "left").join(kept, "date", "left").filter("factors is null or rows is null or most > 1").orderBy("date")
-    bad = [f"{r['date']}: " + ("no factors" if not r["factors"] else "no bars of listed codes" if r["rows"] is None else "bars repeat") for r in state.collect()]
-    if bad:
-        raise ValueError("; ".join(bad))
+def _group_digest(spark: SparkSession, key: str, paths: list[Path]) -> str:
+    """The digest of a group of files, whose contents are read and hashed in tasks."""
+    listing = storage.digests(spark.read.format("binaryFile").load([str(p) for p in paths]), "path", "content")
+    named = listing.select(F.lit(key).alias("group"), F.element_at(F.split("path", "/"), -1).alias("name"), "path", "digest")
+    return storage.group_digest(named, by="path").first()["digest"]
 
 
 def minutes(spark: SparkSession, config: ConversionConfig, manifest: Manifest, result: ConversionResult) -> None:
@@ -156,8 +153,8 @@ def minutes(spark: SparkSession, config: ConversionConfig, manifest: Manifest, r
     place = config.output / folder.relative_to(config.input)
     targets = [place / f"{f}.parquet" for f in fields]
     factors = layout.factor_file(config.input)
-    digest = group_digest([*files.values(), *([factors] if config.include_factors else [])])
     key = str(folder.relative_to(config.input))
+    digest = _group_digest(spark, key, [*files.values(), *([factors] if config.include_factors else [])])
     if not config.overwrite and manifest.is_current(key, digest, targets):
         result.counts[ObjectKind.CURRENT] += len(targets)
         return
@@ -173,7 +170,9 @@ def minutes(spark: SparkSession, config: ConversionConfig, manifest: Manifest, r
         bars = _read_minutes(spark, files, config.workers).filter("code = round(code) and code between 0 and 999999").withColumn("code", F.col("code").cast("long"))
         bars.join(codes, "code", "left_semi").write.option("compression", "zstd").parquet(str(scratch))
         bars = spark.read.parquet(str(scratch))
-        _check_days(spark.createDataFrame([(d,) for d in files], "date int"), bars, table)
+        bad = minute.unready_days(spark.createDataFrame([(d,) for d in files], "date int"), bars, table).orderBy("date").collect()
+        if bad:
+            raise ValueError("; ".join(f"{r['date']}: {r['reason']}" for r in bad))
         adjusted = minute.adjust(bars, table)
         for f, target in zip(fields, targets, strict=True):
             _write(minute.pivot_field(adjusted, f, universe).orderBy("datetime"), target)

@@ -11,6 +11,9 @@ BARS = """bars AS (
     CAST(event_id % 1000 AS DOUBLE) AS volume, CAST(floor(value) * (event_id % 1000) AS DOUBLE) AS amount, event_id AS row_id
   FROM events)"""
 
+ONE_A_KEY = BARS + f""", base AS (
+  SELECT date, code, time, {", ".join(f"max({c}) AS {c}" for c in (*_P, "volume", "amount"))}, min(row_id) AS row_id FROM bars GROUP BY date, code, time)"""
+
 ROLLED = BARS + """, rolled AS (
   SELECT code, date,
     first(open ORDER BY time, row_id) FILTER (open IS NOT NULL) AS open, max(high) AS high, min(low) AS low,
@@ -145,4 +148,13 @@ SELECT archive, members, largest, total, ratio, impossible, CASE WHEN members >
 SELECT source, count(*) FILTER (level = 'FAIL') AS fails, count(*) FILTER (level = 'WARNING') AS warnings, CASE WHEN fails > 0 THEN 'FAIL' WHEN warnings > 0 THEN 'WARNING' ELSE 'PASS' END AS status FROM i GROUP BY source""",
     "catalog_duplicates": "WITH f AS (SELECT url, regexp_extract(url, '[^/]*$') AS name FROM pages) SELECT name, count(*) AS files, min(url) AS first_path FROM f GROUP BY name HAVING count(*) > 1",
     "delivery_match": "SELECT c_name AS name, CASE WHEN c_custkey % 3 = 0 THEN 'extra' WHEN c_custkey % 5 = 0 THEN 'missing' ELSE 'matched' END AS state FROM customer WHERE c_custkey % 3 <> 0 OR c_custkey % 5 <> 0",
+    "content_changes": f"SELECT doc_id, {_DOC} AS digest FROM documents WHERE doc_id % 4 <> 1 AND doc_id % 9 = 0 AND doc_id % 18 <> 0",
+    "conflicting_bars": f"WITH {BARS} SELECT date, code, time FROM (SELECT DISTINCT * EXCLUDE (row_id) FROM bars WHERE code IS NOT NULL) GROUP BY ALL HAVING count(*) > 1",
+    "fresh_bars": f"WITH {ONE_A_KEY} SELECT * FROM base WHERE row_id % 3 = 0",
+    "changed_bars": f"WITH {ONE_A_KEY} SELECT date, code, time FROM base WHERE row_id % 3 <> 0 AND (row_id % 500 = 0 AND close IS NOT NULL OR row_id % 700 = 0 AND open IS NOT NULL)",
+    "unready_days": f"""WITH {BARS}, days AS (SELECT date FROM bars UNION SELECT date + 1000000 FROM bars),
+kept AS (SELECT date, max(n) AS most FROM (SELECT date, code, time, count(*) AS n FROM bars WHERE code % 50 <> 3 GROUP BY ALL) GROUP BY date),
+state AS (SELECT date, CASE WHEN date % 4 = 1 THEN 'no factors' WHEN most IS NULL THEN 'no bars of listed codes' WHEN most > 1 THEN 'bars repeat' END AS reason FROM days LEFT JOIN kept USING (date))
+SELECT date, reason FROM state WHERE reason IS NOT NULL""",
+    "universe_prices": f"WITH {BARS} SELECT strptime(CAST(date AS VARCHAR) || lpad(CAST(time AS VARCHAR), 4, '0'), '%Y%m%d%H%M') + INTERVAL 1 MINUTE AS datetime, code, {', '.join(f'{p} * ({_FACTOR}) AS {p}' for p in _P)}, volume, amount, row_id FROM bars WHERE code BETWEEN 0 AND 999999 AND code % 7 <> 3",
 }

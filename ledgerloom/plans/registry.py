@@ -233,7 +233,7 @@ def archive_caps(spark, d):
 
 @query
 def content_digest(spark, d):
-    return bridge.table(spark, d, "documents").select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"))
+    return storage.digests(bridge.table(spark, d, "documents"), "doc_id", "text")
 
 
 @query
@@ -264,17 +264,61 @@ def issue_tally(spark, d):
 @query
 def catalog_duplicates(spark, d):
     """File names that a recursive listing has more than once."""
-    files = bridge.table(spark, d, "pages").selectExpr("url AS path", "regexp_extract(url, '[^/]*$', 0) AS name")
-    return files.groupBy("name").agg(F.count(F.lit(1)).alias("files"), F.min("path").alias("first_path")).filter("files > 1")
+    return storage.names_twice(bridge.table(spark, d, "pages").selectExpr("url AS path", "regexp_extract(url, '[^/]*$', 0) AS name"))
 
 
 @query
 def delivery_match(spark, d):
-    """Delivered names against the catalog: matched, missing and extra (full outer join by name)."""
+    """Delivered names against the catalog: matched, missing and extra."""
     c = bridge.table(spark, d, "customer")
-    have, got = c.filter("c_custkey % 3 <> 0").selectExpr("c_name AS name", "true AS local"), c.filter("c_custkey % 5 <> 0").selectExpr("c_name AS name", "true AS delivered")
-    both = have.join(got, "name", "full")
-    return both.select("name", F.when(F.col("local").isNull(), "extra").when(F.col("delivered").isNull(), "missing").otherwise("matched").alias("state"))
+    return storage.match_names(c.filter("c_custkey % 3 <> 0").selectExpr("c_name AS name"), c.filter("c_custkey % 5 <> 0").selectExpr("c_name AS name"))
+
+
+@query
+def content_changes(spark, d):
+    """What has another content than when it was noted last."""
+    now = storage.digests(bridge.table(spark, d, "documents"), "doc_id", "text")
+    first = now.filter("doc_id % 4 <> 1").selectExpr("doc_id", "CASE WHEN doc_id % 9 = 0 THEN 'old' ELSE digest END AS digest", "1 AS noted")
+    again = now.filter("doc_id % 18 = 0").selectExpr("doc_id", "digest", "2 AS noted")
+    return storage.changed_contents(now, first.unionByName(again), "doc_id")
+
+
+def _one_a_key(spark: SparkSession, d: str) -> DataFrame:
+    return bridge.bars(spark, d).groupBy(*minute.KEY).agg(*(F.max(v).alias(v) for v in minute.VALUES), F.min("row_id").alias("row_id"))
+
+
+@query
+def conflicting_bars(spark, d):
+    return minute.conflicting_bars(bridge.bars(spark, d))
+
+
+@query
+def fresh_bars(spark, d):
+    base = _one_a_key(spark, d)
+    return minute.fresh_bars(base, base.filter("row_id % 3 <> 0"))
+
+
+@query
+def changed_bars(spark, d):
+    base = _one_a_key(spark, d)
+    batch = base.withColumns({"close": F.expr("CASE WHEN row_id % 500 = 0 THEN close + 1 ELSE close END"), "open": F.expr("CASE WHEN row_id % 700 = 0 THEN NULL ELSE open END")})
+    return minute.changed_bars(batch, base.filter("row_id % 3 <> 0"))
+
+
+@query
+def unready_days(spark, d):
+    b = bridge.bars(spark, d)
+    days = b.select("date").unionByName(b.selectExpr("date + 1000000 AS date")).distinct()
+    factors = days.filter("date % 4 <> 1").selectExpr("date", "1L AS code", "1D AS factor")
+    return minute.unready_days(days, b.filter("code % 50 <> 3"), factors)
+
+
+@query
+def universe_prices(spark, d):
+    """Adjusted bars of listed codes only."""
+    b = bridge.bars(spark, d)
+    factors = b.select("date", "code").distinct().withColumn("factor", bridge.factor())
+    return minute.adjust(b, factors, b.filter("code % 7 <> 3").select("code").distinct())
 
 
 def queries() -> dict[str, Query]:

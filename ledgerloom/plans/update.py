@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import DateAxisError, UpdateError
-from ..operators import matrix, minute, reference
+from ..operators import matrix, minute, reference, storage
 from ..sources import layout
 from ..sources.archives import daily_packages, hold_to_limits, minute_members, pickles
 from ..sources.pickled import catalog, common_types, days_of, decoded, has_dates, load, sorted_days, split_kinds, to_long, to_wide
@@ -96,10 +96,17 @@ class _Run:
         """Full overwrite: everything local must be covered; differences only warn."""
         with zipfile.ZipFile(path) as archive:
             hold_to_limits(self.spark, {path.name: archive})
+            members = pickles(archive)
+            named = lambda names: self.spark.createDataFrame([(n,) for n in names], "name string")
+            states = {r["name"]: r["state"] for r in storage.match_names(named(files), named(n for n, _ in members)).collect()}
+            for name, state in sorted(states.items()):
+                if state != "matched":
+                    self.result.add("error", f"{path.name}: {name} " + ("is missing" if state == "missing" else "is not in the history"))
             seen: set[str] = set()
-            for name, info in pickles(archive):
-                if name in seen or name not in files:
-                    self.result.add("error", f"{path.name}: {name} " + ("comes twice" if name in seen else "is not in the history"))
+            for name, info in members:
+                if name in seen:
+                    self.result.add("error", f"{path.name}: {name} comes twice")
+                if name in seen or states[name] != "matched":
                     continue
                 seen.add(name)
                 with archive.open(info) as stream:
@@ -114,9 +121,6 @@ class _Run:
                     self.result.add("error", f"{name}: {e}")
                     continue
                 self.result.counts[Count.RISK_FILES] += 1
-            for name in sorted(files.keys() - seen):
-                self.result.add("error", f"{path.name} lacks {name}")
-
     def snapshot(self, local: object, new: object, name: str) -> None:
         if type(local) is not type(new) or not isinstance(new, (pd.Series, pd.DataFrame)):
             raise UpdateError(f"{name} changed its type")

@@ -122,14 +122,6 @@ def file_digest(path: Path) -> str:
         return hashlib.file_digest(f, "sha256").hexdigest()
 
 
-def group_digest(paths: list[Path]) -> str:
-    """One digest for a group of files, by path order."""
-    total = hashlib.sha256()
-    for p in sorted(paths):
-        total.update(f"{p.name}\0{file_digest(p)}\n".encode())
-    return total.hexdigest()
-
-
 @dataclass
 class Manifest:
     """Which sources were converted, by digest. A missing or unreadable file is an empty manifest."""

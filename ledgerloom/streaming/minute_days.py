@@ -11,18 +11,15 @@ since, and ``take_corrections`` writes their days anew from all files that have
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.storage import latest
+from ..operators.minute import KEY, changed_bars, conflicting_bars, fresh_bars, single_bars
+from ..operators.storage import changed_contents, digests as content_digests
 
 SCHEMA = "code long, date int, time int, open double, high double, low double, close double, volume double, amount double, row_id long"
-KEY = ["date", "code", "time"]
-VALUES = ["open", "high", "low", "close", "volume", "amount"]
 
 
 def _table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
@@ -37,10 +34,8 @@ def _table(spark: SparkSession, path: str, schema: str | None = None) -> DataFra
 
 def _single(bars: DataFrame) -> DataFrame:
     """One row a bar; equal repeats are one, others are an error."""
-    bars = bars.filter("code is not null")
-    once = bars.groupBy(*KEY, *VALUES).agg(F.min("row_id").alias("row_id"))
-    _refuse(once.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "minute bars repeat with other values")
-    return once.select(*(c.split()[0] for c in SCHEMA.split(", ")))
+    _refuse(conflicting_bars(bars), "minute bars repeat with other values")
+    return single_bars(bars).select(*(c.split()[0] for c in SCHEMA.split(", ")))
 
 
 def _refuse(keys: DataFrame, text: str) -> None:
@@ -55,10 +50,9 @@ def _append(bars: DataFrame, history: str) -> None:
         days = [r[0] for r in bars.select("date").distinct().collect()]  # of one batch: its files' days
         known = _table(bars.sparkSession, history, SCHEMA)
         if known is not None:
-            known = known.filter(F.col("date").isin(days)).select(*KEY, *(F.col(v).alias(f"known_{v}") for v in VALUES))
-            unequal = reduce(lambda a, b: a | b, (~F.col(v).eqNullSafe(F.col(f"known_{v}")) for v in VALUES))
-            _refuse(bars.join(known, KEY).filter(unequal), "minute bars differ from the history")
-            new = bars.join(known, KEY, "left_anti")
+            known = known.filter(F.col("date").isin(days))
+            _refuse(changed_bars(bars, known), "minute bars differ from the history")
+            new = fresh_bars(bars, known)
         else:
             new = bars
         new.repartition("date").sortWithinPartitions(*KEY).write.mode("append").partitionBy("date").parquet(history)
@@ -67,7 +61,7 @@ def _append(bars: DataFrame, history: str) -> None:
 
 
 def _contents(spark: SparkSession, paths: list[str]) -> DataFrame:
-    return spark.read.format("binaryFile").load(paths).select("path", F.sha2("content", 256).alias("digest"), F.current_timestamp().alias("noted"))
+    return content_digests(spark.read.format("binaryFile").load(paths), "path", "content").withColumn("noted", F.current_timestamp())
 
 
 def ingest_days(spark: SparkSession, landing: str, history: str, checkpoint: str, digests: str | None = None, files: int = 64) -> StreamingQuery:
@@ -87,11 +81,8 @@ def ingest_days(spark: SparkSession, landing: str, history: str, checkpoint: str
 def corrected_files(spark: SparkSession, landing: str, digests: str) -> DataFrame:
     """(path, digest) of files that were taken and have another content now."""
     noted = _table(spark, digests)
-    now = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(landing).select("path", F.sha2("content", 256).alias("digest"))
-    if noted is None:
-        return now.limit(0)
-    known = latest(noted, "path", "noted", ["digest"]).select("path", F.col("digest").alias("known"))
-    return now.join(known, "path").filter("digest <> known").select("path", "digest")
+    now = content_digests(spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(landing), "path", "content")
+    return now.limit(0) if noted is None else changed_contents(now, noted)
 
 
 def take_corrections(spark: SparkSession, landing: str, history: str, digests: str) -> list[int]:
