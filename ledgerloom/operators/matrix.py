@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import deviation, symbol_code, unequal
+from ..scratch import materialize
 
 
 def dates(matrix: DataFrame) -> DataFrame:
@@ -25,12 +26,13 @@ def _is_text(matrix: DataFrame) -> bool:
 
 def _paired(local: DataFrame, incoming: DataFrame) -> DataFrame:
     """(date, stock, local, incoming, in_local, in_incoming): both versions of every cell that either has, by one
-    aggregation. Whatever is taken from it several times in a plan is computed once, as its shuffle is reused."""
+    aggregation, written once: cells and both axes are taken from it."""
     side = lambda df, n: df.select("date", "stock", "value", F.lit(n).alias("side"))
     value = lambda n: F.max(F.when(F.col("side") == n, F.col("value")))
     has = lambda n: F.max(F.col("side") == n)
     both = side(local, 0).unionByName(side(incoming, 1))
-    return both.groupBy("date", "stock").agg(value(0).alias("local"), value(1).alias("incoming"), has(0).alias("in_local"), has(1).alias("in_incoming"))
+    pairs = both.groupBy("date", "stock").agg(value(0).alias("local"), value(1).alias("incoming"), has(0).alias("in_local"), has(1).alias("in_incoming"))
+    return materialize(pairs, tidy=False)
 
 
 def _common(pairs: DataFrame, axis: str) -> DataFrame:
