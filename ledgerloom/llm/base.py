@@ -2,93 +2,32 @@
 
 from __future__ import annotations
 
-import atexit
-import gc
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import drop, materialize, release, shared_folder  # noqa: F401 - taken from here by the operators
+
 #: Rows of text that one Arrow batch may hold in a Python worker; long texts make a batch large.
 BATCH_ROWS = 256
 ARROW_ROWS = 512
 #: Tables in fewer partitions are dealt over the cores before texts are worked on.
 SPREAD_PARTS = 32
 
-_written: list[tuple[SparkSession, str]] = []
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The Parquet table ``name`` under ``sf_dir``, read by Spark alone (any file system that it knows)."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``, else the context's checkpoint folder. Where neither is set a temporary one
-    is, on one machine; on a cluster that is an error, as its nodes have no folder of one machine in common."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.sparkContext.getCheckpointDir()
-    if not folder:
-        master = spark.sparkContext.master
-        if master != "local" and not master.startswith("local["):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all nodes share")
-        folder = tempfile.mkdtemp(prefix="ledgerloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back.
-
-    The lineage ends there, and a lost executor costs nothing that was written. The files go when the
-    driver exits, or earlier by ``drop`` or ``release``. The driver collects garbage at once, so that Spark
-    also deletes the shuffle files that nothing needs any more.
-    """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/ledgerloom-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    _written.append((spark, path))
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    out = spark.read.schema(df.schema).parquet(path)
-    out._ledgerloom_path = path
-    return out
-
-
 def small(df: DataFrame, rows: int = 500_000) -> DataFrame:
     """``df`` (a written table of ids and numbers) marked for broadcast if it has at most ``rows`` rows; else as it is,
     and the join is by shuffle."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
-def drop(*tables: DataFrame) -> None:
-    """Delete what ``materialize`` wrote for these tables; nothing may read them any more."""
-    for df in tables:
-        _delete(df.sparkSession, df._ledgerloom_path)
-        _written.remove((df.sparkSession, df._ledgerloom_path))
-
-
-def release() -> None:
-    """Delete everything that ``materialize`` wrote."""
-    while _written:
-        try:
-            _delete(*_written.pop())
-        except Exception:  # noqa: BLE001 - the session may have ended; its folder goes with the cluster
-            return
-
-
-atexit.register(release)
-
-
 def spread(df: DataFrame, few: int = SPREAD_PARTS) -> DataFrame:
     """``df``, dealt anew over the cores if its rows lie in fewer partitions than there are cores and than ``few``.
 
