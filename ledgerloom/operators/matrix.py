@@ -24,57 +24,62 @@ def _is_text(matrix: DataFrame) -> bool:
     return dict(matrix.dtypes)["value"] == "string"
 
 
-def _paired(local: DataFrame, incoming: DataFrame) -> DataFrame:
-    """(date, stock, local, incoming, in_local, in_incoming): both versions of every cell that either has, by one
+def _paired(local: DataFrame, incoming: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """(by, date, stock, local, incoming, in_local, in_incoming): both versions of every cell that either has, by one
     aggregation, written once: cells and both axes are taken from it."""
-    side = lambda df, n: df.select("date", "stock", "value", F.lit(n).alias("side"))
+    side = lambda df, n: df.select(*by, "date", "stock", "value", F.lit(n).alias("side"))
     value = lambda n: F.max(F.when(F.col("side") == n, F.col("value")))
     has = lambda n: F.max(F.col("side") == n)
     both = side(local, 0).unionByName(side(incoming, 1))
-    pairs = both.groupBy("date", "stock").agg(value(0).alias("local"), value(1).alias("incoming"), has(0).alias("in_local"), has(1).alias("in_incoming"))
+    pairs = both.groupBy(*by, "date", "stock").agg(value(0).alias("local"), value(1).alias("incoming"), has(0).alias("in_local"), has(1).alias("in_incoming"))
     return materialize(pairs, tidy=False)
 
 
-def _common(pairs: DataFrame, axis: str) -> DataFrame:
+def _common(pairs: DataFrame, axis: str, by: tuple[str, ...]) -> DataFrame:
     """Labels of an axis that both versions have."""
-    return pairs.groupBy(axis).agg(F.max("in_local").alias("a"), F.max("in_incoming").alias("b")).filter("a and b").select(axis)
+    return pairs.groupBy(*by, axis).agg(F.max("in_local").alias("a"), F.max("in_incoming").alias("b")).filter("a and b").select(*by, axis)
 
 
-def _overlap(pairs: DataFrame, text: bool, rtol: float, atol: float) -> DataFrame:
-    inside = pairs.join(_common(pairs, "date"), "date", "left_semi").join(_common(pairs, "stock"), "stock", "left_semi")
+def _overlap(pairs: DataFrame, rtol: float, atol: float, by: tuple[str, ...]) -> DataFrame:
+    inside = pairs.join(_common(pairs, "date", by), [*by, "date"], "left_semi").join(_common(pairs, "stock", by), [*by, "stock"], "left_semi")
     exact = ~F.col("local").eqNullSafe(F.col("incoming"))
-    return inside.select("date", "stock", "local", "incoming", (exact if text else unequal(F.col("local"), F.col("incoming"), rtol, atol)).alias("unequal"))
+    text = dict(pairs.dtypes)["local"] == "string"
+    return inside.select(*by, "date", "stock", "local", "incoming", (exact if text else unequal(F.col("local"), F.col("incoming"), rtol, atol)).alias("unequal"))
 
 
-def overlap_cells(local: DataFrame, incoming: DataFrame, rtol: float, atol: float) -> DataFrame:
+def overlap_cells(local: DataFrame, incoming: DataFrame, rtol: float, atol: float, by: tuple[str, ...] = ()) -> DataFrame:
     """Unequal-marked cells (date, stock, local, incoming, unequal) of common dates x common stocks that either has.
-    Numbers are compared within tolerance, texts exactly."""
-    return _overlap(_paired(local, incoming), _is_text(local), rtol, atol)
+    Numbers are compared within tolerance, texts exactly. ``by`` names columns that tell several matrices apart."""
+    return _overlap(_paired(local, incoming, by), rtol, atol, by)
 
 
-def overlap_report(local: DataFrame, incoming: DataFrame, rtol: float = 1e-7, atol: float = 1e-7) -> DataFrame:
-    """One row: dates, stocks, mismatches, max_deviation, share of mismatches in the common rectangle."""
-    pairs = _paired(local, incoming)
-    cells = _overlap(pairs, _is_text(local), rtol, atol)
+def overlap_report(local: DataFrame, incoming: DataFrame, rtol: float = 1e-7, atol: float = 1e-7, by: tuple[str, ...] = ()) -> DataFrame:
+    """One row a matrix: dates, stocks, mismatches, max_deviation, share of mismatches in the common rectangle."""
+    pairs = _paired(local, incoming, by)
+    cells = _overlap(pairs, rtol, atol, by)
     distance = F.lit(0.0) if _is_text(local) else deviation(F.col("local"), F.col("incoming"))
-    found = cells.agg(
-        F.count_if("unequal").alias("mismatches"),
-        F.coalesce(F.max(F.when(F.col("unequal"), distance)), F.lit(0.0)).alias("max_deviation"),
-    )
-    common = _common(pairs, "date").agg(F.count(F.lit(1)).alias("dates"))
-    both = _common(pairs, "stock").agg(F.count(F.lit(1)).alias("stocks"))
-    one = found.crossJoin(common).crossJoin(both)  # three single rows
-    return one.select("dates", "stocks", "mismatches", "max_deviation", (F.col("mismatches") / F.greatest(F.col("dates") * F.col("stocks"), F.lit(1))).alias("share"))
-
-
-def overlap_examples(local: DataFrame, incoming: DataFrame, rtol: float = 1e-7, atol: float = 1e-7, show: int = 8) -> DataFrame:
-    """The first mismatches by date, then stock."""
-    return overlap_cells(local, incoming, rtol, atol).filter("unequal").select("date", "stock", "local", "incoming").orderBy("date", "stock").limit(show)
-
-
-def not_covered(local: DataFrame, incoming: DataFrame, axis: str) -> DataFrame:
+    found = cells.groupBy(*by).agg(F.count_if("unequal").alias("mismatches"), F.max(F.when(F.col("unequal"), distance)).alias("max_deviation"))
+    number = lambda axis: _common(pairs, axis, by).groupBy(*by).agg(F.count(F.lit(1)).alias(f"{axis}s"))
+    if by:  # a matrix without common labels has a row, too
+        one = pairs.select(*by).distinct().join(found, list(by), "left").join(number("date"), list(by), "left").join(number("stock"), list(by), "left")
+    else:
+        one = found.crossJoin(number("date")).crossJoin(number("stock"))  # three single rows
+    zero = one.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("dates", "stocks", "mismatches")} | {"max_deviation": F.coalesce("max_deviation", F.lit(0.0))})
+    share = F.col("mismatches") / F.greatest(F.col("dates") * F.col("stocks"), F.lit(1))
+    return zero.select(*by, "dates", "stocks", "mismatches", "max_deviation", share.alias("share"))
+
+
+def overlap_examples(local: DataFrame, incoming: DataFrame, rtol: float = 1e-7, atol: float = 1e-7, show: int = 8, by: tuple[str, ...] = ()) -> DataFrame:
+    """The first mismatches of each matrix by date, then stock."""
+    found = overlap_cells(local, incoming, rtol, atol, by).filter("unequal").select(*by, "date", "stock", "local", "incoming")
+    if not by:
+        return found.orderBy("date", "stock").limit(show)
+    return found.withColumn("_n", F.row_number().over(Window.partitionBy(*by).orderBy("date", "stock"))).filter(F.col("_n") <= show).drop("_n")
+
+
+def not_covered(local: DataFrame, incoming: DataFrame, axis: str, by: tuple[str, ...] = ()) -> DataFrame:
     """Labels of the local axis that the delivery lacks; a full delivery must cover all."""
-    return local.select(axis).distinct().join(incoming.select(axis).distinct(), axis, "left_anti")
+    return local.select(*by, axis).distinct().join(incoming.select(*by, axis).distinct(), [*by, axis], "left_anti")
 
 
 def overlay(local: DataFrame, incoming: DataFrame) -> DataFrame:

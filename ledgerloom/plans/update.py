@@ -9,14 +9,15 @@ from dataclasses import dataclass
 from pathlib import Path
 
 import pandas as pd
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import DateAxisError, UpdateError
 from ..operators import matrix, minute, reference, storage
+from ..scratch import materialize
 from ..sources import layout
 from ..sources.archives import daily_packages, hold_to_limits, minute_members, pickles
-from ..sources.pickled import catalog, common_types, days_of, decoded, has_dates, load, sorted_days, split_kinds, to_long, to_wide
+from ..sources.pickled import catalog, common_types, decoded, has_dates, load, read_pairs, sorted_days, split_kinds, to_long, to_wide
 from ..sources.staging import Staging
 from .results import OF_READING, Count, UpdateResult
 
@@ -61,39 +62,44 @@ class _Run:
 
     def compare(self, local: pd.DataFrame, incoming: pd.DataFrame, label: str, level: str) -> None:
         """Numeric columns within tolerance, others exactly."""
-        t = self.config.tolerance
-        stocks, mismatches, most, shown = 0, 0, 0.0, []
-        for kind, frames in split_kinds(local, incoming):
-            a, b = (to_long(self.spark, x, kind).cache() for x in frames)
-            row = matrix.overlap_report(a, b, t.rtol, t.atol).first()
-            stocks, mismatches, most = stocks + row["stocks"], mismatches + row["mismatches"], max(most, row["max_deviation"])
-            if row["mismatches"]:
+        kinds = {kind: tuple(to_long(self.spark, x, kind).withColumn("dataset", F.lit(label)) for x in frames) for kind, frames in split_kinds(local, incoming)}
+        self.judge(kinds, [label], level)
+
+    def judge(self, kinds: dict[str, tuple[DataFrame, DataFrame]], labels: list[str], level: str) -> None:
+        """Say where the cells (dataset, date, stock, value) of both sides differ, all data sets of a kind in one plan."""
+        t, by = self.config.tolerance, ("dataset",)
+        total = {label: [0, 0, 0, 0.0, []] for label in labels}
+        for kind, sides in kinds.items():
+            a, b = (x.cache() for x in sides)
+            for r in matrix.overlap_report(a, b, t.rtol, t.atol, by).collect():  # a row a data set
+                own = total[r["dataset"]]
+                own[0] = max(own[0], r["dates"])
+                own[1] += r["stocks"]
+                own[2] += r["mismatches"]
+                own[3] = max(own[3], r["max_deviation"])
+            if any(own[2] for own in total.values()):
                 plain = decoded if kind == "string" else lambda v: v
-                shown += [(r["date"], r["stock"], plain(r["local"]), plain(r["incoming"])) for r in matrix.overlap_examples(a, b, t.rtol, t.atol).collect()]
+                for r in matrix.overlap_examples(a, b, t.rtol, t.atol, by=by).collect():
+                    total[r["dataset"]][4].append((r["date"], r["stock"], plain(r["local"]), plain(r["incoming"])))
             a.unpersist()
             b.unpersist()
-        if not set(days_of(local.index)) & set(days_of(incoming.index)):
-            self.result.add("warning", f"{label}: no date in common")
-        elif not stocks:
-            raise UpdateError(f"{label}: no stock in common")
-        elif mismatches:
-            text = "; ".join(f"{day} {stock}: {a} and {b}" for day, stock, a, b in sorted(shown, key=lambda r: r[:2])[:8])
-            self.result.add(level, f"{label}: {mismatches} cells differ, by {most:.3g} at most ({text})")
-            if level == "warning":
-                self.result.counts[Count.RISK_DIFFERENCES] += 1
+        for label, (dates, stocks, mismatches, most, shown) in total.items():
+            if not dates:
+                self.result.add("warning", f"{label}: no date in common")
+            elif not stocks and level == "error":
+                raise UpdateError(f"{label}: no stock in common")
+            elif not stocks:
+                self.result.add("error", f"{label}: no stock in common")
+            elif mismatches:
+                text = "; ".join(f"{day} {stock}: {a} and {b}" for day, stock, a, b in sorted(shown, key=lambda r: r[:2])[:8])
+                self.result.add(level, f"{label}: {mismatches} cells differ, by {most:.3g} at most ({text})")
+                if level == "warning":
+                    self.result.counts[Count.RISK_DIFFERENCES] += 1
 
     # --- sources ---
 
-    def lost(self, local: pd.DataFrame, new: pd.DataFrame) -> dict[str, list]:
-        """Labels of either axis that the history has and the delivery lacks."""
-        out = {}
-        for axis, kind, labels in (("date", "int", lambda f: days_of(f.index).tolist()), ("stock", "string", lambda f: [str(c) for c in f.columns])):
-            a, b = (self.spark.createDataFrame([(x,) for x in labels(f)], f"{axis} {kind}") for f in (local, new))
-            out[axis] = sorted(r[0] for r in matrix.not_covered(a, b, axis).collect())  # an axis
-        return {axis: labels for axis, labels in out.items() if labels}
-
     def risk(self, path: Path, files: dict[str, Path]) -> None:
-        """Full overwrite: everything local must be covered; differences only warn."""
+        """Full overwrite: everything local must be covered; differences only warn. The matrices are read in tasks."""
         with zipfile.ZipFile(path) as archive:
             hold_to_limits(self.spark, {path.name: archive})
             members = pickles(archive)
@@ -102,25 +108,28 @@ class _Run:
             for name, state in sorted(states.items()):
                 if state != "matched":
                     self.result.add("error", f"{path.name}: {name} " + ("is missing" if state == "missing" else "is not in the history"))
-            seen: set[str] = set()
+            staged: dict[str, Path] = {}
             for name, info in members:
-                if name in seen:
+                if name in staged:
                     self.result.add("error", f"{path.name}: {name} comes twice")
-                if name in seen or states[name] != "matched":
-                    continue
-                seen.add(name)
-                with archive.open(info) as stream:
-                    staged = self.staging.stage_bytes(stream, files[name])
-                try:
-                    local, new = self.wide(files[name], name), self.wide(staged, name)
-                    for axis, labels in self.lost(local, new).items():
-                        self.result.add("error", f"{name}: the delivery lacks {len(labels)} of the history's {axis}s, as {labels[:5]}")
-                    self.compare(local, new, name, "warning")
-                except (UpdateError, DateAxisError, TypeError) as e:
-                    self.staging.discard(files[name])
-                    self.result.add("error", f"{name}: {e}")
-                    continue
-                self.result.counts[Count.RISK_FILES] += 1
+                elif states[name] == "matched":
+                    with archive.open(info) as stream:
+                        staged[name] = self.staging.stage_bytes(stream, files[name])
+        cells = materialize(read_pairs(self.spark, [(name, str(files[name]), str(place)) for name, place in staged.items()]), tidy=False)
+        for r in cells.filter("side < 0").collect():  # a row a data set at most
+            self.staging.discard(files[r["dataset"]])
+            self.result.add("error", f"{r['dataset']}: {r['text']}")
+            del staged[r["dataset"]]
+        sides = [cells.filter(f"side = {n}") for n in (0, 1)]
+        for axis in ("date", "stock"):
+            lost = matrix.not_covered(*sides, axis, ("dataset",)).groupBy("dataset").agg(F.count(F.lit(1)).alias("n"), F.min(axis).alias("first"))
+            for r in lost.collect():
+                self.result.add("error", f"{r['dataset']}: the delivery lacks {r['n']} of the history's {axis}s, as {r['first']}")
+        kinds = [r["kind"] for r in cells.filter("side >= 0").select("kind").distinct().collect()]  # two at most
+        of_kind = lambda df, kind: df.filter(F.col("kind") == kind).select("dataset", "date", "stock", F.col("value" if kind == "double" else "text").alias("value"))
+        self.judge({kind: tuple(of_kind(df, kind) for df in sides) for kind in sorted(kinds)}, sorted(staged), "warning")
+        self.result.counts[Count.RISK_FILES] += len(staged)
+
     def snapshot(self, local: object, new: object, name: str) -> None:
         if type(local) is not type(new) or not isinstance(new, (pd.Series, pd.DataFrame)):
             raise UpdateError(f"{name} changed its type")

@@ -290,6 +290,33 @@ def test_staging_keeps_old_contents_that_it_could_not_restore(tmp_path, monkeypa
     assert pd.read_pickle(s.folder / "old-1") == "old"
 
 
+def test_overwritten_matrices_are_judged_in_one_plan(spark, tmp_path):
+    root = history(tmp_path / "full")
+    folder = delivery(tmp_path / "new")
+    columns = ["000001.SZ", "600000.SH"]
+    wide = lambda days, value, names=columns: pd.DataFrame(value, index=days, columns=names)
+    for name in ("SIZE", "GROWTH", "TEXT", "LATE", "OTHER", "BROKEN"):
+        dump(wide(DAYS[:-2], 1.0), root / f"barra/{name}.pkl")
+    dump(wide(DAYS[:-2], "a"), root / "barra/TEXT.pkl")
+    new = {
+        "BETA.pkl": wide(DAYS, 1.5), "SIZE.pkl": wide(DAYS, 1.25), "GROWTH.pkl": wide(DAYS[1:], 1.0, columns[:1]), "TEXT.pkl": wide(DAYS, "b"),
+        "LATE.pkl": wide([20300101], 1.0), "OTHER.pkl": wide(DAYS, 1.0, ["x"]), "BROKEN.pkl": b"no pickle", "EXTRA.pkl": wide(DAYS, 1.0),
+    }
+    (folder / layout.RISK_ARCHIVE).write_bytes(packed(new))
+    result = update_dataset(spark, config(tmp_path))
+    said = "\n".join(result.errors)
+    assert not result.committed and result.counts[Count.RISK_FILES] == 0
+    assert "EXTRA.pkl is not in the history" in said and "BROKEN.pkl: " in said and "BETA.pkl" not in said
+    assert f"GROWTH.pkl: the delivery lacks 1 of the history's dates, as {DAYS[0]}" in said and "GROWTH.pkl: the delivery lacks 1 of the history's stocks, as 600000.SH" in said
+    assert "LATE.pkl: the delivery lacks 28" in said and "OTHER.pkl: no stock in common" in said
+    warned = "\n".join(result.warnings)
+    assert "SIZE.pkl: 56 cells differ, by 0.2 at most" in warned and "TEXT.pkl: 56 cells differ" in warned and "a and b" in warned and "LATE.pkl: no date in common" in warned
+    assert not any("BETA" in w and "differ" in w for w in result.warnings)
+    (folder / layout.RISK_ARCHIVE).write_bytes(packed({f"{n}.pkl": wide(DAYS, 1.0) for n in ("BETA", "SIZE", "GROWTH", "LATE", "OTHER", "BROKEN")} | {"TEXT.pkl": wide(DAYS, "a")}))
+    result = update_dataset(spark, config(tmp_path))
+    assert result.committed and result.counts[Count.RISK_FILES] == 7 and result.counts[Count.RISK_DIFFERENCES] == 1
+
+
 def test_merged_columns_keep_the_widest_type(spark, tmp_path):
     root = history(tmp_path / "full")
     folder = delivery(tmp_path / "new")
