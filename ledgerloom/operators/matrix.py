@@ -82,12 +82,13 @@ def not_covered(local: DataFrame, incoming: DataFrame, axis: str, by: tuple[str,
     return local.select(*by, axis).distinct().join(incoming.select(*by, axis).distinct(), [*by, axis], "left_anti")
 
 
-def overlay(local: DataFrame, incoming: DataFrame) -> DataFrame:
+def overlay(local: DataFrame, incoming: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Merged rows: inside incoming dates x incoming stocks the delivery wins, missing cells included; elsewhere local
     rows stay. Two joins with axes mark the rectangle, so cells are never joined with cells."""
-    marked = local.join(dates(incoming).withColumn("_d", F.lit(True)), "date", "left").join(stocks(incoming).withColumn("_s", F.lit(True)), "stock", "left")
-    kept = marked.filter(F.col("_d").isNull() | F.col("_s").isNull()).select("date", "stock", "value")
-    return kept.unionByName(incoming.select("date", "stock", "value"))
+    days, names = (incoming.select(*by, axis).distinct().withColumn(mark, F.lit(True)) for axis, mark in (("date", "_d"), ("stock", "_s")))
+    marked = local.join(days, [*by, "date"], "left").join(names, [*by, "stock"], "left")
+    kept = marked.filter(F.col("_d").isNull() | F.col("_s").isNull()).select(*incoming.columns)
+    return kept.unionByName(incoming)
 
 
 def overlay_gaps(local: DataFrame, incoming: DataFrame) -> DataFrame:
@@ -103,11 +104,11 @@ def overlay_gaps(local: DataFrame, incoming: DataFrame) -> DataFrame:
     return one.select(grid.alias("grid"), covered.alias("covered"), (covered < grid).alias("has_gaps"))
 
 
-def ordered_union(base: DataFrame, more: DataFrame, label: str, position: str) -> DataFrame:
-    """Axis labels: those of ``base`` in its order, then the new ones in their own; (label, place from 0)."""
-    both = base.select(label, F.lit(0).alias("_side"), position).unionByName(more.select(label, F.lit(1).alias("_side"), position))
-    first = both.groupBy(label).agg(F.min(F.struct("_side", position)).alias("_at"))
-    return first.select(label, (F.row_number().over(Window.orderBy("_at")) - 1).alias("place"))  # an axis: thousands of labels
+def ordered_union(base: DataFrame, more: DataFrame, label: str, position: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """Axis labels: those of ``base`` in its order, then the new ones in their own; (by, label, place from 0)."""
+    both = base.select(*by, label, F.lit(0).alias("_side"), position).unionByName(more.select(*by, label, F.lit(1).alias("_side"), position))
+    first = both.groupBy(*by, label).agg(F.min(F.struct("_side", position)).alias("_at"))
+    return first.select(*by, label, (F.row_number().over(Window.partitionBy(*by).orderBy("_at")) - 1).alias("place"))  # an axis: thousands of labels
 
 
 def normalize_daily(wide_long: DataFrame) -> DataFrame:

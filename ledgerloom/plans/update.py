@@ -17,7 +17,7 @@ from ..operators import matrix, minute, reference, storage
 from ..scratch import materialize
 from ..sources import layout
 from ..sources.archives import daily_packages, hold_to_limits, minute_members, pickles
-from ..sources.pickled import catalog, common_types, decoded, has_dates, load, read_pairs, sorted_days, split_kinds, to_long, to_wide
+from ..sources.pickled import catalog, decoded, has_dates, is_number, load, read_pairs, sorted_days, to_wide, widest
 from ..sources.staging import Staging
 from .results import OF_READING, Count, UpdateResult
 
@@ -60,17 +60,20 @@ class _Run:
             raise UpdateError(f"{label} is no table")
         return value
 
-    def compare(self, local: pd.DataFrame, incoming: pd.DataFrame, label: str, level: str) -> None:
-        """Numeric columns within tolerance, others exactly."""
-        kinds = {kind: tuple(to_long(self.spark, x, kind).withColumn("dataset", F.lit(label)) for x in frames) for kind, frames in split_kinds(local, incoming)}
-        self.judge(kinds, [label], level)
+    def pairs(self, paths: list[tuple[str, str, str]]) -> tuple[DataFrame, dict[str, str]]:
+        """Cells and columns of pairs of matrices, read in tasks, and what is wrong with those that can't be read."""
+        cells = materialize(read_pairs(self.spark, paths), tidy=False)
+        wrong = {r["dataset"]: r["text"] for r in cells.filter("side < 0").collect()}  # a row a data set at most
+        return cells.filter(~F.col("dataset").isin(list(wrong))) if wrong else cells, wrong
 
-    def judge(self, kinds: dict[str, tuple[DataFrame, DataFrame]], labels: list[str], level: str) -> None:
-        """Say where the cells (dataset, date, stock, value) of both sides differ, all data sets of a kind in one plan."""
+    def judge(self, cells: DataFrame, labels: list[str], level: str, prefix: str = "") -> None:
+        """Say where the cells of both sides differ: numeric columns within tolerance, others exactly; all data sets of a
+        kind in one plan."""
+        found = [r["kind"] for r in cells.filter("side in (0, 1)").select("kind").distinct().collect()]  # two at most
+        kinds = {kind: tuple(_of_kind(cells, kind).filter(f"side = {n}").drop("side") for n in (0, 1)) for kind in sorted(found)}
         t, by = self.config.tolerance, ("dataset",)
         total = {label: [0, 0, 0, 0.0, []] for label in labels}
-        for kind, sides in kinds.items():
-            a, b = (x.cache() for x in sides)
+        for kind, (a, b) in kinds.items():
             for r in matrix.overlap_report(a, b, t.rtol, t.atol, by).collect():  # a row a data set
                 own = total[r["dataset"]]
                 own[0] = max(own[0], r["dates"])
@@ -81,9 +84,8 @@ class _Run:
                 plain = decoded if kind == "string" else lambda v: v
                 for r in matrix.overlap_examples(a, b, t.rtol, t.atol, by=by).collect():
                     total[r["dataset"]][4].append((r["date"], r["stock"], plain(r["local"]), plain(r["incoming"])))
-            a.unpersist()
-            b.unpersist()
         for label, (dates, stocks, mismatches, most, shown) in total.items():
+            label = prefix + label
             if not dates:
                 self.result.add("warning", f"{label}: no date in common")
             elif not stocks and level == "error":
@@ -115,19 +117,17 @@ class _Run:
                 elif states[name] == "matched":
                     with archive.open(info) as stream:
                         staged[name] = self.staging.stage_bytes(stream, files[name])
-        cells = materialize(read_pairs(self.spark, [(name, str(files[name]), str(place)) for name, place in staged.items()]), tidy=False)
-        for r in cells.filter("side < 0").collect():  # a row a data set at most
-            self.staging.discard(files[r["dataset"]])
-            self.result.add("error", f"{r['dataset']}: {r['text']}")
-            del staged[r["dataset"]]
+        cells, wrong = self.pairs([(name, str(files[name]), str(place)) for name, place in staged.items()])
+        for name, text in sorted(wrong.items()):
+            self.staging.discard(files[name])
+            self.result.add("error", f"{name}: {text}")
+            del staged[name]
         sides = [cells.filter(f"side = {n}") for n in (0, 1)]
         for axis in ("date", "stock"):
             lost = matrix.not_covered(*sides, axis, ("dataset",)).groupBy("dataset").agg(F.count(F.lit(1)).alias("n"), F.min(axis).alias("first"))
             for r in lost.collect():
                 self.result.add("error", f"{r['dataset']}: the delivery lacks {r['n']} of the history's {axis}s, as {r['first']}")
-        kinds = [r["kind"] for r in cells.filter("side >= 0").select("kind").distinct().collect()]  # two at most
-        of_kind = lambda df, kind: df.filter(F.col("kind") == kind).select("dataset", "date", "stock", F.col("value" if kind == "double" else "text").alias("value"))
-        self.judge({kind: tuple(of_kind(df, kind) for df in sides) for kind in sorted(kinds)}, sorted(staged), "warning")
+        self.judge(cells, sorted(staged), "warning")
         self.result.counts[Count.RISK_FILES] += len(staged)
 
     def snapshot(self, local: object, new: object, name: str) -> None:
@@ -154,7 +154,9 @@ class _Run:
         """Daily packages in order; each is laid over what the day before left."""
         with zipfile.ZipFile(path) as outer:
             for label, package in daily_packages(self.spark, path.name, outer):
-                applied, seen = 0, set()
+                seen: set[str] = set()
+                matrices: list[tuple[str, str, str]] = []
+                snapshots = 0
                 for name, info in pickles(package):
                     if name in seen:
                         raise UpdateError(f"{label}: {name} comes twice")
@@ -164,37 +166,46 @@ class _Run:
                         self.result.unmatched.add(name)
                         continue
                     with package.open(info) as stream:
-                        new = load(stream)
-                    target = files[name]
-                    local = load(self.staging.current(target))
+                        place = self.staging.aside(stream, name)
+                    new, current = load(place), self.staging.current(files[name])
                     if name in layout.SNAPSHOTS:
-                        self.snapshot(local, new, name)
-                        self.staging.stage(new, target)
-                        self.result.counts[Count.SNAPSHOTS] += 1
+                        self.snapshot(load(current), new, name)
+                        self.staging.stage(new, files[name])
+                        snapshots += 1
                     elif isinstance(new, pd.DataFrame) and has_dates(new.index):
-                        self.merge(local, new, target, f"{label}/{name}")
+                        matrices.append((name, str(current), str(place)))
                     else:
                         self.result.add("warning", f"{label}: {name} has no date axis and is left out")
-                        continue
-                    applied += 1
-                if not applied:
+                if not matrices and not snapshots:
                     raise UpdateError(f"{label}: nothing in it could be applied")
+                if matrices:
+                    self.merge(matrices, files, label)
+                self.result.counts[Count.SNAPSHOTS] += snapshots
                 self.result.counts[Count.PACKAGES] += 1
 
-    def merge(self, local: object, new: pd.DataFrame, target: Path, label: str) -> None:
-        if not isinstance(local, pd.DataFrame):
-            raise UpdateError(f"{label}: the history is no table")
-        self.compare(local, new, label, "error")
-        order = lambda f: self.spark.createDataFrame([(str(c), n) for n, c in enumerate(f.columns)], "stock string, at int")
-        union = matrix.ordered_union(order(local), order(new), "stock", "at")
-        stocks = [r["stock"] for r in sorted(union.collect(), key=lambda r: r["place"])]  # an axis
-        parts = []
-        for kind, (a, b) in split_kinds(local, new):
-            own = {*map(str, a.columns), *map(str, b.columns)}
-            merged = matrix.overlay(to_long(self.spark, a, kind), to_long(self.spark, b, kind))
-            parts.append(to_wide(merged, [s for s in stocks if s in own], common_types(a, b)))
-        self.staging.stage(parts[0] if len(parts) == 1 else pd.concat(parts, axis=1)[stocks].sort_index(), target)
-        self.result.counts[Count.MATRICES] += 1
+    def merge(self, matrices: list[tuple[str, str, str]], files: dict[str, Path], label: str) -> None:
+        """Lay the matrices of one package over the history: read, compared and merged in one plan each; the driver holds
+        one merged matrix at a time, to pickle it."""
+        cells, wrong = self.pairs(matrices)
+        if wrong:
+            raise UpdateError("; ".join(f"{label}/{name}: {text}" for name, text in sorted(wrong.items())))
+        self.judge(cells, [name for name, _, _ in matrices], "error", f"{label}/")
+        by = ("dataset",)
+        merged = materialize(matrix.overlay(*(cells.filter(f"side = {n}").drop("side") for n in (0, 1)), by), tidy=False)
+        headers = [cells.filter(f"side = {n}").select("dataset", "stock", F.col("date").alias("at"), F.col("kind").alias("type")) for n in (2, 3)]
+        types = {(r["dataset"], r["stock"]): widest(sorted(r["types"])) for r in headers[0].unionByName(headers[1]).groupBy("dataset", "stock").agg(F.collect_set("type").alias("types")).collect()}
+        order: dict[str, list[str]] = {}
+        for r in sorted(matrix.ordered_union(*headers, "stock", "at", by).collect(), key=lambda r: r["place"]):  # axes
+            order.setdefault(r["dataset"], []).append(r["stock"])
+        for name, _, _ in matrices:
+            parts = []
+            for kind, numeric in (("double", True), ("string", False)):
+                own = [s for s in order[name] if is_number(types[name, s]) == numeric]
+                if own:
+                    long = _of_kind(merged.filter(F.col("dataset") == name), kind).select("date", "stock", "value")
+                    parts.append(to_wide(long, own, {s: types[name, s] for s in own}))
+            self.staging.stage(pd.concat(parts, axis=1)[order[name]].sort_index(), files[name])
+            self.result.counts[Count.MATRICES] += 1
 
     def minutes(self, path: Path, folder: Path) -> None:
         """New days are validated and taken over; days that exist must be equal whatever the rows' order."""
@@ -277,6 +288,12 @@ class _Run:
         self.problems(bad + (self.axes(axes) if axes else []))
 
 
+def _of_kind(cells: DataFrame, kind: str) -> DataFrame:
+    """Cells of numeric or of other columns, with what they hold as ``value``."""
+    kept = [c for c in cells.columns if c not in ("kind", "value", "text")]
+    return cells.filter(F.col("kind") == kind).select(*kept, F.col("value" if kind == "double" else "text").alias("value"))
+
+
 def update_dataset(spark: SparkSession, config: UpdateConfig, confirm: Callable[[UpdateResult], bool] = lambda _: True) -> UpdateResult:
     """Apply a delivery. Each source is a transaction: with an error its files and counters go back. Any error stops
     the commit; a dry run never commits; ``confirm``, which gets what was found so far, has the last word."""

@@ -59,6 +59,15 @@ class Staging:
         self.versions[target] = place
         return place
 
+    def aside(self, stream, name: str) -> Path:
+        """A copy of a delivered file, to be read and not committed."""
+        place = self.folder / "read" / f"{len(self._placed) + 1}" / name
+        place.parent.mkdir(parents=True, exist_ok=True)
+        self._placed.append(place)
+        with place.open("wb") as out:
+            shutil.copyfileobj(stream, out, 8 << 20)
+        return place
+
     def discard(self, target: Path) -> None:
         self.versions.pop(target, None)
 
