@@ -8,7 +8,8 @@ are one entry with a number of bins; a length takes whole entries and splits one
 small. The plan says where the j-th piece of a length goes; ranks within a length make it rows.
 
 Token ids are those of the ``tokenizers`` file; its vocabulary is run by the faster byte-pair encoder of
-``tiktoken``, which is checked against ``tokenizers`` in each worker before use.
+``tiktoken`` if the file's rules are those of that encoder, which is also checked against ``tokenizers`` in each
+worker before use.
 
 Defined results: a null text counts as empty and has only the closing id; an empty table gives no rows;
 repeated rows are packed each; extra columns are ignored. A literal special token in a text gets its own id, as by
@@ -40,6 +41,16 @@ _BLANK = re.compile(r"\s+")
 _encoders: dict[str, object] = {}
 
 
+def runs_by_rank(file: dict) -> bool:
+    """Whether a ``tokenizers`` file is byte-level pair encoding whose merges come in the order of the ids that they make,
+    with the standard split and nothing else: then the ids are the ranks by which ``tiktoken`` merges."""
+    model, split = file["model"], file.get("pre_tokenizer") or {}
+    plain = not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+    plain &= file.get("normalizer") is None and split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True)
+    made = [model["vocab"].get("".join(m.split(" ") if isinstance(m, str) else m), -1) for m in model["merges"]]
+    return plain and all(a < b for a, b in zip([-1, *made[:-1]], made, strict=True))
+
+
 def encoder(path: str):
     """Text to ids as by ``tokenizers`` on ``path``, with no special tokens added."""
     if path not in _encoders:
@@ -68,7 +79,7 @@ def encoder(path: str):
                     raise
                 return slow(text)
 
-        _encoders[path] = quick if all(quick(t) == slow(t) for t in PROBES) else slow
+        _encoders[path] = quick if runs_by_rank(file) and all(quick(t) == slow(t) for t in PROBES) else slow
     return _encoders[path]
 
 

@@ -39,3 +39,34 @@ def test_other_rows_stay_packed(spark):
         assert {n for s, length, _ in cut for n in range(s, s + length)} == set(range(len(ids)))
         for start, length, crc in cut:
             assert crc == zlib.crc32(np.array(ids[start : start + length], "<u4").tobytes())
+
+
+def test_files_with_other_rules_are_run_by_tokenizers(tmp_path):
+    import json
+
+    with open(TOKENIZER, encoding="utf-8") as f:
+        text = f.read()
+    assert packing.runs_by_rank(json.loads(text))
+    for n, change in enumerate((
+        lambda d: d["model"]["merges"].insert(0, d["model"]["merges"].pop(5000)), lambda d: d["pre_tokenizer"].update(add_prefix_space=True),
+        lambda d: d.update(normalizer={"type": "Lowercase"}),
+    )):
+        file = json.loads(text)
+        change(file)
+        assert not packing.runs_by_rank(file)
+        path = tmp_path / f"{n}.json"
+        path.write_text(json.dumps(file), encoding="utf-8")
+        sample = "Hello there, THE quick brown Fox; it's 12 o'clock"
+        assert packing.encoder(str(path))(sample) == Tokenizer.from_file(str(path)).encode(sample, add_special_tokens=False).ids
+
+
+def test_random_texts_encode_as_by_tokenizers():
+    import random
+
+    rng = random.Random(12)
+    own = Tokenizer.from_file(TOKENIZER)
+    encode = packing.encoder(TOKENIZER)
+    letters = ["a", "the", " ", "  ", "\n", "\t", "'s", "'", "é", "中文", "🙂", "\u00a0", "\u2028", "0", "123", "_", "--", "ſ", "ñandú", "\x00", "\u0301", "Ⅷ", "²", "WE'LL", "\r\n"]
+    for _ in range(3000):
+        text = "".join(rng.choice(letters) for _ in range(rng.randint(0, 25)))
+        assert encode(text) == own.encode(text, add_special_tokens=False).ids, repr(text)
