@@ -94,7 +94,18 @@ def outline(s: np.ndarray) -> np.ndarray:
     ranges = SUFFIX_RANGES
     while 2 * ranges * SUFFIX_MEMBERS <= len(s):
         ranges *= 2
-    return np.bincount((s & np.uint64(ranges - 1)).astype(np.int64), minlength=ranges).astype(np.int32)
+    counts = np.bincount((s & np.uint64(ranges - 1)).astype(np.int64), minlength=ranges)
+    return counts.astype(np.min_scalar_type(int(counts.max())))
+
+
+def outline_bytes(s: np.ndarray) -> bytes:
+    """An outline and, in front, the bytes of a count: one, but for texts that hardly exist."""
+    counts = outline(s)
+    return bytes([counts.itemsize]) + counts.tobytes()
+
+
+def outline_read(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"u{data[0]}", offset=1)
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -123,7 +134,7 @@ def _sketch_and_classes(docs: DataFrame, n: int, bits: int, name_bits: int) -> D
                 sizes.append(len(s))
                 names.append(set_hash(s, name_bits))
                 seconds.append(second_hash(s))
-                outlines.append(outline(s).tobytes())
+                outlines.append(outline_bytes(s))
             yield pa.RecordBatch.from_arrays(
                 [ids, *(pa.array(x, pa.int64()) for x in (sizes, names, seconds)), pa.nulls(len(sizes), pa.int32()), pa.array(outlines, pa.binary())],
                 names=["id", "n", "class", "second", "chunk", "counts"],
@@ -250,7 +261,10 @@ def possible(sizes: np.ndarray, outlines: list[np.ndarray], left: np.ndarray, ri
     alive = 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
     # outlines of two sets are compared over the ranges of the coarser one; a finer one is summed up to it
     ranges = np.array([len(x) for x in outlines], np.int64)
-    folded = {r: np.array([x.reshape(-1, r).sum(0) if len(x) >= r else np.zeros(r, np.int32) for x in outlines]) for r in np.unique(ranges).tolist()}
+    folded = {
+        r: np.array([x.reshape(-1, r).sum(0, dtype=np.int32) if len(x) >= r else np.zeros(r, np.int32) for x in outlines])
+        for r in np.unique(ranges).tolist()
+    }
     for row in np.flatnonzero(alive.any(1)):
         cols = np.flatnonzero(alive[row])
         level = np.minimum(ranges[right[cols]], ranges[left[row]])
@@ -302,7 +316,7 @@ def _hopeful(dealt: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in runs(batches, "task"):
             side, sizes = (np.array(rows.column(c).to_pylist(), np.int64) for c in ("side", "n"))
-            outlines = [np.frombuffer(x, np.int32) for x in rows.column("outline").to_pylist()]
+            outlines = [outline_read(x) for x in rows.column("outline").to_pylist()]
             both = (side == 2).any()
             left, right = (np.arange(len(side)),) * 2 if both else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
             if not len(left) or not len(right):
